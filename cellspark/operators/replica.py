@@ -48,6 +48,8 @@ def row_hash(df: DataFrame, method: str = "xxhash64") -> Column:
 
 def leaf_of(spec: TableSpec, depth: int, method: str = "xxhash64") -> Column:
     """The token range (0 … 2^depth − 1) a partition falls into."""
+    if depth == 0:
+        return F.lit(0).cast("bigint")
     if method == "xxhash64":
         return F.shiftrightunsigned(F.xxhash64(*spec.pk), 64 - depth)
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in spec.pk])
@@ -121,7 +123,10 @@ def resolve(copies: list[DataFrame], spec: TableSpec, where: Column | None = Non
 
 
 def same_digest(copies: dict[str, DataFrame], spec: TableSpec) -> DataFrame:
-    """One digest row per copy."""
+    """One digest row per copy, and whether all copies agree."""
     parts = [digest(df, spec, 0).select(F.lit(name).alias("source"), "digest", "n_rows")
              for name, df in copies.items()]
-    return reduce(lambda x, y: x.unionByName(y), parts)
+    each = reduce(lambda x, y: x.unionByName(y), parts)
+    # as many rows as copies
+    every = Window.partitionBy()
+    return each.withColumn("same", F.min("digest").over(every) == F.max("digest").over(every))

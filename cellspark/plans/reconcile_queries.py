@@ -197,17 +197,15 @@ def write_by_window(t):
 
 
 _SOURCES_SQL = """
-src AS (SELECT 's' || lpad((user_id % 40)::VARCHAR, 2, '0') || '_' || lpad((event_id * 30 // (SELECT max(event_id) + 1 FROM events))::VARCHAR, 2, '0') AS source,
+src AS (SELECT 's' || (user_id % 40) || CASE WHEN ts < TIMESTAMP '2024-01-10' AND event_id % 2 = 0 THEN '_early' ELSE '_late' END AS source,
   min(epoch_us(ts)) AS min_ts, max(epoch_us(ts)) AS max_ts, max(epoch_us(ts) // 1000000) AS max_ldt FROM events GROUP BY 1)"""
 
 
 def event_sources(t):
-    """Events as the files of thirty flushes over forty shards."""
-    n = t.events.agg((F.max("event_id") + 1).alias("_n"))
-    e = t.events.crossJoin(F.broadcast(n))  # one row: the number of events
-    name = F.concat(F.lit("s"), F.lpad((F.col("user_id") % 40).cast("string"), 2, "0"), F.lit("_"), F.lpad(
-        F.call_function("div", F.col("event_id") * 30, F.col("_n")).cast("string"), 2, "0"))
-    return e.withColumn("source", name).drop("_n")
+    """Events as files: forty shards, and an early file of each that holds no new data."""
+    early = (F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")) & (F.col("event_id") % 2 == 0)
+    name = F.concat(F.lit("s"), (F.col("user_id") % 40).cast("string"), F.when(early, "_early").otherwise("_late"))
+    return t.events.withColumn("source", name)
 
 
 @query("m13_expired_blockers", f"""

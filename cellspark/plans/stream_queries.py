@@ -1 +1,137 @@
-"""Queries."""
+"""Streaming queries: each runs to the end of the given table and shows the result."""
+
+from pyspark.sql import functions as F
+
+from cellspark.operators import reconcile as rec
+from cellspark.operators import views
+from cellspark.plans.logs import (EVENT_LOG, EVENT_LOG_SQL, LINE_LOG, LINE_NOW, NOW, event_log, line_cells_sql, line_log,
+                                  micros)
+from cellspark.plans.reconcile_queries import _GC
+from cellspark.plans.registry import ORACLE, Tables, query
+from cellspark.plans.view_queries import BY_KIND
+from cellspark.session import fresh_path
+from cellspark.spec import TableSpec
+from cellspark.streaming import mutations as S
+
+
+class Streams(Tables):
+    """The given tables as streams."""
+
+    def __getattr__(self, name):
+        schema = self.spark.read.parquet(self.path(name)).schema
+        # a pattern, since a file source takes a folder or a pattern but not one file's name
+        return S.source(self.spark, self.path(name)[:-1] + "[t]", schema)
+
+
+def streams(t) -> Streams:
+    return Streams(t.spark, t.folder)
+
+
+def _finish(q):
+    q.awaitTermination()
+
+
+def _upserted(t, df, key):
+    path, checkpoint = fresh_path(t.spark, "state"), fresh_path(t.spark, "ck")
+    _finish(S.upsert_sink(df, path, checkpoint))
+    return S.current(t.spark, path, key)
+
+
+def streamed_event_state(t):
+    """Event state from two streams over the log: row state, and the newest partition deletions."""
+    state = _upserted(t, S.latest_state(event_log(streams(t)), EVENT_LOG, NOW), EVENT_LOG.key)
+    deletions = _upserted(t, rec.partition_deletions(event_log(streams(t)), EVENT_LOG), EVENT_LOG.pk)
+    return rec.shadow(rec.with_partition_deletions(state, deletions, EVENT_LOG), EVENT_LOG)
+
+
+@query("t1_stream_source", "SELECT user_id, event_id, epoch_us(ts) AS at FROM events")
+def stream_source(t):
+    path, checkpoint = fresh_path(t.spark, "copy"), fresh_path(t.spark, "ck")
+    log = event_log(streams(t)).select("user_id", "event_id", F.col("_ts").alias("at"))
+    _finish(S.append_sink(log, path, checkpoint))
+    return t.spark.read.parquet(path)
+
+
+@query("t2_latest_state", f"WITH {EVENT_LOG_SQL} SELECT user_id, slot, value, kind FROM state")
+def latest_state(t):
+    return rec.live_rows(streamed_event_state(t), EVENT_LOG)
+
+
+@query("t3_late_writes", f"WITH {line_cells_sql()} SELECT * FROM lines")
+def late_writes(t):
+    # ship dates come in no order, so most writes arrive late
+    path, checkpoint = fresh_path(t.spark, "state"), fresh_path(t.spark, "ck")
+    _finish(S.upsert_sink(S.latest_state(line_log(streams(t)), LINE_LOG, LINE_NOW), path, checkpoint))
+    return S.live_latest(t.spark, path, LINE_LOG)
+
+
+@query("t4_retention", ORACLE["m8_compact"])
+def retention(t):
+    kept = S.retained(streamed_event_state(t), EVENT_LOG, NOW, gc_grace=NOW - _GC)
+    state = lambda c: F.when(F.col(f"{c}.dead"), "tombstone").when(~F.col(f"{c}.dead"), "live")
+    return kept.select(*EVENT_LOG.key, F.col("_live").isNotNull().alias("has_live"), state("value").alias("value_is"),
+                       state("kind").alias("kind_is"), F.col("_del.ts").alias("deleted_at"))
+
+
+@query("t5_counters", "SELECT user_id, event_type, sum(event_id % 10)::BIGINT AS value FROM events GROUP BY user_id, event_type")
+def counters(t):
+    key = ["user_id", "event_type"]
+    return _upserted(t, S.counters(streams(t).events, key, F.col("event_id") % 10), key)
+
+
+@query("t6_windows", """
+SELECT epoch_us(time_bucket(INTERVAL 6 HOUR, ts)) AS start, event_type, count(*) AS n, max(value) AS high FROM events GROUP BY 1, 2""")
+def windows(t):
+    events = streams(t).events.withColumn("ts", F.col("ts").cast("timestamp"))
+    w = S.windowed(events, "ts", "6 hours", {"n": F.count(F.lit(1)), "high": F.max("value")}, ["event_type"])
+    flat = w.select(F.unix_micros("window.start").alias("start"), "event_type", "n", "high")
+    return _upserted(t, flat, ["start", "event_type"])
+
+
+@query("t7_audit", """
+SELECT user_id || ':' || (event_id % 16) AS primary_key, CASE WHEN event_id % 50 = 0 THEN 'delete_partition' WHEN event_type = 'signup' THEN 'insert'
+  WHEN event_type = 'error' THEN 'delete_row' ELSE 'update' END AS operation, epoch_us(ts) AS at FROM events""")
+def audit(t):
+    data, trail, checkpoint = (fresh_path(t.spark, x) for x in ("data", "audit", "ck"))
+    _finish(S.with_audit(event_log(streams(t)), EVENT_LOG, "user_state", data, trail, checkpoint))
+    return t.spark.read.parquet(trail).select("primary_key", "operation", "at")
+
+
+_ROWS_ONLY = TableSpec(["user_id"], ["slot"], (), ["value", "kind"])
+
+
+@query("t8_view_upkeep", f"""
+WITH {EVENT_LOG_SQL.replace("max(ts) AS ts FROM log WHERE op = 'delete_partition'", "0 AS ts FROM log WHERE op = 'delete_partition'")}
+SELECT kind, user_id, slot, value FROM state WHERE kind IS NOT NULL""")
+def view_upkeep(t):
+    # row-level mutations only: partition deletions reach views through v3_incremental
+    state, changes, checkpoint = (fresh_path(t.spark, x) for x in ("base", "changes", "ck"))
+    log = event_log(streams(t)).filter("_op <> 'delete_partition'")
+    _finish(S.maintain_view(log, BY_KIND, NOW, state, changes, checkpoint))
+    return S.view_rows(t.spark, changes, BY_KIND)
+
+
+@query("t9_replay", f"WITH {EVENT_LOG_SQL} SELECT user_id, slot, value, kind FROM state")
+def replay(t):
+    # every mutation is delivered twice
+    log = event_log(t)
+    return rec.live_rows(rec.reconcile(log.unionByName(log), EVENT_LOG, NOW), EVENT_LOG)
+
+
+@query("t10_interval_rates", """
+SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS start, count(*) AS n, max(value) AS high,
+  quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95 FROM events GROUP BY 1""")
+def interval_rates(t):
+    events = streams(t).events.withColumn("ts", F.col("ts").cast("timestamp"))
+    rates = S.interval_rates(events, "ts", "1 day", F.col("value"))
+    flat = rates.select(F.unix_micros("window.start").alias("start"), "n", F.col("max").alias("high"),
+                        F.col("p")[0].alias("p50"), F.col("p")[1].alias("p95"))
+    return _upserted(t, flat, ["start"])
+
+
+@query("t10_decaying_rate", f"""
+SELECT event_type, round(sum(exp((epoch_us(ts) // 1000000 - {NOW}) / 864000.0)), 4) AS weight FROM events GROUP BY event_type""")
+def decaying_rate(t):
+    seconds = F.call_function("div", micros("ts"), F.lit(1000000))
+    w = S.decaying_count(t.events, seconds, NOW, 864000.0, [F.col("event_type")])
+    return w.select("event_type", F.round("weight", 4).alias("weight"))
