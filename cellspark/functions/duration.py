@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cellspark.functions.literals import groups
+
 # The four text forms, and the size of each time unit in nanoseconds.
 STANDARD = (
     r"^(-?)(?:(\d+)y)?(?:(\d+)mo)?(?:(\d+)w)?(?:(\d+)d)?(?:(\d+)h)?(?:(\d+)m)?(?:(\d+)s)?"
@@ -20,32 +20,25 @@ NANOS = {"h": 3600 * 10**9, "m": 60 * 10**9, "s": 10**9, "ms": 10**6, "us": 10**
 SCHEMA = "struct<months:int,days:int,nanos:bigint>"
 
 
-def _number(text: Column, pattern: str, group: int) -> Column:
-    part = F.regexp_extract(text, pattern, group)
-    return F.when(part == "", F.lit(0)).otherwise(part.cast("bigint")).cast("bigint")
-
-
 def _build(text: Column, pattern: str, layout: list[str]) -> Column:
-    sign = F.when(F.regexp_extract(text, pattern, 1) == "-", -1).otherwise(1)
-    months, days, nanos = [], [], []
-    for group, unit in enumerate(layout, start=2):
-        n = _number(text, pattern, group)
-        if unit == "y":
-            months.append(n * 12)
-        elif unit == "mo":
-            months.append(n)
-        elif unit == "w":
-            days.append(n * 7)
-        elif unit == "d":
-            days.append(n)
-        else:
-            nanos.append(n * NANOS[unit])
-    total = lambda terms: reduce(lambda a, b: a + b, terms, F.lit(0).cast("bigint"))
-    return F.struct(
-        (total(months) * sign).cast("int").alias("months"),
-        (total(days) * sign).cast("int").alias("days"),
-        (total(nanos) * sign).cast("bigint").alias("nanos"),
-    )
+    """The duration of a text that matches ``pattern``: a sign, then one number per unit."""
+
+    def total(parts: list[Column]) -> Column:
+        number = lambda c: F.when(c == "", F.lit(0)).otherwise(c.cast("bigint")).cast("bigint")
+        sign = F.when(parts[0] == "-", -1).otherwise(1)
+        months = days = nanos = F.lit(0).cast("bigint")
+        for part, unit in zip(parts[1:], layout, strict=True):
+            n = number(part)
+            if unit in ("y", "mo"):
+                months = months + n * (12 if unit == "y" else 1)
+            elif unit in ("w", "d"):
+                days = days + n * (7 if unit == "w" else 1)
+            else:
+                nanos = nanos + n * NANOS[unit]
+        return duration(months * sign, days * sign, nanos * sign)
+
+    matching = F.when(text.rlike(pattern), text)
+    return groups(matching, pattern, len(layout) + 1, total)
 
 
 def parse_duration(text: Column) -> Column:

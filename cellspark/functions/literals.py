@@ -22,11 +22,21 @@ def _error(kind: str, text: Column, to: str) -> Column:
     return F.raise_error(F.concat(F.lit(f"not a {kind}: "), text)).cast(to)
 
 
-def parse_timestamp(text: Column) -> Column:
-    """Timestamp from any accepted text form; other text is an error, null stays null."""
-    g = lambda i: F.regexp_extract(text, TIMESTAMP, i)
+def groups(text: Column, pattern: str, n: int, build) -> Column:
+    """``build(list of group texts)`` for a text that matches, after a single match.
+
+    The groups are written into one delimited text and split again; the one-element array
+    binds them, so that the pattern is not matched once per group. Missing groups are empty.
+    """
+    joined = F.regexp_replace(text, pattern, "|".join(f"${i}" for i in range(1, n + 1)))
+    return F.element_at(F.transform(F.array(F.split(joined, r"\|", -1)), lambda parts: build(
+        [F.get(parts, F.lit(i)) for i in range(n)])), 1)
+
+
+def _timestamp_of(g: list[Column]) -> Column:
+    date, hour, minute, second, millis, zone_part = g
     or_zero = lambda c, width: F.lpad(F.when(c == "", "0").otherwise(c), width, "0")
-    zone = F.trim(g(6))
+    zone = F.trim(zone_part)
     offset = (
         F.when(zone.isin("", "Z"), "+00:00")
         .when(zone.rlike(r"^[+-]\d{2}$"), F.concat(zone, F.lit(":00")))
@@ -34,15 +44,18 @@ def parse_timestamp(text: Column) -> Column:
         .when(zone.rlike(r"^[+-]"), zone)
         .otherwise(F.concat(F.lit(" "), zone))
     )
-    day = F.concat_ws("-", *[F.lpad(F.split(g(1), "-")[i], 2, "0") if i else F.split(g(1), "-")[0]
-                             for i in range(3)])
-    clock = F.concat(day, F.lit(" "), or_zero(g(2), 2), F.lit(":"), or_zero(g(3), 2), F.lit(":"),
-                     or_zero(g(4), 2), F.lit("."), or_zero(g(5), 3))
-    parsed = F.concat(clock, offset).cast("timestamp")
+    clock = F.concat(date, F.lit(" "), or_zero(hour, 2), F.lit(":"), or_zero(minute, 2), F.lit(":"),
+                     or_zero(second, 2), F.lit("."), or_zero(millis, 3))
+    return F.concat(clock, offset).cast("timestamp")
+
+
+def parse_timestamp(text: Column) -> Column:
+    """Timestamp from any accepted text form; other text is an error, null stays null."""
+    fits = text.rlike(TIMESTAMP)
     return (
         F.when(text.isNull(), F.lit(None).cast("timestamp"))
         .when(text.rlike(NUMBER), F.timestamp_millis(F.when(text.rlike(NUMBER), text).cast("bigint")))
-        .when(text.rlike(TIMESTAMP), F.when(text.rlike(TIMESTAMP), parsed))
+        .when(fits, groups(F.when(fits, text), TIMESTAMP, 6, _timestamp_of))
         .otherwise(_error("timestamp", text, "timestamp"))
     )
 
@@ -63,15 +76,18 @@ def parse_date(text: Column) -> Column:
 def parse_time(text: Column) -> Column:
     """Nanoseconds since midnight from hh:mm:ss[.fffffffff] or a raw number."""
     raw = F.when(text.rlike(NUMBER), text).cast("bigint")
-    g = lambda i: F.when(text.rlike(TIME), F.regexp_extract(text, TIME, i))
-    fraction = F.rpad(F.when(g(4) == "", "0").otherwise(g(4)), 9, "0").cast("bigint")
-    h, m, s = (g(i).cast("bigint") for i in (1, 2, 3))
-    nanos = ((h * 60 + m) * 60 + s) * 10**9 + fraction
+    fits = text.rlike(TIME)
+
+    def build(g: list[Column]) -> Column:
+        fraction = F.rpad(F.when(g[3] == "", "0").otherwise(g[3]), 9, "0").cast("bigint")
+        h, m, s = (x.cast("bigint") for x in g[:3])
+        return F.when((h < 24) & (m < 60) & (s < 60), ((h * 60 + m) * 60 + s) * 10**9 + fraction)
+
+    nanos = groups(F.when(fits, text), TIME, 4, build)
     return (
         F.when(text.isNull(), F.lit(None).cast("bigint"))
         .when(raw.isNotNull() & (raw >= 0) & (raw < DAY_NANOS), raw)
-        .when(text.rlike(TIME) & (h < 24) & (m < 60) & (s < 60), nanos)
-        .otherwise(_error("time", text, "bigint"))
+        .otherwise(F.coalesce(nanos, _error("time", text, "bigint")))
     )
 
 

@@ -69,39 +69,72 @@ class Analyzer:
             return F.transform(F.filter(parts, lambda x: x != ""), self.fold)
         if self.kind != "standard":
             raise ValueError(f"unknown analyzer {self.kind}")
-        tokens = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+        if self.case == "lower" and not _length_rule(self) and self.min_length <= 1:
+            folded = _tokens(text, lower=True)
+            return self._without_stops(folded)
+        tokens = _tokens(text, lower=False)
         sized = F.filter(tokens, lambda x: F.length(x).between(max(self.min_length, 1), self.max_length))
-        folded = F.transform(sized, self.fold) if self.case else sized
-        if self.stop_words:
-            stops = F.array(*[F.lit(w) for w in STOP_WORDS[self.stop_words].split()])
-            folded = F.filter(folded, lambda x: ~F.array_contains(stops, x))
-        return folded
+        return self._without_stops(F.transform(sized, self.fold) if self.case else sized)
+
+    def _without_stops(self, terms: Column) -> Column:
+        if not self.stop_words:
+            return terms
+        stops = STOP_WORDS[self.stop_words].split()
+        return F.filter(terms, lambda x: ~x.isin(stops))
+
+
+def _tokens(text: Column, lower: bool) -> Column:
+    """Raw tokens, lower-cased if asked.
+
+    Lower-casing the text first is one fast pass. It equals lower-casing each token except
+    for two letters: the capital sigma, whose lower form depends on what follows, and the
+    dotted capital I, which becomes two characters. Texts with one of them take the slow way.
+    """
+    found = lambda x: F.regexp_extract_all(x, F.lit(WORD), F.lit(0))
+    if not lower:
+        return found(text)
+    special = text.contains("Σ") | text.contains("İ")
+    return F.when(special, F.transform(found(text), F.lower)).otherwise(found(F.lower(text)))
+
+
+def term_rows(df: DataFrame, column: str, analyzer: Analyzer, key: list[str], distinct: bool = False) -> DataFrame:
+    """One row per key and term occurrence (or per distinct term).
+
+    Tokens are exploded first, so that length, case and stop words are tests on plain rows
+    in generated code instead of functions over arrays.
+    """
+    if analyzer.kind != "standard" or analyzer.case == "upper" or (analyzer.case and _length_rule(analyzer)):
+        terms = analyzer.terms(F.col(column))
+        return df.select(*key, F.explode(F.array_distinct(terms) if distinct else terms).alias("term"))
+    tokens = _tokens(F.col(column), analyzer.case == "lower")
+    rows = df.select(*key, F.explode(F.array_distinct(tokens) if distinct else tokens).alias("term"))
+    rows = rows.filter(F.length("term").between(max(analyzer.min_length, 1), analyzer.max_length))
+    if analyzer.stop_words:
+        rows = rows.filter(~F.col("term").isin(STOP_WORDS[analyzer.stop_words].split()))
+    return rows
+
+
+def _length_rule(analyzer: Analyzer) -> bool:
+    # folding can change a term's length; only the trivial bounds do not notice
+    return analyzer.min_length > 2 or analyzer.max_length < MAX_TOKEN
 
 
 def terms_table(df: DataFrame, column: str, analyzer: Analyzer, key: list[str]) -> DataFrame:
     """One row per key and distinct term."""
-    unique = F.array_distinct(analyzer.terms(F.col(column)))
-    return df.select(*key, F.explode(unique).alias("term"))
+    return term_rows(df, column, analyzer, key, distinct=True)
 
 
 @F.pandas_udf(T.StringType())
-def _stem(terms: pd.Series) -> pd.Series:
-    return terms.map(stem_english, na_action="ignore")
-
-
-def stems(df: DataFrame, term: str = "term") -> DataFrame:
-    """Term to stem, computed once per distinct term."""
-    return df.select(term).distinct().withColumn("stem", _stem(F.col(term)))
+def stem(terms: pd.Series) -> pd.Series:
+    """Stems of a batch of terms; each distinct term of the batch is worked out once."""
+    codes, distinct = pd.factorize(terms)
+    stemmed = pd.Series([stem_english(x) for x in distinct] + [None], dtype=object)
+    return stemmed.take(codes).reset_index(drop=True)
 
 
 def with_stems(terms: DataFrame, term: str = "term") -> DataFrame:
-    """Replace terms by their stems.
-
-    The dictionary of distinct terms is far smaller than the text; a very common term is a
-    hot key on the text side only, which adaptive execution splits (or the dictionary is
-    broadcast when it is small enough).
-    """
-    return terms.join(stems(terms, term), term, "left").withColumn(term, F.col("stem")).drop("stem")
+    """Replace terms by their stems, batch by batch and without a shuffle."""
+    return terms.withColumn(term, stem(F.col(term)))
 
 
 def term_matches(kind: str, text: str):
@@ -118,16 +151,34 @@ def search(df: DataFrame, column: str, pattern: str, analyzer: Analyzer, negate:
 
 
 def matches(column: str, pattern: str, analyzer: Analyzer, negate: bool = False) -> Column:
-    kind, text = like_kind(pattern)
-    wanted = _query_terms(text, analyzer)
-    terms = analyzer.terms(F.col(column))
-    tests = [F.exists(terms, term_matches(kind, w)) for w in wanted]
-    found = reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
-    # every matching term starts inside the raw value: a cheap test before analysis
-    if tests and analyzer.case is None:
-        found = reduce(lambda a, b: a | b, [F.col(column).contains(w) for w in wanted]) & found
-    found = F.coalesce(found, F.lit(False))
-    return ~found if negate else found
+    return matches_all(column, [(pattern, negate)], analyzer)
+
+
+def matches_all(column: str, patterns: list[tuple[str, bool]], analyzer: Analyzer) -> Column:
+    """AND of several LIKE predicates (pattern, negated) over one analysis of the text."""
+    value = F.col(column)
+    tests, hints = [], []
+    for pattern, negate in patterns:
+        kind, text = like_kind(pattern)
+        wanted = _query_terms(text, analyzer)
+
+        def test(terms: Column, kind=kind, wanted=wanted, negate=negate) -> Column:
+            hits = [F.exists(terms, term_matches(kind, w)) for w in wanted]
+            found = reduce(lambda a, b: a | b, hits) if hits else F.lit(False)
+            return ~found if negate else found
+
+        tests.append(test)
+        if not negate and wanted and analyzer.case != "upper" and all(w.isascii() for w in wanted):
+            # a matching term lies inside the (folded) text: a cheap test before the analysis
+            folded = analyzer.fold(value)
+            hints.append(reduce(lambda a, b: a | b, [folded.contains(w) for w in wanted]))
+    # the one-element array binds the terms, so that the text is analysed once
+    bound = F.transform(F.array(analyzer.terms(value)), lambda terms: reduce(
+        lambda a, b: a & b, [t(terms) for t in tests]))
+    decided = F.element_at(bound, 1)
+    negative = reduce(lambda a, b: a & b, [F.lit(negate) for _, negate in patterns])
+    decided = F.when(value.isNull(), negative).otherwise(decided)
+    return reduce(lambda a, b: a & b, [F.coalesce(h, F.lit(False)) for h in hints] + [decided])
 
 
 def _query_terms(text: str, analyzer: Analyzer) -> list[str]:
