@@ -169,7 +169,8 @@ def covering_deletions(rows: DataFrame, ranges: DataFrame, spec: TableSpec,
     def bin_of(pos: Column) -> Column:
         span = F.col("_max") - F.col("_min")
         raw = F.when(span > 0, F.floor((pos - F.col("_min")) / span * F.col("_bins"))).otherwise(0)
-        return F.least(F.greatest(raw, F.lit(0)), F.col("_bins") - 1).cast("bigint")
+        # least and greatest skip nulls, an open end must stay null
+        return F.when(pos.isNotNull(), F.least(F.greatest(raw, F.lit(0)), F.col("_bins") - 1)).cast("bigint")
 
     binned = keys.join(extent, spec.pk).select(*spec.key, bin_of(F.col("_pos")).alias("_bin"))
     placed = (
