@@ -152,7 +152,8 @@ def covering_deletions(rows: DataFrame, ranges: DataFrame, spec: TableSpec,
     The rows of each partition that has ranges are cut into bins along the clustering
     column, as many as its row count asks for, so a hot partition is spread over many
     tasks. A range is compared with rows only in the (at most two) bins where it begins and
-    ends; bins it covers whole take its time from a per-bin maximum.
+    ends; the bins in between take its time from a tree over the bins, where any run of
+    bins is at most two nodes per level.
     """
     first = spec.ck[0]
     dtype = rows.schema[first].dataType
@@ -172,7 +173,7 @@ def covering_deletions(rows: DataFrame, ranges: DataFrame, spec: TableSpec,
         # least and greatest skip nulls, an open end must stay null
         return F.when(pos.isNotNull(), F.least(F.greatest(raw, F.lit(0)), F.col("_bins") - 1)).cast("bigint")
 
-    binned = keys.join(extent, spec.pk).select(*spec.key, bin_of(F.col("_pos")).alias("_bin"))
+    binned = keys.join(extent, spec.pk).select(*spec.key, bin_of(F.col("_pos")).alias("_bin"), "_bins")
     placed = (
         bounded.join(extent, spec.pk)
         .filter((F.col("_plo").isNull() | (F.col("_plo") <= F.col("_max")))
@@ -181,11 +182,7 @@ def covering_deletions(rows: DataFrame, ranges: DataFrame, spec: TableSpec,
         .withColumn("_b1", F.coalesce(bin_of(F.col("_phi")), F.col("_bins") - 1))
     )
     edges = placed.withColumn("_bin", F.explode(F.array_distinct(F.array("_b0", "_b1"))))
-    whole = (
-        placed.filter(F.col("_b1") - F.col("_b0") > 1)
-        .select(*spec.pk, "_rdel", F.explode(F.sequence(F.col("_b0") + 1, F.col("_b1") - 1)).alias("_bin"))
-        .groupBy(*spec.pk, "_bin").agg(F.max("_rdel").alias("_rdel"))
-    )
+    whole = _whole_bins(placed, binned, spec)
     c = F.col(first)
     inside = (
         (F.col("lo").isNull() | (c > F.col("lo")) | (F.col("lo_incl") & (c == F.col("lo"))))
@@ -198,6 +195,36 @@ def covering_deletions(rows: DataFrame, ranges: DataFrame, spec: TableSpec,
             .groupBy(*spec.key).agg(F.max("_rdel").alias("_rdel")))
 
 
+def _whole_bins(placed: DataFrame, binned: DataFrame, spec: TableSpec) -> DataFrame:
+    """For each bin, the newest range that covers all of it.
+
+    A range's inner bins are written as nodes of a binary tree (level ``j`` nodes hold
+    ``2^j`` bins), so even a range over a whole hot partition is a few dozen rows; a bin
+    then looks up its own ancestors.
+    """
+    up = lambda x, j: F.call_function("shiftright", x, j)
+    width = lambda j: F.call_function("shiftleft", F.lit(1).cast("bigint"), j)
+    first, end = F.col("_b0") + 1, F.col("_b1")  # bins first … end - 1
+
+    def nodes_at(j: Column) -> Column:
+        lo, hi = up(first + width(j) - 1, j), up(end, j)
+        take = lambda node, odd: F.when((lo < hi) & (odd % 2 == 1), F.struct(j.alias("level"), node.alias("node")))
+        return F.array(take(lo, lo), take(hi - 1, hi))
+
+    tree_height = F.ceil(F.log2(F.col("_bins").cast("double"))).cast("int")
+    levels = F.sequence(F.lit(0), tree_height)
+    nodes = (
+        placed.filter(F.col("_b1") - F.col("_b0") > 1)
+        .select(*spec.pk, "_rdel", F.explode(F.array_compact(F.flatten(F.transform(levels, nodes_at)))).alias("_n"))
+        .groupBy(*spec.pk, F.col("_n.level").alias("level"), F.col("_n.node").alias("node"))
+        .agg(F.max("_rdel").alias("_rdel"))
+    )
+    ancestors = binned.select(*spec.pk, "_bin", "_bins").distinct().select(
+        *spec.pk, "_bin", F.explode(levels).alias("level")).withColumn("node", up(F.col("_bin"), F.col("level")))
+    return ancestors.join(nodes, [*spec.pk, "level", "node"]).groupBy(*spec.pk, "_bin").agg(
+        F.max("_rdel").alias("_rdel"))
+
+
 def with_range_deletions(state: DataFrame, ranges: DataFrame, spec: TableSpec,
                          bin_rows: int = 4096) -> DataFrame:
     """Apply range tombstones to merged state.

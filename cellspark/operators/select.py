@@ -129,10 +129,11 @@ def page(df: DataFrame, spec: TableSpec, size: int, after: tuple | None = None,
     """One page in (token, partition key, clustering) order.
 
     ``after`` is the (token, pk…, ck…) of the last row of the previous page. The filter is a
-    keyset comparison, so a page never re-reads the pages before it into the sort.
+    keyset comparison, so a page never re-reads the pages before it into the sort. A table
+    that stores its token (``bulk_write(keep_token=True)``) also skips their files.
     """
     names = ["_token", *spec.key]
-    rows = df.withColumn("_token", token_of(spec.pk))
+    rows = df if "_token" in df.columns else df.withColumn("_token", token_of(spec.pk))
     if per_partition is not None:
         rows = per_partition_limit(rows, spec, per_partition)
     order = [F.col("_token"), *[F.col(c) for c in spec.pk], *spec.clustering_order()]

@@ -37,7 +37,7 @@ def _liveness(view: ViewSpec) -> Column:
         return base
     cells = [F.col(f"_c_{c}") for c in hidden]
     live = [F.coalesce(~c["dead"], F.lit(False)) for c in cells]
-    ts = F.greatest(base["ts"], *[F.when(ok, c["ts"]) for c, ok in zip(cells, live)])         if cells else base["ts"]
+    ts = F.greatest(base["ts"], *[F.when(ok, c["ts"]) for c, ok in zip(cells, live)])
     base_alive = F.coalesce(~base["expired"], F.lit(False))
     lasting = reduce(lambda a, b: a | b, [ok & c["ttl"].isNull() for c, ok in zip(cells, live)],
                      base_alive & ~F.coalesce(base["expiring"], F.lit(False)))
@@ -68,6 +68,16 @@ def build(state: DataFrame, view: ViewSpec) -> DataFrame:
                        *[F.col(f"_c_{c}").alias(c) for c in view.columns])
 
 
+def entries(state: DataFrame, view: ViewSpec) -> DataFrame:
+    """Base key and its view entry (null if it has none).
+
+    A base row has at most one entry, so a view kept by base key needs no knowledge of the
+    old row: the new entry, or its absence, replaces whatever was there.
+    """
+    entry = F.struct(*[F.col(c).alias(c) for c in (*view.key, *view.columns)])
+    return _open(state, view).select(*view.base.key, F.when(_entry(view), entry).alias("entry"))
+
+
 def rows(state: DataFrame, view: ViewSpec, meta: bool = False) -> DataFrame:
     """Live rows of the view."""
     return rec.live_rows(build(state, view), view.as_table(), meta)

@@ -3,14 +3,12 @@
 from pyspark.sql import functions as F
 
 from cellspark.operators import reconcile as rec
-from cellspark.operators import views
 from cellspark.plans.logs import (EVENT_LOG, EVENT_LOG_SQL, LINE_LOG, LINE_NOW, NOW, event_log, line_cells_sql, line_log,
                                   micros)
 from cellspark.plans.reconcile_queries import _GC
 from cellspark.plans.registry import ORACLE, Tables, query
-from cellspark.plans.view_queries import BY_KIND
+from cellspark.plans.view_queries import BY_KIND, filtered_view
 from cellspark.session import fresh_path
-from cellspark.spec import TableSpec
 from cellspark.streaming import mutations as S
 
 
@@ -97,18 +95,28 @@ def audit(t):
     return t.spark.read.parquet(trail).select("primary_key", "operation", "at")
 
 
-_ROWS_ONLY = TableSpec(["user_id"], ["slot"], (), ["value", "kind"])
-
-
 @query("t8_view_upkeep", f"""
 WITH {EVENT_LOG_SQL.replace("max(ts) AS ts FROM log WHERE op = 'delete_partition'", "0 AS ts FROM log WHERE op = 'delete_partition'")}
 SELECT kind, user_id, slot, value FROM state WHERE kind IS NOT NULL""")
 def view_upkeep(t):
     # row-level mutations only: partition deletions reach views through v3_incremental
-    state, changes, checkpoint = (fresh_path(t.spark, x) for x in ("base", "changes", "ck"))
+    path, checkpoint = fresh_path(t.spark, "view"), fresh_path(t.spark, "ck")
+    log = event_log(streams(t)).filter("_op <> 'delete_partition'")
+    _finish(S.maintain_view(log, BY_KIND, NOW, path, checkpoint))
+    return S.view_rows(t.spark, path, BY_KIND)
+
+
+@query("v5_consolidated_view", f"""
+WITH {EVENT_LOG_SQL.replace("max(ts) AS ts FROM log WHERE op = 'delete_partition'", "0 AS ts FROM log WHERE op = 'delete_partition'")}
+SELECT kind, user_id, slot, value FROM state WHERE kind IS NOT NULL AND value > 40""")
+def consolidated_view(t):
+    view = filtered_view()
+    path, checkpoint = fresh_path(t.spark, "view"), fresh_path(t.spark, "ck")
     log = event_log(streams(t)).filter("_op <> 'delete_partition'")
-    _finish(S.maintain_view(log, BY_KIND, NOW, state, changes, checkpoint))
-    return S.view_rows(t.spark, changes, BY_KIND)
+    _finish(S.maintain_view(log, view, NOW, path, checkpoint))
+    kept = fresh_path(t.spark, "view")
+    S.consolidate(t.spark, path, EVENT_LOG.key, kept)
+    return S.view_rows(t.spark, kept, view)
 
 
 @query("t9_replay", f"WITH {EVENT_LOG_SQL} SELECT user_id, slot, value, kind FROM state")

@@ -46,9 +46,14 @@ def clustered(df: DataFrame, spec: TableSpec, n_files: int | None = None) -> Dat
 
 
 def bulk_write(df: DataFrame, spec: TableSpec, path: str, n_files: int | None = None,
-               bloom: bool = False, mode: str = "overwrite") -> None:
-    """Sorted Parquet files; with ``bloom`` point reads by partition key skip files."""
-    writer = clustered(df, spec, n_files).write.mode(mode)
+               bloom: bool = False, keep_token: bool = False, mode: str = "overwrite") -> None:
+    """Sorted Parquet files; with ``bloom`` point reads by partition key skip files.
+
+    ``keep_token`` stores the token as ``_token``, so that token ranges and pages are
+    pruned by the min/max values of the sorted files.
+    """
+    rows = clustered(df, spec, n_files)
+    writer = (rows.withColumn("_token", token_of(spec.pk)) if keep_token else rows).write.mode(mode)
     if bloom:
         for c in spec.pk:
             writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")

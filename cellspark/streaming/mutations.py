@@ -112,47 +112,24 @@ def with_audit(log: DataFrame, spec: TableSpec, table: str, data_path: str, audi
     return each_batch(log, write, checkpoint)
 
 
-def maintain_view(log: DataFrame, view: ViewSpec, now: int, state_path: str, changes_path: str,
-                  checkpoint: str) -> StreamingQuery:
-    """Keep base state and emit the view's mutations, one folder per batch.
+def maintain_view(log: DataFrame, view: ViewSpec, now: int, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep a view of a mutation stream up to date.
 
-    Base state is stored as the changed rows of each batch. Batch ``n`` reads only folders
-    of batches below ``n``, so running it again after a failure gives the same result.
+    The base state lives in the streaming aggregate. Each batch writes, for the base rows it
+    changed, their new view entry or its absence; nothing stored earlier is read again.
     """
-    spec = view.base
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        change = rec.merge_states(rec.to_state(batch, spec, now), spec)
-        stored = _stored(session, state_path, spec, batch_id, change)
-        touched = stored.join(change.select(*spec.key), spec.key, "left_semi")
-        merged = rec.merge_copies([touched, change], spec)
-        merged.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{state_path}/b={batch_id}")
-        after = session.read.parquet(f"{state_path}/b={batch_id}").drop("_batch")
-        views.delta(touched, after, view).withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode(
-            "overwrite").parquet(f"{changes_path}/b={batch_id}")
-
-    return each_batch(log, apply, checkpoint)
-
-
-def _stored(spark: SparkSession, path: str, spec: TableSpec, before: int, like: DataFrame) -> DataFrame:
-    if before == 0:
-        return like.limit(0)
-    rows = spark.read.option("basePath", path).schema(
-        like.schema.add("_batch", "bigint").add("b", "bigint")).parquet(path).filter(F.col("b") < before)
-    rest = [c for c in like.columns if c not in spec.key]
-    return rows.groupBy(*spec.key).agg(F.max_by(F.struct(*rest), "_batch").alias("_r")).select(
-        *spec.key, "_r.*")
-
-
-def view_rows(spark: SparkSession, changes_path: str, view: ViewSpec) -> DataFrame:
-    """View contents from the emitted mutations: the last batch that touched a key decides.
-
-    Within a batch a key can be deleted by one base row and inserted by none other, since
-    the view key holds the base key; inserts win over deletes of the same batch.
-    """
-    rows = spark.read.parquet(changes_path)
-    order = F.struct(F.col("_batch"), (F.col("_op") == "insert").cast("int"))
-    last = rows.groupBy(*view.key).agg(F.max_by(F.struct("_op", *view.columns), order).alias("_r"))
-    return last.filter("_r._op = 'insert'").select(*view.key, *[f"_r.{c}" for c in view.columns])
+    state = rec.shadow(latest_state(log, view.base, now), view.base)
+    return upsert_sink(views.entries(state, view), path, checkpoint)
+
+
+def view_rows(spark: SparkSession, path: str, view: ViewSpec) -> DataFrame:
+    """View contents: the newest entry of every base row."""
+    newest = current(spark, path, view.base.key)
+    return newest.filter(F.col("entry").isNotNull()).select(
+        *[F.col(f"entry.{c}").alias(c) for c in (*view.key, *view.columns)])
+
+
+def consolidate(spark: SparkSession, path: str, key: list[str], out: str) -> None:
+    """Rewrite a folder of batches as one: only the newest version of every key is kept."""
+    newest = current(spark, path, key).withColumn("_batch", F.lit(-1).cast("bigint"))
+    newest.write.mode("overwrite").parquet(f"{out}/b=-1")
