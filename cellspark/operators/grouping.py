@@ -35,7 +35,7 @@ def group_by(df: DataFrame, spec: TableSpec, group: list[str], aggregates: dict[
     first = [c for c in first if c not in group]
     if not first:
         return df.groupBy(*group).agg(*aggs)
-    payload = select._pick(spec, first, reverse=False).alias("_first")
+    payload = select.pick_row(spec, first, group=group).alias("_first")
     out = df.groupBy(*group).agg(payload, *aggs)
     return out.select(*group, *[F.col(f"_first.{c}").alias(c) for c in first], *aggregates)
 

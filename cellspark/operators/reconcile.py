@@ -66,8 +66,8 @@ def _comparable(value: Column, dtype: T.DataType) -> Column:
     return F.array_sort(F.map_entries(value)) if isinstance(dtype, T.MapType) else value
 
 
-def to_state(log: DataFrame, spec: TableSpec, now: int, tie: str = "value") -> DataFrame:
-    """Each row mutation as a one-version state row (a projection, no shuffle)."""
+def _versions(log: DataFrame, spec: TableSpec, now: int, tie: str) -> list[Column]:
+    """Liveness, deletion and one struct per cell of a mutation, named as in the state."""
     op = _meta(log, "_op", F.lit("insert"))
     ts = F.col("_ts").cast("bigint")
     ttl = _meta(log, "_ttl", F.lit(spec.default_ttl)).cast("int")
@@ -103,8 +103,26 @@ def to_state(log: DataFrame, spec: TableSpec, now: int, tie: str = "value") -> D
         F.when(ttl > 0, ttl).alias("ttl"))).alias("_live")
     deletion = F.when(op == "delete_row", F.struct(
         ts.alias("ts"), written_at.cast("bigint").alias("ldt"))).alias("_del")
-    rows = log.filter(op.isin(*ROW_OPS)) if "_op" in log.columns else log
-    return rows.select(*spec.key, liveness, deletion, *cells)
+    return [liveness, deletion, *cells]
+
+
+def _row_mutations(log: DataFrame) -> DataFrame:
+    return log.filter(F.col("_op").isNull() | F.col("_op").isin(*ROW_OPS)) if "_op" in log.columns else log
+
+
+def to_state(log: DataFrame, spec: TableSpec, now: int, tie: str = "value") -> DataFrame:
+    """Each row mutation as a one-version state row (a projection, no shuffle)."""
+    return _row_mutations(log).select(*spec.key, *_versions(log, spec, now, tie))
+
+
+def merge_log(log: DataFrame, spec: TableSpec, now: int, tie: str = "value") -> DataFrame:
+    """``merge_states(to_state(log))`` with the versions built inside the aggregate.
+
+    The rows sorted for the map-side combine are then the narrow mutations, not the state.
+    """
+    names = ["_live", "_del", *spec.regular]
+    versions = _versions(log, spec, now, tie)
+    return _row_mutations(log).groupBy(*spec.key).agg(*[F.max(v).alias(n) for n, v in zip(names, versions)])
 
 
 def merge_states(states: DataFrame, spec: TableSpec) -> DataFrame:
@@ -247,7 +265,7 @@ def shadow(state: DataFrame, spec: TableSpec) -> DataFrame:
 def reconcile(log: DataFrame, spec: TableSpec, now: int, tie: str = "value",
               partition_deletes: bool = True, ranges: DataFrame | None = None) -> DataFrame:
     """Table state at ``now`` from a mutation log."""
-    state = merge_states(to_state(log, spec, now, tie), spec)
+    state = merge_log(log, spec, now, tie)
     if partition_deletes and "_op" in log.columns:
         state = with_partition_deletions(state, partition_deletions(log, spec), spec)
     if ranges is not None:

@@ -54,17 +54,21 @@ def with_statics(rows: DataFrame, statics: DataFrame, spec: TableSpec,
     return joined.unionByName(alone.select(*spec.pk, *shown, *nulls))
 
 
-def first_row(df: DataFrame, spec: TableSpec, columns: list[str],
-              reverse: bool = False) -> dict[str, Column]:
+def first_row(spec: TableSpec, columns: list[str], reverse: bool = False,
+              group: list[str] | None = None) -> dict[str, Column]:
     """Aggregates giving each column's value in the first row of the group (clustering order)."""
-    pick = _pick(spec, columns, reverse)
+    pick = pick_row(spec, columns, reverse, group)
     return {c: pick[c].alias(c) for c in columns}
 
 
-def _pick(spec: TableSpec, columns: list[str], reverse: bool) -> Column:
+def pick_row(spec: TableSpec, columns: list[str], reverse: bool = False,
+             group: list[str] | None = None) -> Column:
+    """One aggregate holding ``columns`` of the group's first row as a struct."""
     payload = F.struct(*[F.col(c).alias(c) for c in columns])
     directions = {(d == "asc") != reverse for _, d in spec.clustering}
-    key = F.struct(*[F.col(c) for c in spec.key])
+    # columns of the group are the same in all its rows
+    rest = [c for c in spec.key if c not in (group or spec.pk)]
+    key = F.struct(*[F.col(c) for c in rest or spec.key])
     if len(directions) > 1:
         raise ValueError("first_row needs one clustering direction; use first_row_mixed")
     ascending = next(iter(directions), True)

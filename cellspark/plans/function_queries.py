@@ -160,7 +160,7 @@ def add_duration(t):
 
 @query("f17_current")
 def current(t):
-    return t.region.select("r_regionkey", timeuuid.current_timestamp().alias("ts"), timeuuid.current_date().alias("day"),
+    return t.events.select("event_id", timeuuid.current_timestamp().alias("ts"), timeuuid.current_date().alias("day"),
                            timeuuid.current_time_nanos().alias("time"))
 
 

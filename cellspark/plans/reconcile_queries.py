@@ -101,10 +101,7 @@ def range_deletes(t):
         "o_custkey", (F.col("o_orderdate") - F.expr("INTERVAL 200 DAYS")).alias("lo"), F.col("o_orderdate").alias("hi"),
         F.lit(True).alias("lo_incl"), F.lit(False).alias("hi_incl"),
         (micros("o_orderdate") - 86400000000 * 30).alias("_ts"), F.lit(LINE_NOW).alias("_now"))
-    # small bins, so that bins covered whole are met at any scale
-    state = rec.merge_states(rec.to_state(log, spec, LINE_NOW), spec)
-    state = rec.with_range_deletions(state, ranges, spec, bin_rows=4)
-    return rec.live_rows(rec.shadow(state, spec), spec)
+    return rec.live_rows(rec.reconcile(log, spec, LINE_NOW, ranges=ranges), spec)
 
 
 @query("m5_collection", f"""

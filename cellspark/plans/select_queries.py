@@ -85,7 +85,7 @@ SELECT o_custkey, arg_min(o_orderstatus, (o_orderdate, o_orderkey)) AS o_orderst
        arg_min(o_totalprice, (o_orderdate, o_orderkey)) AS o_totalprice, count(*) AS n
 FROM orders GROUP BY o_custkey""")
 def first_row(t):
-    first = select.first_row(t.orders, ORDERS, ["o_orderstatus", "o_totalprice"])
+    first = select.first_row(ORDERS, ["o_orderstatus", "o_totalprice"])
     return t.orders.groupBy("o_custkey").agg(*first.values(), F.count(F.lit(1)).alias("n"))
 
 

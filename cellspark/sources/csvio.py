@@ -31,10 +31,8 @@ def export_rows(df: DataFrame, spec: TableSpec, columns: list[str] | None = None
             if thousands_sep:
                 whole = F.regexp_replace(F.regexp_extract(text, r"^(-?\d+)", 1),
                                          r"(\d)(?=(\d{3})+$)", "$1" + thousands_sep)
-                text = F.concat(whole, F.regexp_extract(text, r"^-?\d+(.*)$", 1).alias("r"))
-                if decimal_sep != ".":
-                    text = F.concat(whole, F.replace(F.regexp_extract(c.cast("string"), r"^-?\d+(.*)$", 1),
-                                                     F.lit("."), F.lit(decimal_sep)))
+                fraction = F.regexp_extract(text, r"^-?\d+(.*)$", 1)
+                text = F.concat(whole, F.replace(fraction, F.lit("."), F.lit(decimal_sep)))
             elif decimal_sep != ".":
                 text = F.replace(text, F.lit("."), F.lit(decimal_sep))
         else:
@@ -55,17 +53,20 @@ def export_csv(rows: DataFrame, path: str, header: bool = False, delimiter: str
 def import_csv(spark: SparkSession, path: str, schema: T.StructType, key: list[str], header: bool = False,
                delimiter: str = ",", null_value: str = "", decimal_sep: str = ".", thousands_sep: str = "",
                bool_style: tuple[str, str] = ("True", "False"),
-               skip_columns: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+               skip_columns: tuple[str, ...] = (), max_rows: int = -1) -> tuple[DataFrame, DataFrame]:
     """(rows, errors) of a CSV folder.
 
     Lines that do not parse, and rows without a full key, are kept in ``errors`` with the
-    reason; :func:`check_errors` applies a limit to them.
+    reason; :func:`check_errors` applies a limit to them. ``max_rows`` reads at most that
+    many lines.
     """
     raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
                               + [T.StructField("_corrupt", T.StringType())])
     raw = spark.read.schema(raw_schema).csv(
         path, header=header, sep=delimiter, mode="PERMISSIVE", escape='"',
         columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
+    if max_rows >= 0:
+        raw = raw.limit(max_rows)
 
     def text_of(f: T.StructField) -> Column:
         c = F.col(f.name)

@@ -30,7 +30,7 @@ def source(spark: SparkSession, path: str, schema: StructType, files_per_batch:
 
 def latest_state(log: DataFrame, spec: TableSpec, now: int) -> DataFrame:
     """Merged state per key as a streaming aggregate (update or complete mode)."""
-    return rec.merge_states(rec.to_state(log, spec, now), spec)
+    return rec.merge_log(log, spec, now)
 
 
 def live_latest(spark: SparkSession, state_path: str, spec: TableSpec) -> DataFrame:
