@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cellspark.functions.token import token
 from cellspark.operators import select
+from cellspark.plans import hash_sql
 from cellspark.plans.registry import EVENTS, ORDERS, TURNS, query
 from cellspark.spec import TableSpec
 
@@ -156,7 +157,11 @@ def page(t):
     return rows.filter(after).orderBy(*ORDERS.key).limit(500)
 
 
-@query("l7_page_by_token")
+@query("l7_page_by_token", f"""
+WITH {hash_sql.xxhash64("SELECT o_custkey, o_orderdate, o_orderkey FROM orders", "o_custkey")},
+first_two AS (SELECT * FROM tokens QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) <= 2)
+SELECT token AS _token, o_custkey, o_orderdate, o_orderkey FROM first_two
+WHERE (token, o_custkey, o_orderdate, o_orderkey) > (0, 0, TIMESTAMP '1990-01-01', 0) ORDER BY token, o_custkey, o_orderdate, o_orderkey LIMIT 500""")
 def page_by_token(t):
     rows = t.orders.select("o_custkey", "o_orderdate", "o_orderkey")
     return select.page(rows, ORDERS, 500, (0, 0, F.lit("1990-01-01").cast("timestamp_ntz"), 0), per_partition=2)
@@ -173,12 +178,19 @@ def top_sketch(t):
     return select.top_partitions_sketch(t.events, "user_id", 10)
 
 
-@query("f20_token_xxhash64")
+@query("f20_token_xxhash64", f"""
+WITH {hash_sql.xxhash64("SELECT o_orderkey, o_custkey FROM orders", "o_custkey")} SELECT o_orderkey, o_custkey, token FROM tokens""")
 def token_default(t):
-    return t.orders.select("o_custkey", token(["o_custkey"]).alias("token"))
+    return t.orders.select("o_orderkey", "o_custkey", token(["o_custkey"]).alias("token"))
 
 
-@query("f20_token_murmur3")
+@query("f20_token_murmur3", f"""
+WITH {hash_sql.murmur3("SELECT l_orderkey, l_linenumber, l_partkey - 1000 AS id FROM lineitem", "id")} SELECT l_orderkey, l_linenumber, id, token FROM tokens""")
 def token_murmur3(t):
-    return t.orders.select("o_custkey", token(["o_custkey"], ["bigint"], "murmur3").alias("token"),
-                           token(["o_custkey", "o_orderstatus"], ["bigint", "text"], "murmur3").alias("token_2"))
+    k = F.col("l_partkey") - 1000
+    return t.lineitem.select("l_orderkey", "l_linenumber", k.alias("id"), token([k], ["bigint"], "murmur3").alias("token"))
+
+
+@query("f20_token_murmur3_composite")
+def token_murmur3_composite(t):
+    return t.orders.select("o_orderkey", token(["o_custkey", "o_orderstatus"], ["bigint", "text"], "murmur3").alias("token"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from cellspark.operators import replica, stats
+from cellspark.plans import hash_sql
 from cellspark.plans.logs import EVENT_LOG, EVENT_LOG_SQL, NOW, event_log, micros
 from cellspark.plans.reconcile_queries import _SOURCES_SQL, event_sources
 from cellspark.plans.registry import EVENTS, ORDERS, query
@@ -119,7 +120,8 @@ def size_estimates(t):
     return stats.size_estimates(t.events.select(*_USER.columns), _USER, 3, replica.leaf_of(_USER, 3, "md5"))
 
 
-@query("n9_key_samples")
+@query("n9_key_samples", f"""
+WITH {hash_sql.xxhash64("SELECT DISTINCT o_custkey FROM orders", "o_custkey")} SELECT o_custkey FROM tokens WHERE token % 10 = 0""")
 def key_samples(t):
     return stats.key_samples(t.orders, ORDERS, 10)
 
