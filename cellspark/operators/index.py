@@ -33,7 +33,7 @@ def value_index(df: DataFrame, target: str, spec: TableSpec, kind: str = "value"
     c = F.col(target)
     is_map = df.schema[target].dataType.typeName() == "map"
     if kind == "value":
-        return df.filter(c.isNotNull()).select(c.alias("value"), *_rest(spec, target))
+        return df.filter(c.isNotNull()).select(c.alias("value"), *spec.key)
     items: Column = {
         "values": F.array_distinct(F.map_values(c) if is_map else c),
         "keys": F.map_keys(c) if is_map else c,
@@ -42,10 +42,6 @@ def value_index(df: DataFrame, target: str, spec: TableSpec, kind: str = "value"
     return df.select(F.explode(items).alias("value"), *spec.key)
 
 
-def _rest(spec: TableSpec, target: str) -> list[Column]:
-    return [F.col(c) for c in spec.key]
-
-
 def write_index(index: DataFrame, path: str, by: str, mode: str = "overwrite") -> None:
     """Store an index sorted by its value, so that a lookup reads few row groups.
 

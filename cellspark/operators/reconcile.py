@@ -175,12 +175,14 @@ def covering_deletions(rows: DataFrame, ranges: DataFrame, spec: TableSpec,
     """
     first = spec.ck[0]
     dtype = rows.schema[first].dataType
-    keys = rows.select(*spec.key, position(F.col(first), dtype).alias("_pos"))
     bounded = ranges.select(
         *spec.pk, "lo", "hi", "lo_incl", "hi_incl",
         F.struct(F.col("_ts").alias("ts"), F.col("_now").cast("bigint").alias("ldt")).alias("_rdel"),
         position(F.col("lo"), dtype).alias("_plo"), position(F.col("hi"), dtype).alias("_phi"))
     touched = bounded.groupBy(*spec.pk).agg(F.count(F.lit(1)).alias("_ranges"))
+    # only keys of partitions with ranges, each once
+    keys = rows.select(*spec.key).join(touched.select(*spec.pk), spec.pk, "left_semi").distinct().withColumn(
+        "_pos", position(F.col(first), dtype))
     extent = keys.join(touched, spec.pk).groupBy(*spec.pk).agg(
         F.min("_pos").alias("_min"), F.max("_pos").alias("_max"),
         F.ceil((F.count(F.lit(1)) + F.max("_ranges")) / bin_rows).cast("bigint").alias("_bins"))
@@ -244,22 +246,25 @@ def _whole_bins(placed: DataFrame, binned: DataFrame, spec: TableSpec) -> DataFr
 
 
 def with_range_deletions(state: DataFrame, ranges: DataFrame, spec: TableSpec,
-                         bin_rows: int = 4096) -> DataFrame:
+                         bin_rows: int = 4096, rows: DataFrame | None = None) -> DataFrame:
     """Apply range tombstones to merged state.
 
+    ``rows`` may give the keys from elsewhere (the log the state was merged from): only the
+    key columns are read then, instead of merging the state a second time.
+
     Working on merged rows is exact: each cell's winner has the largest timestamp, so if the
     winner is covered every older version is too.
     """
-    found = covering_deletions(state, ranges, spec, bin_rows)
+    found = covering_deletions(state if rows is None else rows, ranges, spec, bin_rows)
     joined = state.join(found, spec.key, "left")
     return joined.withColumn("_del", F.greatest("_del", "_rdel")).drop("_rdel")
 
 
-def shadow(state: DataFrame, spec: TableSpec) -> DataFrame:
+def shadow(state: DataFrame, spec: TableSpec, carry: tuple[str, ...] = ()) -> DataFrame:
     """Drop liveness and cells written at or before the row's deletion."""
     gone = lambda c: F.when(F.col("_del").isNull() | (F.col(f"{c}.ts") > F.col("_del.ts")), F.col(c))
     return state.select(*spec.key, gone("_live").alias("_live"), "_del",
-                        *[gone(c).alias(c) for c in spec.regular])
+                        *[gone(c).alias(c) for c in spec.regular], *carry)
 
 
 def reconcile(log: DataFrame, spec: TableSpec, now: int, tie: str = "value",
@@ -269,7 +274,7 @@ def reconcile(log: DataFrame, spec: TableSpec, now: int, tie: str = "value",
     if partition_deletes and "_op" in log.columns:
         state = with_partition_deletions(state, partition_deletions(log, spec), spec)
     if ranges is not None:
-        state = with_range_deletions(state, ranges, spec)
+        state = with_range_deletions(state, ranges, spec, rows=_row_mutations(log))
     return shadow(state, spec)
 
 
@@ -423,3 +428,10 @@ def compact(state: DataFrame, spec: TableSpec, now: int, gc_grace: int | None =
     deletion = F.when(~purgeable(F.col("_del.ts"), F.col("_del.ldt")), F.col("_del")).alias("_del")
     out = state.select(*spec.key, liveness, deletion, *[cell(c) for c in spec.regular])
     return out.filter(_anything(spec))
+
+
+def purge_deletions(deletions: DataFrame, ts: Column, ldt: Column, now: int, gc_grace: int,
+                    min_other_ts: int | None = None) -> DataFrame:
+    """Partition or range tombstones that a compaction has to keep."""
+    old = ldt < now - gc_grace
+    return deletions.filter(~(old if min_other_ts is None else old & (ts < min_other_ts)))

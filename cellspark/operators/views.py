@@ -13,14 +13,14 @@ from cellspark.spec import ViewSpec
 LIVE_TYPE = "struct<ts:bigint,expired:boolean,expiring:boolean,exp:bigint,ttl:int>"
 
 
-def _open(state: DataFrame, view: ViewSpec) -> DataFrame:
+def _open(state: DataFrame, view: ViewSpec, carry: tuple[str, ...] = ()) -> DataFrame:
     """State with live values as plain columns and the cells as ``_c_<name>``."""
     base = view.base
     live_value = lambda c: F.when(~F.col(f"{c}.dead"), rec._shown(c, state.schema[c].dataType))
     return state.select(
         *base.key, "_live", "_del", rec.is_live_row(base).alias("_alive"),
         *[F.col(c).alias(f"_c_{c}") for c in base.regular],
-        *[live_value(c).alias(c) for c in base.regular])
+        *[live_value(c).alias(c) for c in base.regular], *carry)
 
 
 def _liveness(view: ViewSpec) -> Column:
@@ -83,23 +83,29 @@ def rows(state: DataFrame, view: ViewSpec, meta: bool = False) -> DataFrame:
     return rec.live_rows(build(state, view), view.as_table(), meta)
 
 
+def _side(state: DataFrame, view: ViewSpec, tag: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Base key, the row's view entry (or null) as ``tag`` and its whole state as ``<tag>_all``."""
+    base = view.base
+    kept = F.struct(*carry).alias("_carry") if carry else F.lit(None).alias("_carry")
+    opened = _open(state.withColumn("_carry", kept), view, ("_carry",))
+    entry = F.struct(
+        *[F.col(c).alias(c) for c in (*view.key, *view.columns)],
+        _liveness(view)["ts"].alias("_lts"), _deletion_ts(view).alias("_dts"))
+    whole = F.struct("_live", "_del", *[F.col(f"_c_{c}").alias(c) for c in base.regular])
+    return opened.select(*base.key, F.when(_entry(view), entry).alias(tag), whole.alias(f"{tag}_all"),
+                         *[F.col(f"_carry.{c}").alias(c) for c in carry])
+
+
 def delta(old: DataFrame, new: DataFrame, view: ViewSpec) -> DataFrame:
     """View mutations for base rows whose state went from ``old`` to ``new``.
 
     Gives the view key, ``action``, ``_op`` (insert or delete_row), ``_ts`` and the view's
     cells. Base keys are unique on both sides, so the join has no hot key.
     """
-    base = view.base
+    return _mutations(_side(old, view, "o").join(_side(new, view, "n"), view.base.key, "full"), view)
 
-    def side(state: DataFrame, tag: str) -> DataFrame:
-        opened = _open(state, view)
-        entry = F.struct(
-            *[F.col(c).alias(c) for c in (*view.key, *view.columns)],
-            _liveness(view)["ts"].alias("_lts"), _deletion_ts(view).alias("_dts"))
-        whole = F.struct("_live", "_del", *[F.col(f"_c_{c}").alias(c) for c in base.regular])
-        return opened.select(*base.key, F.when(_entry(view), entry).alias(tag), whole.alias(f"{tag}_all"))
 
-    both = side(old, "o").join(side(new, "n"), base.key, "full")
+def _mutations(both: DataFrame, view: ViewSpec) -> DataFrame:
     changed = both.filter(~F.col("o_all").eqNullSafe(F.col("n_all")))
     same = F.lit(True)
     if view.moved:
@@ -132,13 +138,18 @@ def _deletion_ts(view: ViewSpec) -> Column:
 def incremental(base_state: DataFrame, change_state: DataFrame, view: ViewSpec) -> DataFrame:
     """View mutations caused by newly arrived base mutations (given as state).
 
-    Only base rows whose key occurs in the change are read into the comparison.
+    One join from the changed keys to the stored rows: the new row is the larger of the two
+    states cell by cell, so the base table is read once and untouched rows are not kept.
     """
     spec = view.base
+    pieces = ["_live", "_del", *spec.regular]
     change = rec.merge_states(change_state, spec)
-    touched = base_state.join(change.select(*spec.key), spec.key, "left_semi")
-    merged = rec.merge_copies([touched, change], spec)
-    return delta(touched, merged, view)
+    stored = base_state.select(*spec.key, F.struct(*pieces).alias("_old"))
+    met = change.join(stored, spec.key, "left").select(
+        *spec.key, *[F.greatest(F.col(f"_old.{p}"), F.col(p)).alias(p) for p in pieces], "_old")
+    new = _side(rec.shadow(met, spec, ("_old",)), view, "n", ("_old",))
+    old = new.select(*spec.key, "_old.*", "n", "n_all")
+    return _mutations(_side(old, view, "o", ("n", "n_all")), view)
 
 
 def apply_delta(view_rows: DataFrame, changes: DataFrame, view: ViewSpec) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -156,6 +154,3 @@ def dump_keys(state: DataFrame, spec: TableSpec) -> DataFrame:
     keys = state.select(*spec.pk).distinct()
     return keys.select(F.to_json(F.array(*[F.col(c).cast("string") for c in spec.pk])).alias("json"))
 
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
