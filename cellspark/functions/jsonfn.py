@@ -86,16 +86,39 @@ def _typed(value: Column, dtype: T.DataType) -> Column:
 
 
 def from_json(text: Column, dtype: T.DataType) -> Column:
-    """Parse JSON text into ``dtype``; numbers given as text are accepted, bad input is an error."""
+    """Parse JSON text into ``dtype``; numbers given as text are accepted, bad input is an error.
+
+    Fields of a struct are found by the case rule (quoted names keep their case, others are
+    lower); an unknown field is an error.
+    """
+    if isinstance(dtype, T.StructType):
+        known = F.array(*[F.lit(f.name) for f in dtype.fields])
+
+        def build(m: Column) -> Column:
+            made = F.struct(*[_cell(F.try_element_at(m, F.lit(f.name)), f.dataType).alias(f.name)
+                              for f in dtype.fields])
+            unknown = F.array_except(F.map_keys(m), known)
+            error = F.raise_error(F.concat(F.lit("unknown field in JSON: "), F.array_join(unknown, ", ")))
+            return F.when(F.size(unknown) > 0, error.cast(dtype)).otherwise(made)
+
+        present = text.isNotNull() & (text != "null")
+        # the one-element array binds the parsed map, so that it is not parsed once per field
+        return F.when(present, F.element_at(F.transform(F.array(_named(text)), build), 1))
     wrapper = T.StructType([T.StructField("x", _lenient(dtype))])
     parsed = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), wrapper, {"mode": "FAILFAST"})
     return _typed(parsed["x"], dtype)
 
 
-def json_keys(text: Column) -> Column:
-    """Top-level keys with the case rule applied: quoted names keep case, others are lowered."""
-    keys = F.json_object_keys(text)
-    return F.transform(keys, lambda k: F.when(
+def _cell(text: Column, dtype: T.DataType) -> Column:
+    """A value out of a map of JSON texts: nested values are JSON, scalars bare text."""
+    nested = isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
+    return from_json(text, dtype) if nested else _typed(text, dtype)
+
+
+def _named(text: Column) -> Column:
+    """A JSON object as a map of name (case rule applied) to text."""
+    raw = F.from_json(text, T.MapType(T.StringType(), T.StringType()), {"mode": "FAILFAST"})
+    return F.transform_keys(raw, lambda k, v: F.when(
         k.rlike('^".*"$'), F.regexp_replace(k, '^"|"$', "")).otherwise(F.lower(k)))
 
 
@@ -105,19 +128,13 @@ def row_from_json(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
     ``_set`` lists the names that occur in the text, so that a caller can tell an
     explicit null from a missing name.
     """
-    raw = F.from_json(F.col(text), T.MapType(T.StringType(), T.StringType()), {"mode": "FAILFAST"})
-    lowered = F.transform_keys(raw, lambda k, v: F.when(
-        k.rlike('^".*"$'), F.regexp_replace(k, '^"|"$', "")).otherwise(F.lower(k)))
     known = F.array(*[F.lit(f.name) for f in schema.fields])
     unknown = F.array_except(F.map_keys(F.col("_raw")), known)
 
     def read(f: T.StructField) -> Column:
-        cell = F.try_element_at(F.col("_raw"), F.lit(f.name))
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            return from_json(cell, f.dataType)
-        return _typed(cell, f.dataType)
+        return _cell(F.try_element_at(F.col("_raw"), F.lit(f.name)), f.dataType)
 
-    parsed = df.withColumn("_raw", lowered)
+    parsed = df.withColumn("_raw", _named(F.col(text)))
     checked = F.when(F.size(unknown) > 0, F.raise_error(
         F.concat(F.lit("unknown column in JSON: "), F.array_join(unknown, ", "))).cast("array<string>")
     ).otherwise(F.map_keys(F.col("_raw")))

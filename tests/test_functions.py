@@ -178,6 +178,16 @@ def test_json_in(spark):
         jsonfn.row_from_json(bad, "j", schema).collect()
 
 
+def test_user_type_from_json(spark):
+    kind = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("Big", T.StringType()),
+                         T.StructField("u", T.StructType([T.StructField("x", T.LongType())]))])
+    parse = lambda text: one(spark, jsonfn.from_json(F.lit(text), kind))[0]
+    assert parse('{"A": "7", "\\"Big\\"": "y", "u": {"X": 5}}').asDict(recursive=True) == {"a": 7, "Big": "y", "u": {"x": 5}}
+    assert parse("null") is None
+    with pytest.raises(Exception, match="unknown field"):
+        parse('{"nope": 1}')
+
+
 @pytest.mark.parametrize("word, stem", [
     ("caresses", "caress"), ("ponies", "poni"), ("cats", "cat"), ("agreed", "agre"), ("plastered", "plaster"),
     ("motoring", "motor"), ("hopping", "hop"), ("filing", "file"), ("happy", "happi"), ("relational", "relat"),
