@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,3 +64,43 @@ def whole(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 def texts(column: pa.Array) -> list[str]:
     """Texts of a batch; null counts as empty."""
     return [t or "" for t in column.to_pylist()]
+
+
+#: White space for ``str.split`` that is part of a word here.
+_INSIDE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text: str) -> list[str]:
+    """Maximal runs of characters other than blank, tab, line feed and their kin (9 to 13)."""
+    return _WORDS.findall(text) if _INSIDE.search(text) else text.split()
+
+
+#: A found span: code points, end exclusive. ``place`` is the rank of its kind among spans that start together.
+SPAN = StructType([
+    StructField("start", IntegerType()), StructField("place", IntegerType()),
+    StructField("kind", StringType()), StructField("end", IntegerType())])
+
+
+def spans_text(spans: Column) -> Column:
+    """``kind:start:end`` of every span, comma-joined."""
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+
+def count_kind(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def replace_spans(text: Column, spans: Column, mask: Callable[[Column], Column]) -> Column:
+    """The text with every span replaced by ``mask(span)``; spans sorted by start, a later overlap keeps its rest."""
+    start = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
+
+    def step(acc, s):
+        begin = F.greatest(acc["at"], s["start"])
+        return F.when(s["end"] <= acc["at"], acc).otherwise(F.struct(
+            F.concat(acc["done"], F.substring(text, acc["at"] + 1, begin - acc["at"]), mask(s)).alias("done"),
+            s["end"].alias("at")))
+
+    whole_length = F.length(text)
+    return F.aggregate(spans, start, step, lambda acc: F.concat(
+        acc["done"], F.substring(text, acc["at"] + 1, whole_length - acc["at"])))
