@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import bpe, langid, packing, pii, quality, secrets, wordpiece
+from cellspark.llm import bpe, langid, minhash, packing, pii, quality, secrets, wordpiece
 from cellspark.llm.common import count_kind, spans_text, table, tokenizer_file, whole
 
 
@@ -46,6 +46,10 @@ def op8_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(whole(table(spark, folder, "documents"))).drop("text")
     base = F.filter("secrets", lambda s: s["place"] < len(secrets.BASE))
@@ -58,7 +62,7 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_packing, op2_language_id, op3_token_counts, op4_pii, op7_line_quality, op8_bpe_round_trip, op10_secret_scan)
+        op1_packing, op2_language_id, op3_token_counts, op4_pii, op7_line_quality, op8_bpe_round_trip, op9_minhash, op10_secret_scan)
 }
 
 #: SQL for the same rows, where SQL can give them over whole tables in reasonable time.
