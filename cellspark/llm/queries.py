@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import bpe, langid, minhash, packing, pii, quality, secrets, wordpiece
+from cellspark.llm import bpe, langid, minhash, neighbours, packing, passages, pii, quality, secrets, wordpiece
 from cellspark.llm.common import count_kind, spans_text, table, tokenizer_file, whole
 
 
@@ -35,6 +35,15 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
         spans_text(F.col("spans")).alias("spans"))
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = passages.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -62,7 +71,8 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_packing, op2_language_id, op3_token_counts, op4_pii, op7_line_quality, op8_bpe_round_trip, op9_minhash, op10_secret_scan)
+        op1_packing, op2_language_id, op3_token_counts, op4_pii, op5_neighbours, op6_suffix_dedup, op7_line_quality,
+        op8_bpe_round_trip, op9_minhash, op10_secret_scan)
 }
 
 #: SQL for the same rows, where SQL can give them over whole tables in reasonable time.

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import langid, packing, pii
+from cellspark.llm import langid, minhash, packing, passages, pii
 from cellspark.llm.common import tokenizer_file
 from cellspark.session import materialize
 
@@ -20,6 +20,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.predict(docs, network, lang="__lang", score="__score").filter(F.col("__lang") != langid.NO_LANGUAGE).select(docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near duplicates; rows that share its id stay with it."""
+    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+
+
+def passages_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages that a document with a smaller id has; a document of which only white space is left goes.
+
+    Bytes of a character that the cut went through go with it. ``n_chars`` follows.
+    """
+    named = {c: f"__{c}" for c in docs.columns}
+    cut = passages.remove_repeats(docs.withColumnsRenamed(named), "__doc_id", "__text", tuple(named[c] for c in docs.columns if c not in ("doc_id", "text")))
+    left = F.col("kept").cast("string")
+    left = F.when(F.is_valid_utf8(left), left).otherwise(F.replace(F.make_valid_utf8(left), F.lit("\ufffd"), F.lit("")))
+    cut = cut.withColumn("__text", left).filter((F.col("n_removed") == 0) | F.col("__text").rlike(r"\S"))
+    out = cut.select(*[F.col(new).alias(c) for c, new in named.items()])
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Generalises personal data and removes what gives it away; ``n_chars`` follows."""
     return pii.sanitise(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
@@ -30,7 +50,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 
-STAGES = [("language ID", language), ("PII", personal_data), ("packing", pack)]
+STAGES = [("language ID", language), ("MinHash", near_duplicates), ("suffix array", passages_once), ("PII", personal_data), ("packing", pack)]
 
 #: The stages run models, hashes and tokenizers that SQL can't express.
 ORACLE_SQL = None
