@@ -166,6 +166,14 @@ def known_markers(told: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return shared[order], hot[order]
 
 
+def packed(data: bytes) -> bytes:
+    return pa.compress(data, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int) -> bytes:
+    return pa.decompress(data, size, "zstd", asbytes=True)
+
+
 def send_units(n: int):
     """Step 2, chunk: distinct units with their smallest and largest id, to the bucket of their marker."""
 
@@ -185,7 +193,7 @@ def send_units(n: int):
             own = one[at]
             content = b"".join([runs.data[a : a + w + LENGTH - 1] for a, w in zip(first[own].tolist(), windows[own].tolist())])
             rows.append((chunk, b, hashes[own].tobytes(), windows[own].astype("<u4").tobytes(),
-                         np.r_[lowest[at], highest[at]].astype("<i8").tobytes(), pa.compress(content, "zstd", asbytes=True)))
+                         packed(np.r_[lowest[at], highest[at] - lowest[at]].astype("<i8").tobytes()), packed(content)))
         return batch(SENT, rows)
 
     return run
@@ -198,11 +206,13 @@ def order_units(table: pa.Table) -> pa.Table:
     """
     hashes, row = joined(table, "a", np.uint64)
     windows = joined(table, "b", "<u4")[0].astype(np.int64)
-    bounds = [np.frombuffer(x, "<i8").reshape(2, -1) for x in table.column("c").to_pylist()]
-    lowest, highest = np.concatenate([b[0] for b in bounds]), np.concatenate([b[1] for b in bounds])
+    number = np.bincount(row)
+    bounds = [np.frombuffer(unpacked(x, 16 * n), "<i8").reshape(2, -1) for x, n in zip(table.column("c").to_pylist(), number.tolist())]
+    lowest = np.concatenate([b[0] for b in bounds])
+    highest = lowest + np.concatenate([b[1] for b in bounds])
     sizes = windows + LENGTH - 1
     total = np.bincount(row, weights=sizes).astype(np.int64)
-    data = b"".join(pa.decompress(x, int(n), "zstd", asbytes=True) for x, n in zip(table.column("d").to_pylist(), total))
+    data = b"".join(unpacked(x, int(n)) for x, n in zip(table.column("d").to_pylist(), total))
     begin = np.cumsum(sizes) - sizes
     unique, one, place = np.unique(hashes, return_index=True, return_inverse=True)
     least = np.full(len(unique), LAST, np.int64)
