@@ -9,8 +9,7 @@ At the limit of 0.85 a link is missed with a probability under 1e-4 (``(1 - 0.85
 each collection); every reported link is confirmed on the full sets.
 
 How hot groups are kept from growing to all pairs: equal sets are one class with one set of keys.
-A bucket of a table is linked like a star, each member to one hub; buckets of other tables have other
-hubs. Members join a component after one confirmed link, and only pairs of different components
+A bucket of a table is linked like a star, each member to its earliest document. Members join a component after one confirmed link, and only pairs of different components
 are looked at further. What is left after the stars, members of one bucket in different
 components, is compared pair by pair within their size limits, so no link of a bucket is lost.
 
@@ -37,7 +36,7 @@ REMEMBERED = 1_000_000
 LAST = (1 << 63) - 1
 
 #: Star pairs tried for each member in one round; None is all that are left.
-ROUNDS = (1, 4, None)
+ROUNDS = (1, None)
 
 
 class WordHashes(dict):
@@ -105,30 +104,30 @@ def sign(df: DataFrame, parts: int, width: int, size: int, text: str = "text") -
 
 
 def with_sets(df: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """Append ``members``: the sorted shingle hashes."""
+    """Append ``shingles``: the sorted shingle hashes."""
 
     def make():
         known = WordHashes()
 
         def compute(column):
             known.clear()
-            return [pa.array([shingles(t, known, size).tobytes() for t in texts(column)], pa.binary())]
+            return [pa.array([shingles(t, known, size).view(np.int64) for t in texts(column)], pa.list_(pa.int64()))]
 
         return compute
 
-    return append_columns(df, [text], [StructField("members", BinaryType())], make)
+    return append_columns(df, [text], [StructField("shingles", ArrayType(LongType()))], make)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union on the full sets."""
-    left = pairs.select("a", "b").join(sets.select(F.col("class").alias("a"), F.col("members").alias("own")), "a")
-    both = left.join(sets.select(F.col("class").alias("b"), F.col("members").alias("other")), "b").select("a", "b", "own", "other")
+    left = pairs.select("a", "b").join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("own")), "a")
+    both = left.join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("other")), "b").select("a", "b", "own", "other")
 
     def run(batches):
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3)):
+                p, q = x.values.to_numpy(), y.values.to_numpy()
                 if 100 * min(len(p), len(q)) < percent * max(len(p), len(q)):
                     keep.append(False)
                     continue
@@ -139,6 +138,25 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def may_link(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels that a prefix of their sets allows: every pair that can link is among them.
+
+    If two sets link, they share one of the ``n - ceil(percent * n / 100) + 1`` rarest shingles of either.
+    Shingles of one class only can't be shared, so they are counted and not kept; what is left bounds
+    the intersection from above, and with it the similarity.
+    """
+    unpacked = sets.select("class", "label", F.explode("shingles").alias("s"), F.size("shingles").alias("n"))
+    often = unpacked.groupBy("s").agg(F.count("*").alias("often")).filter("often > 1")
+    shared = unpacked.join(often, "s").groupBy("class", "label", "n").agg(F.array_sort(F.collect_list(F.struct("often", "s"))).alias("by"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("by"))
+    prefix = shared.filter(length > 0).select("class", "label", "n", F.size("by").alias("m"), F.explode(F.slice("by", F.lit(1), length.cast("int"))["s"]).alias("s"))
+    a, b = (prefix.select("s", *[F.col(c).alias(f"{c}_{side}") for c in ("class", "label", "n", "m")]) for side in "ab")
+    most = F.least("m_a", "m_b")  # no intersection is larger
+    fits = (F.col("class_a") < F.col("class_b")) & (F.col("label_a") != F.col("label_b")) & (
+        100 * most >= percent * (F.col("n_a") + F.col("n_b") - most))
+    return a.join(b, "s").filter(fits).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+
+
 class Merged:
     """Components found so far, as (id, label); a class without a row is its own."""
 
@@ -179,16 +197,15 @@ def near_duplicates(
     docs = whole(df, key, text).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST))).withColumn("text_key", F.xxhash64("text"))
     rows = materialize(sign(docs, parts, width, size).drop("text"), "signatures")
     first = rows.groupBy("set_key").agg(F.min(F.struct("doc_id", "text_key", "n_shingles", "hashes")).alias("one"))
-    classes = materialize(first.select("set_key", "one.*").withColumn("class", F.monotonically_increasing_id()), "classes")
+    # Sorted, so that the numbers follow the documents' ids.
+    classes = materialize(first.select("set_key", "one.*").orderBy("doc_id").withColumn("class", F.monotonically_increasing_id()), "classes")
 
     first_half, second_half = F.slice("hashes", 1, parts), F.slice("hashes", parts + 1, parts)
     keys = F.flatten(F.transform(first_half, lambda x, i: F.transform(second_half, lambda y, j: F.xxhash64(x, y, i * parts + j))))
     members = classes.filter("n_shingles > 0").select("class", F.explode(keys).alias("key"))
-    # The hub of a bucket is the member whose id, mixed with the key, is smallest: another one in every table.
-    mixed = F.col("class").bitwiseXOR(F.col("key"))
-    buckets = members.groupBy("key").agg(F.min(mixed).alias("low"), F.max(mixed).alias("high")).filter("low <> high")
-    crowded = materialize(
-        members.join(buckets.select("key", F.col("low").bitwiseXOR(F.col("key")).alias("hub")), "key"), "buckets")
+    # The hub of a bucket is its earliest document: often the one that the others are copies of.
+    buckets = members.groupBy("key").agg(F.min("class").alias("hub"), F.max("class").alias("last")).filter("hub <> last")
+    crowded = materialize(members.join(buckets.select("key", "hub"), "key"), "buckets")
     stars = materialize(
         crowded.filter("class <> hub").select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"),
                                               F.col("class").alias("member")).distinct(), "stars")
@@ -196,7 +213,7 @@ def near_duplicates(
     if not stars.isEmpty():
         needed = crowded.select("class").distinct().join(classes.select("class", "doc_id", "text_key"), "class")
         chosen = docs.join(needed, ["doc_id", "text_key"]).dropDuplicates(["class"])
-        sets = materialize(with_sets(chosen, size).select("class", "members"), "sets")
+        sets = materialize(with_sets(chosen, size).select("class", "shingles"), "sets")
         tried = None
         for most in ROUNDS:
             open_pairs = merged.apart(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"))
@@ -214,12 +231,8 @@ def near_duplicates(
         # Buckets that still hold several components: the rest, exactly.
         placed = materialize(merged.label(crowded.select("key", "class"), "class", "label"), "placed")
         mixed_keys = placed.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("key")
-        left = placed.join(mixed_keys, "key").join(classes.select("class", "n_shingles"), "class")
-        a = left.select("key", F.col("class").alias("a"), F.col("label").alias("la"), F.col("n_shingles").alias("na"))
-        b = left.select("key", F.col("class").alias("b"), F.col("label").alias("lb"), F.col("n_shingles").alias("nb"))
-        fits = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & (
-            100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-        rest = a.join(b, "key").filter(fits).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        open_classes = placed.join(mixed_keys, "key").select("class", "label").distinct()
+        rest = may_link(sets.join(open_classes, "class"), percent).join(tried, ["a", "b"], "left_anti")
         merged.add(confirmed(materialize(rest, "rest"), sets, percent))
     labelled = merged.label(classes.select("set_key", "class", "doc_id", "n_shingles"), "class", "label")
     lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
