@@ -18,6 +18,7 @@ alone when they are one. Null text counts as empty: a document of its end token
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from functools import lru_cache
@@ -32,7 +33,7 @@ from cellspark.llm.common import append_columns, texts, whole
 from cellspark.session import materialize
 
 SALTS = 256
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 
 
 class Words:
@@ -43,6 +44,10 @@ class Words:
 
     #: What str.split parts and the tokenizer doesn't.
     ODD = "\x1c\x1d\x1e\x1f"
+    #: Texts of other characters than these, or with what may be a special token, are not lowered here.
+    PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]|<\\|")
+    #: Marks that the tokenizer always parts from a run of letters before them.
+    TAIL = ".,;:!?|#*$%&<>"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -77,11 +82,21 @@ class Words:
                 begin = end + 1
 
     def encode(self, block: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        parts = [None if any(c in t for c in self.ODD) else t.split() for t in block]
-        self.learn(list({w for p in parts if p for w in p if w not in self.known}))
         known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        parts = [
+            None if any(c in t for c in self.ODD) else (t if self.PLAIN.search(t) else t.lower()).split() for t in block]
+        need, made = set(), []
+        for w in {w for p in parts if p for w in p if w not in known}:
+            core = w.rstrip(self.TAIL)
+            if len(core) < len(w) and core.isalpha():
+                made.append((w, core, w[len(core) :]))
+                need |= {x for x in made[-1][1:] if x not in known}
+            else:
+                need.add(w)
+        self.learn(list(need))
+        known.update((w, known[core] + known[tail]) for w, core, tail in made)
         return [self.direct(t) if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(block, parts)]
 
 

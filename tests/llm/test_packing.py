@@ -10,7 +10,7 @@ from cellspark.llm import packing
 from cellspark.llm.common import table, tokenizer_file
 
 PATH = tokenizer_file("word_bpe_49k.json")
-ODD = ["", " ", "x\x1cy\x1dz", "Straße ΣΑΣ İ", "a<|endoftext|>b <|startoftext|>", "é ́x", "a b\x85c\xa0d", "it's I'LL", "日本 🎉", "​ zero", "K"]
+ODD = ["", " ", "x\x1cy\x1dz", "Straße ΣΑΣ İ", "a<|endoftext|>b <|startoftext|>", "é ́x", "a b\x85c\xa0d", "it's I'LL", "日本 🎉", "​ zero", "K", "THE,, It.! é? <|ENDOFTEXT|> x", "İSTANBUL. ΑΣ.", "it's. don't!? ...", "a|b c| |"]
 
 
 def expected(texts):
