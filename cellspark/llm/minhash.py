@@ -9,9 +9,11 @@ At the limit of 0.85 a link is missed with a probability under 1e-4 (``(1 - 0.85
 each collection); every reported link is confirmed on the full sets.
 
 How hot groups are kept from growing to all pairs: equal sets are one class with one set of keys.
-A bucket of a table is linked like a star, each member to its earliest document. Members join a component after one confirmed link, and only pairs of different components
-are looked at further. What is left after the stars, members of one bucket in different
-components, is compared pair by pair within their size limits, so no link of a bucket is lost.
+Each bucket of a table has a reference, the earliest document that shares any bucket with one of its
+members. A class is compared with the references of its buckets only, once each. What is still apart
+within a reference's group is found by the differences to the reference: two classes that link but
+don't both link to it must share a large part of their differences, so short prefixes of these, in
+order of rarity, meet in every such pair (`may_link`). No link of a bucket is lost.
 
 Shingles and classes are compared by 64-bit and 128-bit hashes. Null and empty texts have an empty
 set and no links. A null ``doc_id`` counts as larger than any other. Rows that repeat an id are
@@ -35,9 +37,6 @@ SHINGLE = 3
 REMEMBERED = 1_000_000
 LAST = (1 << 63) - 1
 
-#: Star pairs tried for each member in one round; None is all that are left.
-ROUNDS = (1, None)
-
 
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
@@ -138,23 +137,73 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def may_link(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different labels that a prefix of their sets allows: every pair that can link is among them.
+def compared(members: DataFrame, sets: DataFrame, elements: bool) -> DataFrame:
+    """Compare each (class, ref): n and n_ref shingles and d, those in only one of the two.
+
+    With ``elements`` also the shingles themselves: ``lost`` are only in the reference, ``added`` only in the class.
+    """
+    own = members.join(sets.select("class", F.col("shingles").alias("own")), "class")
+    both = own.join(sets.select(F.col("class").alias("ref"), F.col("shingles").alias("base")), "ref").select("class", "ref", "own", "base")
 
-    If two sets link, they share one of the ``n - ceil(percent * n / 100) + 1`` rarest shingles of either.
-    Shingles of one class only can't be shared, so they are counted and not kept; what is left bounds
-    the intersection from above, and with it the similarity.
+    def run(batches):
+        for batch in batches:
+            sizes, lost, added = [], [], []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                p, q = x.values.to_numpy(), y.values.to_numpy()
+                common = np.intersect1d(p, q, assume_unique=True)
+                sizes.append((len(p), len(q), len(p) + len(q) - 2 * len(common)))
+                if elements:
+                    lost.append(np.setdiff1d(q, common, assume_unique=True))
+                    added.append(np.setdiff1d(p, common, assume_unique=True))
+            columns = [pa.array([s[k] for s in sizes], pa.int64()) for k in range(3)]
+            columns += [pa.array(e, pa.list_(pa.int64())) for e in (lost, added) if elements]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2] + columns, names=names)
+
+    names = ["class", "ref", "n", "n_ref", "d"] + ["lost", "added"] * elements
+    return both.mapInArrow(run, "class long, ref long, n long, n_ref long, d long" + ", lost array<long>, added array<long>" * elements)
+
+
+def may_link(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) with different labels and one reference that can link: every pair that does is among them.
+
+    Takes ``compared`` with elements and labels. Of two classes that differ from their reference by
+    ``d_a`` and ``d_b`` shingles, ``o`` of these the same, exactly ``d_a + d_b - 2 * o`` shingles are in only
+    one; they link if ``whole * that <= (100 - percent) * (n_a + n_b)`` with ``whole = 100 + percent``. So with
+    ``f = whole * d - (100 - percent) * n`` they link if ``2 * whole * o >= f_a + f_b``. At least one of the two
+    is far, not linked to the reference, which makes the right side positive. Bounds of ``o`` from below
+    give the prefixes that must meet; its bounds from above are the shared elements at and after the
+    place where they meet, and those of either side. Elements of one class only can't be shared.
     """
-    unpacked = sets.select("class", "label", F.explode("shingles").alias("s"), F.size("shingles").alias("n"))
-    often = unpacked.groupBy("s").agg(F.count("*").alias("often")).filter("often > 1")
-    shared = unpacked.join(often, "s").groupBy("class", "label", "n").agg(F.array_sort(F.collect_list(F.struct("often", "s"))).alias("by"))
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("by"))
-    prefix = shared.filter(length > 0).select("class", "label", "n", F.size("by").alias("m"), F.explode(F.slice("by", F.lit(1), length.cast("int"))["s"]).alias("s"))
-    a, b = (prefix.select("s", *[F.col(c).alias(f"{c}_{side}") for c in ("class", "label", "n", "m")]) for side in "ab")
-    most = F.least("m_a", "m_b")  # no intersection is larger
-    fits = (F.col("class_a") < F.col("class_b")) & (F.col("label_a") != F.col("label_b")) & (
-        100 * most >= percent * (F.col("n_a") + F.col("n_b") - most))
-    return a.join(b, "s").filter(fits).select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
+    whole_ = 100 + percent
+    f = whole_ * F.col("d") - (100 - percent) * F.col("n")
+    open_ = members.select("ref", "class", "label", f.alias("f"), (f > (100 - percent) * F.col("n_ref")).alias("far"), "lost", "added")
+    side = lambda name: F.transform(name, lambda s: F.struct(s.alias("s"), F.lit(name).alias("side")))
+    unpacked = open_.select("ref", "class", "label", "f", "far", F.explode(F.concat(side("lost"), side("added"))).alias("e")).select("*", "e.*").drop("e")
+    often = unpacked.groupBy("ref", "s").agg(F.count("*").alias("often")).filter("often > 1")
+    shared = unpacked.join(often, ["ref", "s"]).groupBy("ref", "class", "label", "f", "far").agg(
+        F.array_sort(F.collect_list(F.struct("often", "s")))["s"].alias("by"),
+        F.count("*").alias("m"), F.count(F.when(F.col("side") == "lost", 1)).alias("m_lost"))
+    shared = materialize(shared, "differences")
+    low_far = shared.filter("far").groupBy("ref").agg(F.min("f").alias("low_far"))
+    useful = shared.join(low_far, "ref").filter(F.col("far") | (2 * whole_ * F.col("m") >= F.col("f") + F.col("low_far")))
+    low_near = useful.filter("not far").groupBy("ref").agg(F.min("f").alias("low_near"))
+    useful = useful.join(low_near, "ref", "left")
+
+    def prefix(rows: DataFrame, low: str, name: str) -> DataFrame:
+        least = F.greatest(F.lit(1), F.ceil((F.col("f") + F.col(low)) / (2 * whole_)))
+        length = (F.col("m") - least + 1).cast("int")
+        rows = rows.filter(length > 0).select("ref", "class", "label", "f", "m", "m_lost", F.posexplode(F.slice("by", F.lit(1), length)).alias("at", "s"))
+        return rows.select("ref", "s", *[F.col(c).alias(f"{c}_{name}") for c in ("class", "label", "f", "m", "m_lost", "at")])
+
+    most = F.least(
+        F.least("m_lost_a", "m_lost_b") + F.least(F.col("m_a") - F.col("m_lost_a"), F.col("m_b") - F.col("m_lost_b")),
+        F.col("m_a") - F.col("at_a"), F.col("m_b") - F.col("at_b"))
+    fits = (F.col("label_a") != F.col("label_b")) & (2 * whole_ * most >= F.col("f_a") + F.col("f_b"))
+    far = useful.filter("far")
+    pairs = prefix(far, "low_far", "a").join(prefix(far, "low_far", "b"), ["ref", "s"]).filter(fits & (F.col("class_a") < F.col("class_b")))
+    mixed = prefix(useful.filter("not far"), "low_far", "a").join(prefix(far.filter("low_near is not null"), "low_near", "b"), ["ref", "s"]).filter(fits)
+    ends = [F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")]
+    return pairs.select(ends).union(mixed.select(ends)).distinct()
 
 
 class Merged:
@@ -203,37 +252,25 @@ def near_duplicates(
     first_half, second_half = F.slice("hashes", 1, parts), F.slice("hashes", parts + 1, parts)
     keys = F.flatten(F.transform(first_half, lambda x, i: F.transform(second_half, lambda y, j: F.xxhash64(x, y, i * parts + j))))
     members = classes.filter("n_shingles > 0").select("class", F.explode(keys).alias("key"))
-    # The hub of a bucket is its earliest document: often the one that the others are copies of.
     buckets = members.groupBy("key").agg(F.min("class").alias("hub"), F.max("class").alias("last")).filter("hub <> last")
     crowded = materialize(members.join(buckets.select("key", "hub"), "key"), "buckets")
-    stars = materialize(
-        crowded.filter("class <> hub").select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"),
-                                              F.col("class").alias("member")).distinct(), "stars")
+    earliest = crowded.groupBy("class").agg(F.min("hub").alias("earliest"))
+    references = crowded.join(earliest, "class").groupBy("key").agg(F.min("earliest").alias("ref"))
+    grouped = materialize(crowded.select("key", "class").join(references, "key").select("class", "ref").distinct().filter("class <> ref"), "groups")
     merged = Merged(spark)
-    if not stars.isEmpty():
-        needed = crowded.select("class").distinct().join(classes.select("class", "doc_id", "text_key"), "class")
+    if not grouped.isEmpty():
+        needed = grouped.select("class").union(grouped.select("ref")).distinct().join(classes.select("class", "doc_id", "text_key"), "class")
         chosen = docs.join(needed, ["doc_id", "text_key"]).dropDuplicates(["class"])
         sets = materialize(with_sets(chosen, size).select("class", "shingles"), "sets")
-        tried = None
-        for most in ROUNDS:
-            open_pairs = merged.apart(stars if tried is None else stars.join(tried, ["a", "b"], "left_anti"))
-            if most:
-                pairs = open_pairs.groupBy("member").agg(F.slice(F.array_sort(F.collect_set(
-                    F.struct(F.xxhash64("a", "b").alias("h"), "a", "b"))), 1, most).alias("some"))
-                pairs = pairs.select(F.explode("some").alias("p")).select("p.a", "p.b")
-            else:
-                pairs = open_pairs.select("a", "b")
-            pairs = materialize(pairs.distinct(), "pairs")
-            if pairs.isEmpty():
-                break
-            tried = pairs if tried is None else materialize(tried.union(pairs), "tried")
-            merged.add(confirmed(pairs, sets, percent))
-        # Buckets that still hold several components: the rest, exactly.
-        placed = materialize(merged.label(crowded.select("key", "class"), "class", "label"), "placed")
-        mixed_keys = placed.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("key")
-        open_classes = placed.join(mixed_keys, "key").select("class", "label").distinct()
-        rest = may_link(sets.join(open_classes, "class"), percent).join(tried, ["a", "b"], "left_anti")
-        merged.add(confirmed(materialize(rest, "rest"), sets, percent))
+        linked = (100 + percent) * F.col("d") <= (100 - percent) * (F.col("n") + F.col("n_ref"))
+        merged.add(compared(grouped, sets, False).filter(linked).select(F.col("class").alias("a"), F.col("ref").alias("b")))
+        # Groups that still hold several components: the rest, exactly.
+        placed = materialize(merged.label(grouped, "class", "label"), "placed")
+        mixed = placed.groupBy("ref").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("ref")
+        open_classes = materialize(placed.join(mixed, "ref"), "open")
+        if not open_classes.isEmpty():
+            differing = compared(open_classes.select("class", "ref"), sets, True).join(open_classes, ["class", "ref"])
+            merged.add(confirmed(materialize(may_link(differing, percent), "rest"), sets, percent))
     labelled = merged.label(classes.select("set_key", "class", "doc_id", "n_shingles"), "class", "label")
     lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     of_class = labelled.join(lowest, "label").select("set_key", "component_id")

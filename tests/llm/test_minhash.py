@@ -78,3 +78,17 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (103, 101)]
     got = {r.id: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_group_around_its_first_document(spark):
+    """Many copies a little beyond the limit from the first document; some link with each other."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    docs = [(0, " ".join(base))]
+    for i in range(1, 250):
+        words = list(base)
+        for at in rng.sample(range(0, 120, 10), rng.choice([2, 3, 4, 4, 5, 5])):
+            words[at + 5] = rng.choice(["same", "other", f"x{i}"])
+        docs.append((i, " ".join(words)))
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == brute(docs)
