@@ -186,6 +186,8 @@ def may_link(members: DataFrame, percent: int) -> DataFrame:
     shared = materialize(shared, "differences")
     low_far = shared.filter("far").groupBy("ref").agg(F.min("f").alias("low_far"))
     useful = shared.join(low_far, "ref").filter(F.col("far") | (2 * whole_ * F.col("m") >= F.col("f") + F.col("low_far")))
+    # Written, so that the next aggregate doesn't keep the join from splitting a hot reference.
+    useful = materialize(useful, "useful")
     low_near = useful.filter("not far").groupBy("ref").agg(F.min("f").alias("low_near"))
     useful = useful.join(low_near, "ref", "left")
 
