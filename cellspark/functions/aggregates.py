@@ -37,6 +37,25 @@ def _exact_sum(value: Column) -> Column:
     return (d(high, 2 * _SLICE) + d(mid, _SLICE) + d(low, 0)).cast("decimal(38,0)")
 
 
+def _exact_mean(value: Column) -> Column:
+    """Mean of integers of up to 38 digits, truncated towards zero; the sum may need more digits.
+
+    The upper and lower 19 digits are summed apart. Null for an empty group.
+    """
+    base = F.lit("1" + "0" * 19).cast("decimal(20,0)")
+    v = value.cast("decimal(38,0)")
+    n = F.count(value).cast("decimal(19,0)")
+    quotient = lambda a: ((a - a % n) / n).cast("decimal(38,0)")
+    high = F.sum(((v - v % base) / base).cast("decimal(28,0)"))
+    low = F.sum((v % base).cast("decimal(28,0)"))
+    upper = quotient(high)
+    rest = (high % n) * base + low
+    # both parts are cut towards zero; with opposite signs the lower one has to be cut the other way
+    turn = F.when((rest % n != 0) & (F.signum(upper) * F.signum(rest) < 0), F.signum(rest)).otherwise(0)
+    lower = quotient(rest) + turn.cast("decimal(1,0)")
+    return F.when(n > 0, (upper.cast("decimal(20,0)") * base + lower).cast("decimal(38,0)"))
+
+
 def sum_of(value: Column, kind: str, scale: int = 2) -> Column:
     """SUM: wraps for integers, 0 on an empty group, same type as the input."""
     if kind in INTEGERS or kind == "counter":
@@ -60,11 +79,8 @@ def avg_of(value: Column, kind: str, scale: int = 2) -> Column:
     if kind in FLOATS:
         return F.coalesce(F.avg(value.cast("double")), F.lit(0.0)).cast(kind)
     if kind == "varint":
-        total = F.sum(value.cast("decimal(28,0)"))
-        n = F.count(value)
-        mean = F.when(n > 0, (total - total % n) / n)
-        return F.coalesce(mean, F.lit(0)).cast("decimal(38,0)")
-    total, n = F.sum(value), F.count(value).cast("decimal(12,0)")
+        return F.coalesce(_exact_mean(value), F.lit(0).cast("decimal(38,0)"))
+    total, n = F.sum(value), F.count(value).cast("decimal(19,0)")
     mean = F.when(n > 0, F.bround(total / n, scale))
     return F.coalesce(mean, F.lit(0)).cast(f"decimal(38,{scale})")
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import copy
+import functools
+import itertools
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 RETURNS_NULL = "returns null"
 CALLED = "called"
@@ -49,9 +54,19 @@ def python_function(body: Callable, return_type, on_null: str = RETURNS_NULL) ->
     return call
 
 
-def vector_function(body: Callable, return_type) -> Callable[..., Column]:
-    """A scalar function over pandas Series."""
-    return F.pandas_udf(body, return_type)
+def vector_function(body: Callable, return_type, on_null: str = RETURNS_NULL) -> Callable[..., Column]:
+    """A scalar function over pandas Series.
+
+    The body is run on whole batches, rows with nulls included; unless it is to be called
+    on null, what it gives for such rows is replaced by null.
+    """
+    run = F.pandas_udf(body, return_type)
+
+    def call(*args) -> Column:
+        cols = [F.col(a) if isinstance(a, str) else a for a in args]
+        return F.when(~_any_null(cols), run(*cols)) if on_null == RETURNS_NULL and cols else run(*cols)
+
+    return call
 
 
 def register_function(spark: SparkSession, name: str, body: Callable, return_type,
@@ -71,19 +86,24 @@ def register_expression(spark: SparkSession, name: str, args: str, return_type:
     spark.sql(f"{verb} {name}({args}) RETURNS {return_type} RETURN {expression}")
 
 
-def _fold(pdf: pd.DataFrame, group: list[str], args: list[str], order: list[str], sfunc, states: dict,
-          initial, skip_null: bool):
-    """Advance ``states`` (a single open group) over a sorted batch; yields finished groups."""
-    columns = [pdf[c].tolist() for c in group + args]
-    for row in zip(*columns):
-        key, values = row[:len(group)], row[len(group):]
-        if key not in states:
-            yield from states.items()
-            states.clear()
-            states[key] = initial
-        if skip_null and any(v is None or v != v for v in values):
-            continue
-        states[key] = sfunc(states[key], *values)
+def _rows(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple]:
+    """Plain values of the named columns, row by row; null is None and nothing else is."""
+    for batch in batches:
+        yield from zip(*[batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names])
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
+    while block := list(itertools.islice(rows, size)):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values, f.type) for values, f in zip(zip(*block), schema)], schema=schema)
+
+
+def _by_key(rows: Iterator[tuple], width: int) -> Iterator[tuple[tuple, Iterator[tuple]]]:
+    """Runs of sorted rows with one key; NaN equals itself, as it does in a Spark group."""
+    same = lambda row: tuple("NaN" if v != v else v for v in row[:width])
+    for _, run in itertools.groupby(rows, same):
+        first = next(run)
+        yield first[:width], itertools.chain([first], run)
 
 
 def fold_groups(df: DataFrame, group: list[str], order: list[str], args: list[str], sfunc: Callable,
@@ -98,66 +118,57 @@ def fold_groups(df: DataFrame, group: list[str], order: list[str], args: list[st
 
     Without ``merge`` the fold is sequential by nature: rows are brought together by group
     and streamed in order through one open state, so a group never has to fit in memory.
+
+    Values reach ``sfunc`` through Arrow's own types: integers stay exact beside nulls, and
+    only nulls are skipped by ``skip_null``, not NaN. Each group starts from its own copy of
+    ``initial``.
     """
-    names = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    keys = ", ".join(f"`{g}` {names[g]}" for g in group)
+    width = len(group)
+    keys = [df.schema[g] for g in group]
     rows = df.select(*group, *[c for c in order if c not in group],
                      *[c for c in args if c not in group and c not in order])
-    result = result_type or state_type
     finish = final or (lambda s: s)
 
+    def schema_of(*fields: T.StructField) -> tuple[T.StructType, pa.Schema]:
+        spark_schema = T.StructType([*keys, *fields])
+        return spark_schema, to_arrow_schema(spark_schema)
+
+    def typed(name: str, kind: str) -> T.StructField:
+        return T.StructField(name, T.StructType.fromDDL(f"v {kind}")["v"].dataType)
+
+    result, result_arrow = schema_of(typed(out, result_type or state_type))
+
+    def fold(run: Iterator[tuple], begin: int):
+        state = copy.deepcopy(initial)
+        for row in run:
+            values = row[begin:]
+            if not (skip_null and any(v is None for v in values)):
+                state = sfunc(state, *values)
+        return state
+
     if merge is None:
         ordered = rows.repartition(*group).sortWithinPartitions(*group, *order)
 
-        def run(batches):
-            open_state: dict = {}
-            for pdf in batches:
-                pdf = pdf.astype(object).where(pdf.notna(), None)
-                done = list(_fold(pdf, group, args, order, sfunc, open_state, initial, skip_null))
-                if done:
-                    yield pd.DataFrame([(*k, finish(s)) for k, s in done], columns=[*group, out])
-            if open_state:
-                yield pd.DataFrame([(*k, finish(s)) for k, s in open_state.items()], columns=[*group, out])
+        def whole(batches):
+            found = _by_key(_rows(batches, group + args), width)
+            return _batches(((*k, finish(fold(run, width))) for k, run in found), result_arrow)
 
-        return ordered.mapInPandas(run, f"{keys}, `{out}` {result}")
+        return ordered.mapInArrow(whole, result)
 
     ranged = rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
     placed = ranged.withColumn("_part", F.spark_partition_id())
+    partial, partial_arrow = schema_of(typed("_part", "int"), typed("_state", state_type))
 
-    def partial(batches):
-        open_state: dict = {}
-        part = -1
-        for pdf in batches:
-            if len(pdf):
-                part = int(pdf["_part"].iloc[0])
-            pdf = pdf.astype(object).where(pdf.notna(), None)
-            done = list(_fold(pdf, group, args, order, sfunc, open_state, initial, skip_null))
-            if done:
-                yield pd.DataFrame([(*k, part, s) for k, s in done], columns=[*group, "_part", "_state"])
-        if open_state:
-            yield pd.DataFrame([(*k, part, s) for k, s in open_state.items()],
-                               columns=[*group, "_part", "_state"])
-
-    states = placed.mapInPandas(partial, f"{keys}, _part int, _state {state_type}")
-    # one state per task and group: at most as many rows per group as there are tasks
-    gathered = states.repartition(*group).sortWithinPartitions(*group, "_part")
+    def pieces(batches):
+        # the number of the task is part of the key: one state per task and group
+        found = _by_key(_rows(batches, [*group, "_part", *args]), width + 1)
+        return _batches(((*k, fold(run, width + 1)) for k, run in found), partial_arrow)
+
+    gathered = placed.mapInArrow(pieces, partial).repartition(*group).sortWithinPartitions(*group, "_part")
 
     def combine(batches):
-        open_key, state = None, None
-        for pdf in batches:
-            pdf = pdf.astype(object).where(pdf.notna(), None)
-            finished = []
-            for row in zip(*[pdf[c].tolist() for c in [*group, "_state"]]):
-                key, s = row[:-1], row[-1]
-                if key == open_key:
-                    state = merge(state, s)
-                else:
-                    if open_key is not None:
-                        finished.append((*open_key, finish(state)))
-                    open_key, state = key, s
-            if finished:
-                yield pd.DataFrame(finished, columns=[*group, out])
-        if open_key is not None:
-            yield pd.DataFrame([(*open_key, finish(state))], columns=[*group, out])
-
-    return gathered.mapInPandas(combine, f"{keys}, `{out}` {result}")
+        found = _by_key(_rows(batches, [*group, "_state"]), width)
+        return _batches(
+            ((*k, finish(functools.reduce(merge, (row[-1] for row in run)))) for k, run in found), result_arrow)
+
+    return gathered.mapInArrow(combine, result)

@@ -122,15 +122,23 @@ def first_update_per_key(updates: DataFrame, spec: TableSpec, order: Column) ->
 
 
 def apply_if(table: DataFrame, updates: DataFrame, spec: TableSpec, condition: Column,
-             columns: list[str]) -> tuple[DataFrame, DataFrame]:
+             columns: list[str], order: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Conditional writes: (new table, result).
 
     ``updates`` has the key and one column per written cell. The condition may use the
     table's columns (null when there is no row), ``_exists`` and the written values as
     ``new_<column>``. The result shows ``applied`` and, where it is false, the current
-    values. One update per key; see :func:`first_update_per_key`.
+    values. Of several updates of a key the first by ``order`` is taken; without ``order``
+    they are an error.
     """
     values = [c for c in table.columns if c not in spec.key]
+    if order is None:
+        more = F.raise_error(F.lit("several conditional updates of one key")).cast("boolean")
+        once = updates.groupBy(*spec.key).agg(
+            F.any_value(F.struct(*columns)).alias("_new"), F.count(F.lit(1)).alias("_n"))
+        updates = once.filter(F.when(F.col("_n") > 1, more).otherwise(True)).select(*spec.key, "_new.*")
+    else:
+        updates = first_update_per_key(updates, spec, order)
     new = updates.select(*spec.key, *[F.col(c).alias(f"new_{c}") for c in columns], F.lit(True).alias("_asked"))
     current = table.withColumn("_exists", F.lit(True))
     joined = current.join(new, spec.key, "full").withColumn("_exists", F.coalesce("_exists", F.lit(False)))

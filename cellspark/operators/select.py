@@ -95,8 +95,8 @@ def order_rows(df: DataFrame, spec: TableSpec, reverse: bool = False,
 def cluster_locally(df: DataFrame, spec: TableSpec, reverse: bool = False) -> DataFrame:
     """Partition-local clustering order: one shuffle by key, no global sort."""
     token = F.xxhash64(*spec.pk)
-    return df.repartitionByRange(token, *[F.col(c) for c in spec.key]).sortWithinPartitions(
-        token, *[F.col(c) for c in spec.pk], *spec.clustering_order(reverse))
+    order = [token, *[F.col(c) for c in spec.pk], *spec.clustering_order(reverse)]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def limit_rows(df: DataFrame, n: int, order: list[Column] | None = None) -> DataFrame:

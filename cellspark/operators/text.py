@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,7 +23,8 @@ WORD = (
 )
 MAX_TOKEN = 255
 
-# Short stop-word lists of our own, one per language.
+# Short stop-word lists, one per language. The English one is the common public list
+# of 33 words; the others are the most frequent function words.
 STOP_WORDS = {
     "ar": "من في على أن إلى هذا هذه التي الذي و لا ما",
     "bg": "и в на с за не се да от по е",
@@ -69,32 +70,28 @@ class Analyzer:
             return F.transform(F.filter(parts, lambda x: x != ""), self.fold)
         if self.kind != "standard":
             raise ValueError(f"unknown analyzer {self.kind}")
-        if self.case == "lower" and not _length_rule(self) and self.min_length <= 1:
-            folded = _tokens(text, lower=True)
-            return self._without_stops(folded)
-        tokens = _tokens(text, lower=False)
-        sized = F.filter(tokens, lambda x: F.length(x).between(max(self.min_length, 1), self.max_length))
-        return self._without_stops(F.transform(sized, self.fold) if self.case else sized)
-
-    def _without_stops(self, terms: Column) -> Column:
-        if not self.stop_words:
-            return terms
-        stops = STOP_WORDS[self.stop_words].split()
-        return F.filter(terms, lambda x: ~x.isin(stops))
-
-
-def _tokens(text: Column, lower: bool) -> Column:
-    """Raw tokens, lower-cased if asked.
-
-    Lower-casing the text first is one fast pass. It equals lower-casing each token except
-    for two letters: the capital sigma, whose lower form depends on what follows, and the
-    dotted capital I, which becomes two characters. Texts with one of them take the slow way.
-    """
-    found = lambda x: F.regexp_extract_all(x, F.lit(WORD), F.lit(0))
-    if not lower:
-        return found(text)
-    special = text.contains("Σ") | text.contains("İ")
-    return F.when(special, F.transform(found(text), F.lower)).otherwise(found(F.lower(text)))
+        found = lambda x: F.filter(tokens(x), self.fits)
+        if self.case == "lower":
+            # Lower-casing the text first is one fast pass. It equals lower-casing each token except
+            # for two letters: the capital sigma, whose lower form depends on what follows, and the
+            # dotted capital I, which becomes two characters. Texts with one of them take the slow way.
+            special = text.contains("Σ") | text.contains("İ")
+            folded = F.when(special, F.transform(found(text), F.lower)).otherwise(found(F.lower(text)))
+        else:
+            folded = F.transform(found(text), self.fold) if self.case else found(text)
+        return F.filter(folded, self.no_stop_word) if self.stop_words else folded
+
+    def fits(self, token: Column) -> Column:
+        """The length rule of the standard analyzer, for a token as it stands in the text."""
+        return F.length(token).between(max(self.min_length, 1), self.max_length)
+
+    def no_stop_word(self, term: Column) -> Column:
+        return ~term.isin(STOP_WORDS[self.stop_words].split())
+
+
+def tokens(text: Column) -> Column:
+    """The words of a text as they stand there."""
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
 def term_rows(df: DataFrame, column: str, analyzer: Analyzer, key: list[str], distinct: bool = False) -> DataFrame:
@@ -103,20 +100,12 @@ def term_rows(df: DataFrame, column: str, analyzer: Analyzer, key: list[str], di
     Tokens are exploded first, so that length, case and stop words are tests on plain rows
     in generated code instead of functions over arrays.
     """
-    if analyzer.kind != "standard" or analyzer.case == "upper" or (analyzer.case and _length_rule(analyzer)):
+    if distinct or analyzer.kind != "standard":
         terms = analyzer.terms(F.col(column))
         return df.select(*key, F.explode(F.array_distinct(terms) if distinct else terms).alias("term"))
-    tokens = _tokens(F.col(column), analyzer.case == "lower")
-    rows = df.select(*key, F.explode(F.array_distinct(tokens) if distinct else tokens).alias("term"))
-    rows = rows.filter(F.length("term").between(max(analyzer.min_length, 1), analyzer.max_length))
-    if analyzer.stop_words:
-        rows = rows.filter(~F.col("term").isin(STOP_WORDS[analyzer.stop_words].split()))
-    return rows
-
-
-def _length_rule(analyzer: Analyzer) -> bool:
-    # folding can change a term's length; only the trivial bounds do not notice
-    return analyzer.min_length > 2 or analyzer.max_length < MAX_TOKEN
+    rows = df.select(*key, F.explode(tokens(F.col(column))).alias("term")).filter(analyzer.fits(F.col("term")))
+    rows = rows.withColumn("term", analyzer.fold(F.col("term")))
+    return rows.filter(analyzer.no_stop_word(F.col("term"))) if analyzer.stop_words else rows
 
 
 def terms_table(df: DataFrame, column: str, analyzer: Analyzer, key: list[str]) -> DataFrame:
@@ -182,17 +171,8 @@ def matches_all(column: str, patterns: list[tuple[str, bool]], analyzer: Analyze
 
 
 def _query_terms(text: str, analyzer: Analyzer) -> list[str]:
-    """Analysis of the (short) query text on the driver with the same rules."""
-    fold = {"lower": str.lower, "upper": str.upper, None: lambda v: v}[analyzer.case]
-    if analyzer.kind == "none":
-        return [text]
-    if analyzer.kind == "whole":
-        return [fold(text)]
-    if analyzer.kind == "delimiter":
-        return [fold(x) for x in text.split(analyzer.delimiter) if x]
-    words = re.findall(r"[一-鿿㐀-䶿぀-ヿ]|\w+(?:['’.:·]\w+)*", text)
-    stops = set(STOP_WORDS[analyzer.stop_words].split()) if analyzer.stop_words else set()
-    return [w for w in map(fold, words) if w not in stops]
+    """Terms of the (short) query text, by the expression that the documents go through."""
+    return SparkSession.active().range(1).select(analyzer.terms(F.lit(text)).alias("terms")).first()["terms"]
 
 
 def word_count(df: DataFrame, column: str, separator: str = r"\s+") -> DataFrame:

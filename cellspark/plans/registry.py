@@ -34,13 +34,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def spread(self, name: str, *key: str) -> DataFrame:
-        """A table for work that is heavy per row: if it has fewer splits than there are cores
-        (few large row groups), its rows are spread by ``key``; a large table is left alone."""
-        df = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
-
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 

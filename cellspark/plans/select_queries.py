@@ -1,5 +1,6 @@
 """Projection, ordering and limit queries."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cellspark.functions.token import token
@@ -53,9 +54,11 @@ def select_json(t):
     return select.select_json(renamed, ["o_orderkey", "o_orderstatus", "Level"])
 
 
-@query("p8_distinct", "SELECT DISTINCT o_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey")
+@query("p8_distinct", """
+SELECT DISTINCT coalesce(o_custkey, c_custkey) AS o_custkey, c_mktsegment
+FROM orders FULL JOIN customer ON o_custkey = c_custkey""")
 def distinct(t):
-    rows = select.with_statics(_orders(t), _statics(t), CUSTOMER_ORDERS, static_only=False)
+    rows = select.with_statics(_orders(t), _statics(t), CUSTOMER_ORDERS)
     return select.distinct_partitions(rows, CUSTOMER_ORDERS, ["c_mktsegment"])
 
 
@@ -115,15 +118,11 @@ def per_partition_groups(t):
 
 
 @query("l4_order_reversed", """
-SELECT conv_id, turn, role, row_number() OVER (ORDER BY conv_id, turn DESC) AS place FROM conversations
-QUALIFY place <= 200""")
+SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS place FROM conversations""")
 def order_reversed(t):
-    from pyspark.sql import Window
-
-    top = select.order_rows(t.conversations.select("conv_id", "turn", "role"), TURNS,
-                            reverse=True, by_partition=True).limit(200)
-    return top.withColumn("place", F.row_number().over(
-        Window.orderBy("conv_id", F.col("turn").desc())).cast("bigint"))
+    place = F.row_number().over(Window.partitionBy(*TURNS.pk).orderBy(*TURNS.clustering_order(reverse=True)))
+    rows = t.conversations.select("conv_id", "turn", "role", place.cast("bigint").alias("place"))
+    return select.order_rows(rows, TURNS, reverse=True, by_partition=True)
 
 
 @query("l4_order_within_partitions", "SELECT conv_id, turn, role FROM conversations")

@@ -21,7 +21,7 @@ _STOPS = ", ".join(f"'{w}'" for w in text.STOP_WORDS["en"].split())
 WITH d AS (SELECT doc_id, unnest(regexp_extract_all(text, '{_WORD_SQL}')) AS term FROM documents)
 SELECT doc_id, term, count(*) AS n FROM d WHERE length(term) BETWEEN 3 AND 20 GROUP BY doc_id, term""")
 def standard_terms(t):
-    rows = text.term_rows(t.spread("documents", "doc_id"), "text", Analyzer("standard", min_length=3, max_length=20), ["doc_id"])
+    rows = text.term_rows(t.documents, "text", Analyzer("standard", min_length=3, max_length=20), ["doc_id"])
     return rows.groupBy("doc_id", "term").agg(
         F.count(F.lit(1)).alias("n"))
 
@@ -50,7 +50,7 @@ def no_analysis(t):
 WITH d AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents)
 SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs FROM d WHERE length(term) >= 2 AND term NOT IN ({_STOPS}) GROUP BY term""")
 def filters(t):
-    d = text.term_rows(t.spread("documents", "doc_id"), "text", ENGLISH, ["doc_id"])
+    d = text.term_rows(t.documents, "text", ENGLISH, ["doc_id"])
     # two steps of partial aggregation instead of a distinct count: a very common term stays spread
     per_doc = d.groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("c"))
     return per_doc.groupBy("term").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("docs"))
@@ -59,7 +59,7 @@ def filters(t):
 @query("x5_stems")
 def stems(t):
     # counted per term before stemming, so each distinct term reaches Python once
-    counts = text.terms_table(t.spread("documents", "doc_id"), "text", ENGLISH, ["doc_id"]).groupBy("term").agg(
+    counts = text.terms_table(t.documents, "text", ENGLISH, ["doc_id"]).groupBy("term").agg(
         F.count(F.lit(1)).alias("n"))
     return text.with_stems(counts).groupBy("term").agg(F.sum("n").alias("n"))
 
@@ -67,13 +67,13 @@ def stems(t):
 @query("x6_search_prefix", f"""
 SELECT doc_id FROM documents WHERE len(list_filter({_TERMS}, lambda x: starts_with(x, 'onti'))) > 0""")
 def search_prefix(t):
-    return text.search(t.spread("documents", "doc_id"), "text", "Onti%", STANDARD).select("doc_id")
+    return text.search(t.documents, "text", "Onti%", STANDARD).select("doc_id")
 
 
 @query("x6_search_contains", f"""
 SELECT doc_id FROM documents WHERE len(list_filter({_TERMS}, lambda x: contains(x, 'thenn') OR contains(x, 'ould'))) > 0""")
 def search_contains(t):
-    return text.search(t.spread("documents", "doc_id"), "text", "%thenn ould%", STANDARD).select("doc_id")
+    return text.search(t.documents, "text", "%thenn ould%", STANDARD).select("doc_id")
 
 
 @query("x6_search_terms", f"""
@@ -82,7 +82,7 @@ SELECT doc_id FROM documents WHERE len(list_filter({_TERMS}, lambda x: x = 'that
    AND NOT len(list_filter({_TERMS}, lambda x: x = 'worthless')) > 0""")
 def search_terms(t):
     where = text.matches_all("text", [("that", False), ("%ing", False), ("worthless", True)], STANDARD)
-    return t.spread("documents", "doc_id").filter(where).select("doc_id")
+    return t.documents.filter(where).select("doc_id")
 
 
 @query("x6_search_pages", "SELECT page_id FROM pages WHERE contains(html, 'track(1')")
@@ -99,14 +99,14 @@ def numeric_range(t):
 @query("x8_term_index", f"""
 SELECT DISTINCT doc_id, unnest({_TERMS}) AS term FROM documents""")
 def term_index(t):
-    return index.term_index(t.spread("documents", "doc_id"), "text", STANDARD, DOCS)
+    return index.term_index(t.documents, "text", STANDARD, DOCS)
 
 
 @query("x8_index_lookup", f"""
 SELECT doc_id, n_chars FROM documents WHERE len(list_filter({_TERMS}, lambda x: starts_with(x, 'onti'))) > 0""")
 def index_lookup(t):
     path = fresh_path(t.spark, "terms")
-    index.write_index(index.term_index(t.spread("documents", "doc_id"), "text", STANDARD, DOCS), path, "term")
+    index.write_index(index.term_index(t.documents, "text", STANDARD, DOCS), path, "term")
     keys = index.lookup(t.spark.read.parquet(path), index.like_predicate("onti%"), DOCS)
     return index.fetch(t.documents.select("doc_id", "n_chars"), keys, DOCS)
 
@@ -151,10 +151,10 @@ def collection_index(t):
 SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS word FROM documents)
 WHERE word <> '' GROUP BY word""")
 def word_count(t):
-    return text.word_count(t.spread("documents", "doc_id"), "text")
+    return text.word_count(t.documents, "text")
 
 
 @query("src3_total_count", """
 SELECT count(*)::BIGINT AS total FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS word FROM documents) WHERE word <> ''""")
 def total_count(t):
-    return text.total_count(text.word_count(t.spread("documents", "doc_id"), "text"))
+    return text.total_count(text.word_count(t.documents, "text"))

@@ -58,13 +58,14 @@ def import_csv(spark: SparkSession, path: str, schema: T.StructType, key: list[s
 
     Lines that do not parse, and rows without a full key, are kept in ``errors`` with the
     reason; :func:`check_errors` applies a limit to them. ``max_rows`` reads at most that
-    many lines.
+    many lines. Quoted cells may hold line breaks, so a file is read by one task: export
+    with ``max_rows_per_file`` to keep files small.
     """
     raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]
                               + [T.StructField("_corrupt", T.StringType())])
     raw = spark.read.schema(raw_schema).csv(
         path, header=header, sep=delimiter, mode="PERMISSIVE", escape='"',
-        columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
+        columnNameOfCorruptRecord="_corrupt", enforceSchema=True, multiLine=True)
     if max_rows >= 0:
         raw = raw.limit(max_rows)
 
