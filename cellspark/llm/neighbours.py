@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from cellspark.session import materialize
 
 DIMENSIONS, LEAF = 8, 32
+#: Scores held at a time in a task, 8 bytes each: queries that search together times rows of the block.
+TOGETHER = 1 << 20
 
 
 def chi_square(x: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -104,49 +106,57 @@ class Tree:
             d = points[own].var(axis=0).argmax()
             order = own[np.argsort(points[own, d], kind="stable")]
             stack += [order[: len(order) // 2], order[len(order) // 2 :]]
-        self.points = points
         self.low = np.array([points[x].min(axis=0) for x in self.leaves])
         self.high = np.array([points[x].max(axis=0) for x in self.leaves])
 
-    def near(self, q: np.ndarray) -> np.ndarray:
-        """Squared distance of the query to every leaf's box."""
-        gap = np.maximum(np.maximum(self.low - q, q - self.high), 0)
-        return (gap * gap).sum(axis=1)
+    def near(self, asked: np.ndarray) -> np.ndarray:
+        """Squared distance of every query to every leaf's box."""
+        out = np.zeros((len(asked), len(self.leaves)))
+        for d in range(asked.shape[1]):
+            q = asked[:, d, None]
+            out += np.maximum(np.maximum(self.low[:, d] - q, q - self.high[:, d]), 0) ** 2
+        return out
 
 
-def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, top: float, q: np.ndarray, own_id: int, projected: np.ndarray,
-           k: int, stop: float, worst: float) -> list[tuple[float, int]]:
-    """The block's up to ``k`` best (score, id), largest score first, that aren't worse than ``worst`` squared distance.
+def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, top: float, asked: np.ndarray, own: np.ndarray, projected: np.ndarray,
+           k: int, stop: float, worst: np.ndarray) -> list[list[tuple[float, int]]]:
+    """For each query the block's up to ``k`` best (score, id) that aren't worse than its ``worst`` squared distance.
 
-    Leaves are opened in the order of their boxes. Points nearer than the next box are all met, so
-    they are verified; the test then decides whether to go on.
+    Each query opens leaves in the order of its distance to their boxes, at each turn twice as many
+    as before, and verifies all rows in them; so every point nearer than the next box was met. It
+    stops when the test holds for that box. The queries take their turns together, so that a leaf is
+    multiplied once with all queries that open it in a turn.
     """
     boxes = tree.near(projected)
-    order = np.argsort(boxes, kind="stable")
-    norm = float(q @ q) + top
-    scores, found = np.zeros(0), np.zeros(0, np.int64)
-    waiting, far = np.zeros(0, np.int64), np.zeros(0)
-    at, width = 0, 1
-    while at < len(order):
-        opened = np.concatenate([tree.leaves[i] for i in order[at : at + width]])
-        at += width
-        bound = boxes[order[at]] if at < len(order) else math.inf
-        width = min(2 * width, 16)
-        gap = tree.points[opened] - projected
-        waiting, far = np.r_[waiting, opened], np.r_[far, (gap * gap).sum(axis=1)]
-        met = far <= bound
-        new = waiting[met]
-        waiting, far = waiting[~met], far[~met]
-        new = new[ids[new] != own_id]
-        scores, found = np.r_[scores, (vectors[new] * q).sum(axis=1)], np.r_[found, ids[new]]
-        if len(scores) > k:
-            keep = np.lexsort((found, -scores))[:k]
-            scores, found = scores[keep], found[keep]
-        limit = max(0.0, min(worst, norm - 2 * scores.min() if len(scores) == k else math.inf))
-        if bound > stop * limit:
-            break
-    keep = np.lexsort((found, -scores))[:k]
-    return [(float(s), int(i)) for s, i in zip(scores[keep], found[keep]) if norm - 2 * s <= worst + 1e-9 * abs(norm)]
+    order = np.argsort(boxes, axis=1, kind="stable")
+    norms = (asked * asked).sum(axis=1) + top
+    scores = np.full((len(asked), len(ids)), -np.inf)
+    best = np.full((len(asked), k), -np.inf)
+    active, at, width = np.arange(len(asked)), 0, 1
+    while len(active) and at < order.shape[1]:
+        turn = order[active, at : at + width]
+        new = np.full((len(active), turn.shape[1] * LEAF), -np.inf)
+        by_leaf = np.argsort(turn, axis=None, kind="stable")
+        leaves, first = np.unique(turn.ravel()[by_leaf], return_index=True)
+        for leaf, pairs in zip(leaves, np.split(by_leaf, first[1:])):
+            who, slot = np.divmod(pairs, turn.shape[1])
+            rows = tree.leaves[leaf]
+            found = asked[active[who]] @ vectors[rows].T
+            found[own[active[who], None] == ids[rows]] = -np.inf
+            scores[active[who, None], rows] = found
+            new[who[:, None], slot[:, None] * LEAF + np.arange(len(rows))] = found
+        best[active] = np.partition(np.concatenate([best[active], new], axis=1), -k, axis=1)[:, -k:]
+        at, width = at + width, 2 * width
+        if at < order.shape[1]:
+            limit = np.maximum(0, np.minimum(worst[active], norms[active] - 2 * best[active].min(axis=1)))
+            active = active[boxes[active, order[active, at]] <= stop * limit]
+    out = []
+    for i, q in enumerate(asked):  # a hair below the last place, then in full precision
+        rows = np.flatnonzero((scores[i] >= best[i].min() - 1e-9 * norms[i]) & (scores[i] > -np.inf))
+        exact = (vectors[rows] * q).sum(axis=1)
+        keep = np.lexsort((ids[rows], -exact))[:k]
+        out.append([(s, j) for s, j in zip(exact[keep].tolist(), ids[rows][keep].tolist()) if norms[i] - 2 * s <= worst[i] + 1e-9 * norms[i]])
+    return out
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -167,11 +177,16 @@ def block_search(k: int, stop: float, top: float, axes: np.ndarray, first: bool)
             tree = Tree(np.c_[vectors, lift] @ axes)
             asked = matrix(queries.column("vec"))
             placed = np.c_[asked, np.zeros(len(asked))] @ axes
-            worst = [math.inf] * len(asked) if first else queries.column("worst").to_pylist()
-            for q, p, i, key, w in zip(asked, placed, queries.column("vec_id").to_pylist(), queries.column("key").to_pylist(), worst):
-                for score, j in search(tree, vectors, ids, top, q, i, p, k, stop, w):
-                    for c, v in zip(out, (i, key, j, score)):
-                        out[c].append(v)
+            worst = np.full(len(asked), math.inf) if first else queries.column("worst").to_numpy()
+            own, keys = queries.column("vec_id").to_numpy(), queries.column("key").to_numpy()
+            step = max(1, TOGETHER // len(ids))
+            for s in range(0, len(asked), step):
+                part = slice(s, s + step)
+                for i, key, hits in zip(own[part], keys[part], search(
+                        tree, vectors, ids, top, asked[part], own[part], placed[part], k, stop, worst[part])):
+                    for score, j in hits:
+                        for c, v in zip(out, (i, key, j, score)):
+                            out[c].append(v)
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
         return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), kinds)})
 
