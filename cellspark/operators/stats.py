@@ -25,6 +25,11 @@ def bucket_offsets(n: int = DEFAULT_BUCKETS, zero: bool = False) -> list[int]:
     return ([0] + out) if zero else out
 
 
+def _longs(values: list[int]) -> Column:
+    """An array literal, made in one call whatever its length."""
+    return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
+
+
 def _log_shift(offsets: list[int], start: int) -> float:
     """The largest shift with which ``log(v) / log(1.2) + shift`` never passes the true bucket."""
     step = math.log(1.2)
@@ -40,10 +45,10 @@ def bucket_of(value: Column, offsets: list[int]) -> Column:
     """
     start = min(24, len(offsets) - 1)
     small = offsets[start]
-    table = F.array(*[F.lit(bisect.bisect_left(offsets, v)) for v in range(small + 1)])
-    bounds = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    table = _longs([bisect.bisect_left(offsets, v) for v in range(small + 1)])
+    bounds = _longs(offsets)
     v = value.cast("bigint")
-    at_small = F.get(table, F.greatest(v, F.lit(0)).cast("int"))
+    at_small = F.get(table, F.greatest(v, F.lit(0)).cast("int")).cast("int")
     shift = _log_shift(offsets, start)
     guess = F.floor(F.log(v.cast("double")) / math.log(1.2) + shift).cast("int")
     guess = F.least(F.greatest(guess, F.lit(start)), F.lit(len(offsets)))
@@ -54,7 +59,7 @@ def bucket_of(value: Column, offsets: list[int]) -> Column:
 
 def histogram(df: DataFrame, value: Column, offsets: list[int], by: list[str] = ()) -> DataFrame:
     """Bucket counts: ``bucket``, its upper bound ``upto`` (null for overflow) and ``n``."""
-    bounds = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    bounds = _longs(offsets)
     counted = df.groupBy(*by, bucket_of(value, offsets).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     return counted.filter("bucket is not null").withColumn("upto", F.get(bounds, F.col("bucket")))
 
@@ -81,7 +86,7 @@ def histogram_summary(hist: DataFrame, offsets: list[int], percentiles=PERCENTIL
         found = F.aggregate("b", start, step, lambda acc: acc["at"])
         return F.when(~F.col("overflowed"), F.when(need == 0, zero).otherwise(F.coalesce(found, zero)))
 
-    offs = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    offs = _longs(offsets)
     first = F.element_at("b", 1)["bucket"]
     last = F.element_at("b", -1)
     return gathered.select(
@@ -122,7 +127,7 @@ def table_histograms(df: DataFrame, spec: TableSpec) -> DataFrame:
         F.struct(F.lit(name).alias("metric"), bucket_of(F.col(c), offsets[:n]).alias("bucket"), F.lit(n).alias("size"))
         for name, (c, n) in metrics.items()])).alias("m")).select("m.*")
     counted = placed.groupBy("metric", "bucket", "size").agg(F.count(F.lit(1)).alias("n"))
-    bounds = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    bounds = _longs(offsets)
     hist = counted.withColumn("upto", F.when(F.col("bucket") < F.col("size"), F.get(bounds, F.col("bucket"))))
     return histogram_summary(hist.drop("size"), offsets, by=["metric"])
 

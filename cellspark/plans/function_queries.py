@@ -1,5 +1,8 @@
 """Scalar function queries."""
 
+import time
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,9 +21,22 @@ def _events(t):
     return t.events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-@query("f1_now")
+def _copies():
+    """How many rows have the same id."""
+    return F.count(F.lit(1)).over(Window.partitionBy("id"))
+
+
+def _recent(ts):
+    """Whether a time is within an hour of this call."""
+    return F.abs(F.unix_seconds(ts) - int(time.time())) < 3600
+
+
+@query("f1_now", "SELECT event_id, '1' AS version, '8' AS variant, true AS recent, 1::BIGINT AS copies FROM events")
 def now(t):
-    return t.events.select("event_id", timeuuid.now().alias("id"))
+    rows = t.events.select("event_id", timeuuid.now().alias("id"))
+    return rows.select(
+        "event_id", F.substring("id", 15, 1).alias("version"), F.substring("id", 20, 1).alias("variant"),
+        _recent(timeuuid.to_timestamp(F.col("id"))).alias("recent"), _copies().alias("copies"))
 
 
 @query("f2_min_timeuuid", f"SELECT event_id, {_uuid_sql(_TICKS, '8080-808080808080')} AS u FROM events")
@@ -73,9 +89,11 @@ def to_unix(t):
                              timeuuid.to_unix_millis(timeuuid.max_timeuuid(F.col("ts"))).alias("from_uuid"))
 
 
-@query("f10_uuid")
+@query("f10_uuid", "SELECT event_id, '4' AS version, true AS variant, 1::BIGINT AS copies FROM events")
 def random_uuid(t):
-    return t.events.select("event_id", timeuuid.random_uuid().alias("id"))
+    rows = t.events.select("event_id", timeuuid.random_uuid().alias("id"))
+    return rows.select("event_id", F.substring("id", 15, 1).alias("version"),
+                       F.substring("id", 20, 1).isin("8", "9", "a", "b").alias("variant"), _copies().alias("copies"))
 
 
 @query("f11_as_blob", """
@@ -158,10 +176,13 @@ def add_duration(t):
     return t.events.select("event_id", duration.add_duration(F.col("ts"), d).alias("later"))
 
 
-@query("f17_current")
+@query("f17_current", "SELECT event_id, true AS recent, true AS same_day, true AS same_time FROM events")
 def current(t):
-    return t.events.select("event_id", timeuuid.current_timestamp().alias("ts"), timeuuid.current_date().alias("day"),
+    rows = t.events.select("event_id", timeuuid.current_timestamp().alias("ts"), timeuuid.current_date().alias("day"),
                            timeuuid.current_time_nanos().alias("time"))
+    since_midnight = F.unix_micros("ts") - F.unix_micros(F.col("day").cast("timestamp"))
+    return rows.select("event_id", _recent(F.col("ts")).alias("recent"), (F.to_date("ts") == F.col("day")).alias("same_day"),
+                       (since_midnight * 1000 == F.col("time")).alias("same_time"))
 
 
 @query("f18_literals", """
@@ -181,12 +202,12 @@ def parse_literals(t):
 
 
 @query("f19_uuid_order", """
-SELECT event_id, ts FROM events ORDER BY epoch_us(ts) DESC, event_id LIMIT 200""")
+SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) DESC, event_id) AS place FROM events""")
 def uuid_order(t):
     u = timeuuid.timeuuid_of(F.col("ts"), F.col("event_id").cast("string"))
-    rows = _events(t).withColumn("u", u)
-    top = rows.orderBy(timeuuid.order_key(F.col("u"))["ticks"].desc(), "event_id").limit(200)
-    return top.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    rows = _events(t).select("user_id", "event_id", timeuuid.order_key(u)["ticks"].alias("ticks"))
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ticks"), "event_id"))
+    return rows.select("user_id", "event_id", place.cast("bigint").alias("place"))
 
 
 @query("f21_md5_token", """

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 from cellspark.operators import collections as C
 from cellspark.operators import mutate
 from cellspark.operators import reconcile as rec
-from cellspark.plans.logs import LINE_LOG, LINE_NOW, event_log, line_log, micros
+from cellspark.plans.logs import EVENT_LOG, EVENT_LOG_SQL, LINE_LOG, LINE_NOW, event_log, line_log, micros
 from cellspark.plans.predicate_queries import _USERS_SQL, users
 from cellspark.plans.registry import query
 from cellspark.spec import TableSpec
@@ -253,11 +253,9 @@ def type_change(t):
     return mutate.add_field(typed, "u", "extra", "bigint").select("o_orderkey", "u.*")
 
 
-@query("u6_trigger", """
-SELECT 'insert' AS operation, 'user_state' AS table_name, user_id || ':' || (event_id % 16) AS primary_key, epoch_us(ts) AS at
-FROM events WHERE event_type = 'signup' AND event_id % 50 <> 0""")
+@query("u6_trigger", f"""
+WITH {EVENT_LOG_SQL}
+SELECT op AS operation, 'user_state' AS table_name, user_id || ':' || slot AS primary_key, ts AS at FROM log""")
 def trigger(t):
-    from cellspark.plans.logs import EVENT_LOG
-
-    fired = mutate.with_trigger(event_log(t).filter("_op = 'insert'"), lambda m: mutate.audit(m, EVENT_LOG, "user_state"))
+    fired = mutate.with_trigger(event_log(t), lambda m: mutate.audit(m, EVENT_LOG, "user_state"))
     return fired.filter(F.col("table_name").isNotNull()).select("operation", "table_name", "primary_key", "at")

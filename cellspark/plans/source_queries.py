@@ -91,9 +91,9 @@ def change_kinds(t):
 @query("src7_range_changes", """
 SELECT o_custkey, 'delete_range' AS kind, epoch_us(o_orderdate) AS ts,
   'DELETE FROM orders USING TIMESTAMP ' || epoch_us(o_orderdate) || ' WHERE o_custkey = ' || o_custkey || ' AND o_orderkey >= ' || o_orderkey || ' AND o_orderkey < ' || (o_orderkey + 10) AS statement
-FROM orders WHERE o_orderstatus = 'P'""")
+FROM orders""")
 def range_changes(t):
-    ranges = mutate.delete_ranges(t.orders.filter("o_orderstatus = 'P'"), TableSpec(["o_custkey"], ["o_orderkey"]),
+    ranges = mutate.delete_ranges(t.orders, TableSpec(["o_custkey"], ["o_orderkey"]),
                                   F.col("o_orderkey"), F.col("o_orderkey") + 10, micros("o_orderdate"), NOW)
     return changes.range_changes(ranges, ORDER)
 
