@@ -12,8 +12,8 @@ which is 1 if the word occurs with the entity only. A word at or over the thresh
 enough distinct texts, becomes a ``term`` span wherever it stands near a mention of that entity.
 ``sanitise`` generalises base spans to their kind and removes terms.
 
-Word counts cover the whole corpus: each task counts the words of its rows and sends one row per
-distinct word. Mentions, not texts, are shuffled; all pairs are (mention, near word), linear in the
+Word counts cover the whole corpus, each distinct text once: each task counts the words of its texts and
+sends one row per distinct word. Mentions, not texts, are shuffled; all pairs are (mention, near word), linear in the
 text. Null text counts as empty and has no spans; repeated rows give the same spans and count once.
 """
 
@@ -144,7 +144,7 @@ def mentions(df: DataFrame, text: str = "text", reach: int = 80) -> DataFrame:
 
 
 def term_counts(df: DataFrame, text: str = "text", held: int = 200_000) -> DataFrame:
-    """(term, n_texts) over all rows: a task counts in a table of ``held`` terms, then sends it on."""
+    """(term, n_term) over all rows, which should be distinct texts: a task counts in a table of ``held`` terms, then sends it on."""
 
     def run(batches):
         counts: Counter[str] = Counter()
@@ -181,9 +181,10 @@ def find(
         .filter(F.col("n_both") >= least_texts)
     )
     entities = near.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    n, log = F.lit(float(rows.count())), F.log
+    n, log = F.lit(float(rows.select("text_key").distinct().count())), F.log
+    distinct = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
     disclosed = (
-        both.join(entities, "entity").join(term_counts(docs), "term")
+        both.join(entities, "entity").join(term_counts(distinct), "term")
         .withColumn("disclosure", (log(n) + log("n_both") - log("n_term") - log("n_entity")) / (log(n) - log("n_entity")))
         .filter((F.col("disclosure") >= threshold) & (n > F.col("n_entity")))
         .select("entity", "term")

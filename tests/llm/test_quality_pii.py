@@ -104,3 +104,11 @@ def test_disclosure_against_brute_force(spark, sf):
     clean = {r.doc_id: r.text for r in pii.sanitise(df).collect() if r.doc_id}
     assert "Zorblax" not in clean[5001] and "<email>" in clean[5001] and clean[5001].startswith("Filler1 ")
     assert pii.find(df.limit(0)).count() == 0 and pii.sanitise(df).count() == len(docs)
+
+
+def test_copies_of_a_text_count_once(spark):
+    docs = [(i, f"Plain text number{i} about nothing") for i in range(2000)]
+    docs += [(3000 + i, f"Filler{i} Zorblax writes from jo@x.org") for i in range(3)]
+    docs += [(4000 + i, "Filler0 Zorblax writes from jo@x.org") for i in range(1000)]
+    got = pii.find(spark.createDataFrame(docs, "doc_id long, text string")).filter("doc_id >= 3000").collect()
+    assert len(got) == 1003 and all(any(s.kind == "term" and s.start == 8 for s in r.spans) for r in got)
