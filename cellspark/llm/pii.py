@@ -1,24 +1,35 @@
 """Information-theoretic sanitisation of personal data.
 
 Spans of four base kinds are found by pattern. Each is a mention of an entity (its normalised value).
-The method adds terms that give an entity away: for a word in the neighbourhood of a mention, the
-corpus tells how many distinct texts hold the word at all, the entity, and both together. The share
-of the entity's information that the word discloses is
+The method adds terms that give an entity away: for a word of a text with a mention, the corpus tells
+how many distinct texts hold the word at all, the entity, and both together. The share of the entity's
+information that the word discloses is
 
     disclosure = pmi(word, entity) / ic(entity)
                = log(N * n_both / (n_word * n_entity)) / log(N / n_entity)
 
-which is 1 if the word occurs with the entity only. A word at or over the threshold, seen with it in
-enough distinct texts, becomes a ``term`` span wherever it stands near a mention of that entity.
-``sanitise`` generalises base spans to their kind and removes terms.
+which is 1 if the word occurs with the entity only. A word at or over the threshold becomes a ``term``
+span. ``sanitise`` generalises base spans to their kind and removes terms.
+
+With ``WHOLE``, all counts are over whole texts, and a term is marked wherever it stands in a text that
+mentions its entity. In place of a least number of texts, which no rare entity reaches, word and entity
+must be together more often than chance explains: with m = n_word * n_entity / N texts expected, the
+Chernoff bound exp(n_both - m) * (m / n_both) ** n_both on seeing n_both or more must be at most
+``chance``. One text is enough from N = e / chance on. A word of a text that doesn't mention the entity
+stays: nothing is left there or elsewhere that ties it to the entity. Without ``WHOLE``, only words
+within ``reach`` characters of a mention count, with ``least_texts`` distinct texts at least.
 
 Word counts cover the whole corpus, each distinct text once: each task counts the words of its texts and
-sends one row per distinct word. Mentions, not texts, are shuffled; all pairs are (mention, near word), linear in the
-text. Null text counts as empty and has no spans; repeated rows give the same spans and count once.
+sends one row per distinct word. For ``WHOLE``, texts with a mention send their distinct words once; as
+n_both <= n_entity, a word in over n_entity ** threshold * N ** (1 - threshold) texts can't reach the
+threshold, so frequent words go before any pair is made. What is left are pairs of a text's entities with
+its rare words. Null text counts as empty and has no spans; repeated rows give the same spans and count
+once.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -46,6 +57,11 @@ _NOT_DIGIT = re.compile("[^0-9]")
 EDGES = ".,;:!?*#$%&|<>()[]{}\"'«»¿¡"
 LEAST_LETTERS = 3
 
+#: Options of ``find`` and ``sanitise`` that take terms from whole texts and let rare entities have them.
+WHOLE = {"reach": None, "least_texts": 1, "chance": 0.05}
+
+PLACE = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
+TERM = StructType([StructField("term", LongType()), StructField("places", ArrayType(PLACE))])
 CONTEXT = StructType([
     StructField("entity", LongType()), StructField("term", LongType()),
     StructField("start", IntegerType()), StructField("end", IntegerType())])
@@ -101,12 +117,17 @@ def term_of(word: str) -> str:
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def entity_of(text: str, span: tuple) -> int:
+    start, _, kind, end = span
+    value = text[start:end].lower() if kind in ("email", "ip") else _NOT_DIGIT.sub("", text[start:end])
+    return digest(f"{kind}:{value}")
+
+
 def contexts(text: str, spans: list[tuple], reach: int) -> list[tuple[int, int, int, int]]:
     """(entity, term, start, end) of the terms within ``reach`` characters of each mention."""
     out = {}
-    for start, _, kind, end in spans:
-        value = text[start:end].lower() if kind in ("email", "ip") else _NOT_DIGIT.sub("", text[start:end])
-        entity = digest(f"{kind}:{value}")
+    for span in spans:
+        start, end, entity = span[0], span[3], entity_of(text, span)
         low, high = max(0, start - reach), min(len(text), end + reach)
         while 0 < low < start and not text[low - 1].isspace() and start - low < 2 * reach:
             low -= 1
@@ -120,11 +141,27 @@ def contexts(text: str, spans: list[tuple], reach: int) -> list[tuple[int, int,
     return list(out)
 
 
-def mentions(df: DataFrame, text: str = "text", reach: int = 80) -> DataFrame:
-    """Append ``base`` spans, ``contexts`` and the text's hash ``text_key``."""
+def whole_text(text: str, spans: list[tuple]) -> dict[int, list[tuple[int, int]]]:
+    """Places of every distinct term of the text, but for words that overlap a base span."""
+    out, ends, at = {}, 0, 0
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        while at < len(spans) and spans[at][0] < b:
+            ends = max(ends, spans[at][3])
+            at += 1
+        if ends <= a and (term := term_of(m.group())):
+            lead = a + len(m.group()) - len(m.group().lstrip(EDGES))
+            out.setdefault(term, []).append((lead, lead + len(term)))
+    return {digest(term): places for term, places in out.items()}
+
+
+def mentions(df: DataFrame, text: str = "text", reach: int | None = 80) -> DataFrame:
+    """Append ``base`` spans, ``contexts`` or (no ``reach``) ``entities`` and ``terms``, and the text's hash ``text_key``."""
     kinds = [
         pa.list_(pa.struct([("start", pa.int32()), ("place", pa.int32()), ("kind", pa.string()), ("end", pa.int32())])),
         pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])),
+        pa.list_(pa.int64()),
+        pa.list_(pa.struct([("term", pa.int64()), ("places", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])),
         pa.int64()]
 
     def make():
@@ -132,14 +169,18 @@ def mentions(df: DataFrame, text: str = "text", reach: int = 80) -> DataFrame:
             rows = []
             for t in texts(column):
                 spans = base_spans(t)
-                near = contexts(t, spans, reach) if spans else []
+                near = contexts(t, spans, reach) if spans and reach is not None else []
+                held = whole_text(t, spans) if spans and reach is None else {}
                 rows.append(([dict(zip(SPAN.fieldNames(), s)) for s in spans],
-                             [dict(zip(CONTEXT.fieldNames(), c)) for c in near], digest(t)))
+                             [dict(zip(CONTEXT.fieldNames(), c)) for c in near],
+                             sorted({entity_of(t, s) for s in spans}),
+                             [{"term": k, "places": [{"start": a, "end": b} for a, b in v]} for k, v in held.items()], digest(t)))
             return [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
 
         return compute
 
-    fields = [StructField("base", ArrayType(SPAN)), StructField("contexts", ArrayType(CONTEXT)), StructField("text_key", LongType())]
+    fields = [StructField("base", ArrayType(SPAN)), StructField("contexts", ArrayType(CONTEXT)), StructField("entities", ArrayType(LongType())),
+              StructField("terms", ArrayType(TERM)), StructField("text_key", LongType())]
     return append_columns(df, [text], fields, make)
 
 
@@ -167,32 +208,48 @@ def term_counts(df: DataFrame, text: str = "text", held: int = 200_000) -> DataF
 
 
 def find(
-    df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, least_texts: int = 3, reach: int = 80,
+    df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, least_texts: int = 3, reach: int | None = 80,
+    chance: float = 1.0,
 ) -> DataFrame:
     """One row per row of ``df``: doc_id, ``base`` spans, all ``spans``, and ``text_key``.
 
-    A term needs a disclosure of ``threshold`` and ``least_texts`` distinct texts with the entity.
+    A term needs a disclosure of ``threshold``, ``least_texts`` distinct texts with the entity, and a
+    bound of ``chance`` on being so often with it by accident. Without ``reach``, whole texts count.
     """
     docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = materialize(mentions(docs, reach=reach).drop("text"), "mentions")
-    near = rows.select("text_key", F.explode("contexts").alias("c")).select("text_key", "c.*").distinct()
-    both = (
-        near.select("entity", "term", "text_key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-        .filter(F.col("n_both") >= least_texts)
-    )
-    entities = near.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     n, log = F.lit(float(rows.select("text_key").distinct().count())), F.log
-    distinct = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
+    counts = term_counts(docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct())
+    span = F.struct(F.col("start"), F.lit(len(KINDS)).alias("place"), F.lit("term").alias("kind"), F.col("end"))
+    if reach is None:
+        owners = rows.select("text_key", F.explode("entities").alias("entity")).distinct()
+        entities = materialize(owners.groupBy("entity").agg(F.count("*").alias("n_entity")), "entities")
+        most = F.lit(entities.agg(F.max("n_entity")).first()[0])
+        fits = lambda c: F.col("n_term") <= F.pow(c, F.lit(threshold)) * F.pow(n, F.lit(1 - threshold)) * (1 + 1e-9)
+        held = rows.select("text_key", F.explode("terms").alias("t")).select("text_key", "t.*")
+        held = materialize(held.join(counts.filter(fits(most)), "term").dropDuplicates(["text_key", "term"]), "terms")
+        near = held.select("text_key", "term", "n_term").join(owners.join(entities, "entity"), "text_key").filter(fits(F.col("n_entity")))
+        both = near.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both"))
+    else:
+        near = rows.select("text_key", F.explode("contexts").alias("c")).select("text_key", "c.*").distinct()
+        entities = near.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+        both = near.select("entity", "term", "text_key").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
+        both = both.filter(F.col("n_both") >= least_texts).join(entities, "entity").join(counts, "term")
+    expected = F.col("n_term") * F.col("n_entity") / n
+    excess = F.col("n_both") * log(F.col("n_both") / expected) - F.col("n_both") + expected
     disclosed = (
-        both.join(entities, "entity").join(term_counts(distinct), "term")
-        .withColumn("disclosure", (log(n) + log("n_both") - log("n_term") - log("n_entity")) / (log(n) - log("n_entity")))
-        .filter((F.col("disclosure") >= threshold) & (n > F.col("n_entity")))
+        both.withColumn("disclosure", (log(n) + log("n_both") - log("n_term") - log("n_entity")) / (log(n) - log("n_entity")))
+        .filter((F.col("disclosure") >= threshold) & (n > F.col("n_entity")) & (F.col("n_both") >= least_texts))
+        .filter(F.lit(chance >= 1) | ((F.col("n_both") > expected) & (excess >= -math.log(chance))))
         .select("entity", "term")
     )
-    span = F.struct(F.col("start"), F.lit(len(KINDS)).alias("place"), F.lit("term").alias("kind"), F.col("end"))
-    added = near.join(disclosed, ["entity", "term"]).groupBy("text_key").agg(F.collect_set(span).alias("terms"))
+    marked = near.join(disclosed, ["entity", "term"])
+    if reach is None:
+        marked = marked.select("text_key", "term").distinct().join(held, ["text_key", "term"]).select("text_key", F.explode("places").alias("p"))
+        marked = marked.select("text_key", "p.*")
+    added = marked.groupBy("text_key").agg(F.collect_set(span).alias("terms"))
     none = F.array().cast(ArrayType(SPAN))
-    return rows.join(added, "text_key", "left").select(
+    return rows.drop("terms").join(added, "text_key", "left").select(
         "doc_id", "text_key", "base", F.array_sort(F.concat("base", F.coalesce("terms", none))).alias("spans"))
 
 

@@ -28,7 +28,7 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
-    found = pii.find(table(spark, folder, "documents"))
+    found = pii.find(table(spark, folder, "documents"), **pii.WHOLE)
     counts = [count_kind(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select(
         "doc_id", *counts, F.sha2(spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),

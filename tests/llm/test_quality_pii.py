@@ -112,3 +112,38 @@ def test_copies_of_a_text_count_once(spark):
     docs += [(4000 + i, "Filler0 Zorblax writes from jo@x.org") for i in range(1000)]
     got = pii.find(spark.createDataFrame(docs, "doc_id long, text string")).filter("doc_id >= 3000").collect()
     assert len(got) == 1003 and all(any(s.kind == "term" and s.start == 8 for s in r.spans) for r in got)
+
+
+def test_whole_texts_and_rare_entities_against_brute_force(spark, sf):
+    far = "the old mill stands by the river and turns slowly " * 8
+    docs = [(r.doc_id, r.text) for r in table(spark, sf, "documents").collect()]
+    docs += [(7000 + i, f"Zorblax {far * i}jo@x.org, (Zorblax). 10.9.8.7") for i in range(1, 4)]
+    docs += [(7100, f"Quixwort {far}ann@y.org"), (7101, f"Quixwort {far}ann@y.org"), (7102, None), (7103, "a@b.c_d@e.f jo@x.org zorblax")]
+    docs += [(7200 + i, t) for i, t in enumerate(CASES)]
+    got = pii.find(spark.createDataFrame(docs, "doc_id long, text string"), **pii.WHOLE).collect()
+    distinct = {t or "" for _, t in docs}
+    n, n_term, ent, both, held = len(distinct), Counter(), Counter(), Counter(), {}
+    for t in distinct:
+        spans = pii.base_spans(t)
+        n_term.update({x for w in WORD.findall(t) if (x := pii.term_of(w))})
+        who = {pii.entity_of(t, s) for s in spans}
+        free = [m for m in WORD.finditer(t) if pii.term_of(m.group()) and not any(m.start() < s[3] and s[0] < m.end() for s in spans)]
+        at = [(x := pii.term_of(m.group()), m.start() + (k := m.group().lower().index(x)), m.start() + k + len(x)) for m in free] if spans else []
+        held[t] = who, at
+        ent.update(who)
+        both.update({(e, x) for e in who for x in {a[0] for a in at}})
+
+    def flagged(e, x):
+        k, m = both[e, x], n_term[x] * ent[e] / n
+        share = math.log(n * k / (n_term[x] * ent[e])) / math.log(n / ent[e])
+        return share >= 0.8 and k > m and k * math.log(k / m) - k + m >= -math.log(0.05)
+
+    keep = {p for p in both if flagged(*p)}
+    for r in got:
+        t = next(t or "" for i, t in docs if i == r.doc_id)
+        who, at = held[t]
+        want = set(brute_spans(t)) | {(a, 4, "term", b) for x, a, b in at if any((e, x) in keep for e in who)}
+        assert [tuple(s) for s in r.spans] == sorted(want), r.doc_id
+    assert len(got) == len(docs)
+    terms = {r.doc_id: {s.start for s in r.spans if s.kind == "term"} for r in got}
+    assert 0 in terms[7003] and 0 in terms[7100] and 0 in terms[7101]
