@@ -17,7 +17,8 @@ rows meet in blocks, never all with all. Each block returns at most ``k`` rows o
 
 Vectors that are null, zero, or hold null or non-finite components take no part. Scores are exact
 inner products in double precision; ties go to the smaller id. Rows that repeat an id are rows of
-their own, but a query never finds its own id.
+their own, but a query never finds its own id. A query row that repeats is searched once, and each
+repeat gets the whole answer.
 """
 
 from __future__ import annotations
@@ -235,7 +236,8 @@ def nearest(
                                                  names=["vec_id", "vec", "key", "block", "home"])
 
     placed = materialize(rows.mapInArrow(assign, "vec_id long, vec array<double>, key long, block int, home int"), "vectors")
-    queries = placed.filter(F.col("vec_id") % every == 0)
+    asking = placed.filter(F.col("vec_id") % every == 0)
+    queries = asking.dropDuplicates(["vec_id", "key"])  # repeats have the same answer; they get it at the end
 
     def box(batches):
         """Each task's box of every block it has: at most a row per block."""
@@ -300,4 +302,5 @@ def nearest(
     two = sent.groupBy("block").cogroup(by_block).applyInArrow(block_search(k, stop, top, axes, False), FOUND)
     best = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
     ranked = one.union(two).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    again = asking.select(F.col("vec_id").alias("query_id"), F.col("key").alias("query_key"))
+    return again.join(ranked, ["query_id", "query_key"]).select("query_id", "rank", "vec_id", "score")

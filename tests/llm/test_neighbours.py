@@ -66,6 +66,16 @@ def test_few_and_none(spark):
     assert neighbours.nearest(df.limit(0)).count() == 0
 
 
+def test_repeated_query_rows_each_get_all_neighbours(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(1, 60)]
+    once = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    got = neighbours.nearest(spark.createDataFrame(rows + [rows[19]] * 19, "vec_id long, embedding array<double>")).collect()
+    want = [(r.rank, r.vec_id) for r in once if r.query_id == 20]
+    assert len(want) == 20
+    assert sorted((r.rank, r.vec_id) for r in got if r.query_id == 20) == sorted(want * 20)
+
+
 @pytest.mark.parametrize("p", [0.5, 0.9, 0.98])
 def test_chi_square(p):
     draws = (np.random.default_rng(1).normal(size=(200_000, 8)) ** 2).sum(axis=1)
