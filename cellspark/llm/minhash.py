@@ -240,10 +240,13 @@ class Merged:
         self.labels = materialize(moved.union(fresh), "merged")
 
 
-def near_duplicates(
+def groups(
     df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, parts: int = 8, width: int = 2, size: int = SHINGLE,
 ) -> DataFrame:
-    """One row per row of ``df``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
+    """One row per row of ``df``: doc_id, text_key, n_shingles, component_id and the component's own ``label``.
+
+    A null id is ``LAST``. Two components can share a component_id where rows share an id, but no label.
+    """
     spark = df.sparkSession
     docs = whole(df, key, text).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST))).withColumn("text_key", F.xxhash64("text"))
     rows = materialize(sign(docs, parts, width, size).drop("text"), "signatures")
@@ -275,9 +278,13 @@ def near_duplicates(
             merged.add(confirmed(materialize(may_link(differing, percent), "rest"), sets, percent))
     labelled = merged.label(classes.select("set_key", "class", "doc_id", "n_shingles"), "class", "label")
     lowest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_class = labelled.join(lowest, "label").select("set_key", "component_id")
+    return rows.join(labelled.join(lowest, "label").select("set_key", "component_id", "label"), "set_key").drop("hashes", "set_key")
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per row of ``df``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     # Empty sets are linked with nothing, not even with each other.
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     shown = lambda c: F.when(c < LAST, c)
-    return rows.join(of_class, "set_key").select(
+    return groups(df, key, text, **options).select(
         shown(F.col("doc_id")).alias("doc_id"), "n_shingles", shown(component).alias("component_id"), (F.col("doc_id") == component).alias("kept"))
