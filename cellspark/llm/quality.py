@@ -1,8 +1,8 @@
 """Quality rules: in-document repetition, and lines that recur across the documents of a host.
 
 Lines are normalised (case, digits, punctuation at the ends and white space don't count) and hashed.
-For every host the distinct documents of each line are counted; lines above the limit are taken off,
-and a document that keeps too few of its words is rejected. Base rules reject texts with under ten
+For every host the distinct documents of each line are counted; lines above the limit are taken off
+(``clean`` gives the text without them), and a document that keeps too few of its words is rejected. Base rules reject texts with under ten
 words, or with over a fifth of their words in five-word windows that recur in the text.
 
 One pass over the texts writes a small record per row (counts, and the hash and word count of each
@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from cellspark.llm.common import append_columns, texts, words
 from cellspark.session import materialize
@@ -86,6 +86,41 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     return append_columns(df, [text], [StructField(c, LongType()) for c in counts] + [StructField("lines", ArrayType(LINE))], make)
 
 
+def over_frequent(rows: DataFrame, max_documents: int) -> DataFrame:
+    """(host, hash, n_documents) of the lines of ``rows`` in over ``max_documents`` documents of a host."""
+    lines = rows.select("doc_id", "host", F.explode("lines").alias("line")).select("doc_id", "host", "line.hash")
+    counts = lines.distinct().groupBy("host", "hash").agg(F.count("*").alias("n_documents"))
+    return counts.filter(F.col("n_documents") > max_documents)
+
+
+def clean(
+    df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", max_documents: int = 100, out: str = "clean_text",
+) -> DataFrame:
+    """Append ``out``: the text without the lines that ``judge`` counts as over-frequent. A null text stays null."""
+    docs = df.withColumns({"__host": F.col(host).cast("string"), "__key": F.xxhash64(F.col(text).cast("string")), "__text": F.col(text).cast("string")})
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col("__host").alias("host"), F.col("__key").alias("key"), F.col("__text").alias("text"))
+    rows = materialize(measure(rows).select("doc_id", "host", "key", "lines"), "lines")
+    hits = rows.select("host", "key", F.explode("lines").alias("line")).select("host", "key", "line.hash").distinct()
+    frequent = over_frequent(rows, max_documents)
+    cut = (
+        hits.join(frequent, (hits.host.eqNullSafe(frequent.host)) & (hits["hash"] == frequent["hash"]))
+        .groupBy(hits.host.alias("__cut_host"), hits.key.alias("__cut_key")).agg(F.collect_list(hits["hash"]).alias("__cut"))
+    )
+    marked = docs.join(cut, F.col("__host").eqNullSafe(F.col("__cut_host")) & (F.col("__key") == F.col("__cut_key")), "left")
+
+    def make():
+        def left(t: str | None, gone: list[int] | None) -> str | None:
+            if not t or not gone:
+                return t
+            own = set(gone)
+            return "\n".join(x for x in t.split("\n") if not words(x) or line_key(x) not in own)
+
+        return lambda column, gone: [pa.array(map(left, column.to_pylist(), gone.to_pylist()), pa.string())]
+
+    done = append_columns(marked, ["__text", "__cut"], [StructField(out, StringType())], make)
+    return done.drop("__host", "__key", "__text", "__cut_host", "__cut_key", "__cut")
+
+
 def judge(
     df: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", max_documents: int = 100,
     least_left: float = 0.3,
@@ -97,11 +132,7 @@ def judge(
     """
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("text"))
     rows = materialize(measure(rows).drop("text"), "quality")
-    lines = rows.select("doc_id", "host", F.explode("lines").alias("line")).select("doc_id", "host", "line.hash")
-    frequent = (
-        lines.distinct().groupBy("host", "hash").agg(F.count("*").alias("n_documents"))
-        .filter(F.col("n_documents") > max_documents)
-    )
+    frequent = over_frequent(rows, max_documents)
     numbered = rows.withColumn("row", F.xxhash64(F.col("doc_id"), F.col("host"), F.col("n_words"), F.col("lines")))
     hits = numbered.select("host", "row", F.explode(F.array_distinct("lines")).alias("line")).select("host", "row", "line.*").distinct()
     cut = (

@@ -47,6 +47,25 @@ def test_quality_against_brute_force(spark, sf):
     assert quality.judge(df.limit(0)).count() == 0
 
 
+def test_clean_text_against_brute_force(spark):
+    docs = [(i, f"Common line number {i}.\n\n{chr(97 + i) * 4} words here\n common LINE number 7", "h") for i in range(12)]
+    docs += [(100 + i, "common line number 0\nsame text", None) for i in range(12)] + [(i, "common line number 1\nkept", "few") for i in range(5)]
+    docs += [(200, None, "h"), (201, "", "h"), (None, "x\ncommon line number 3", "h"), (3, docs[3][1], "h"), (0, "only here", "few")]
+    got = quality.clean(spark.createDataFrame(docs, "doc_id long, text string, source string"), max_documents=10).collect()
+    hosts = {}
+    for i, t, s in docs:
+        for x in (t or "").split("\n"):
+            if WORD.search(x):
+                hosts.setdefault((s, quality.line_key(x)), set()).add(i)
+    want = []
+    for i, t, s in docs:
+        left = t and "\n".join(x for x in t.split("\n") if not WORD.search(x) or len(hosts[s, quality.line_key(x)]) <= 10)
+        want.append((i, t, s, left))
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted((tuple(r) for r in got), key=key) == sorted(want, key=key)
+    assert [r.clean_text for r in got if r.doc_id == 5 and r.source == "h"] == ["\nffff words here"]
+
+
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
 CARD = r"[0-9]([\x20-]?[0-9])+"
