@@ -15,8 +15,14 @@ from cellspark.session import materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language: null texts and texts without a letter."""
+    """Rejects documents without a language: null texts and texts without a letter.
+
+    The network rejects nothing beyond these: a text with a letter stays whatever its language and score,
+    and if nothing is labelled, so that there is no network.
+    """
     network = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
+    if network is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     return langid.predict(docs, network, lang="__lang", score="__score").filter(F.col("__lang") != langid.NO_LANGUAGE).select(docs.columns)
 
 

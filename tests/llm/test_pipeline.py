@@ -20,3 +20,9 @@ def test_near_duplicates_by_row_at_five_words_and_80_percent(spark, rows):
     want = [docs[0], docs[2], docs[3], docs[4], docs[6], docs[7], docs[9], docs[10], docs[11], docs[12]]
     key = lambda r: [(x is None, x) for x in r]
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_language_keeps_texts_with_a_letter_when_nothing_is_labelled(spark, rows):
+    docs = [(1, "words of a text"), (2, "\u4e2d"), (3, "12 34 !"), (4, None), (5, ""), (None, "no id")]
+    got = [r[:2] for r in rows(corpus_pipeline.language(spark, frame(spark, docs), ""))]
+    assert sorted(got, key=str) == sorted([docs[0], docs[1], docs[5]], key=str)
