@@ -87,3 +87,13 @@ def test_csv_cells_with_line_breaks(spark, tmp_path):
     csvio.export_csv(csvio.export_rows(df, spec), str(tmp_path / "c"))
     good, bad = csvio.import_csv(spark, str(tmp_path / "c"), df.schema, ["k"])
     assert {tuple(r) for r in good.collect()} == {(1, "one\ntwo"), (2, 'a "b",\n\nc')} and bad.count() == 0
+
+
+def test_interval_percentiles_are_exact_on_large_intervals(spark):
+    from cellspark.streaming import mutations as S
+
+    n = 400_000
+    df = spark.range(1, n + 1, 1, 8).select(F.timestamp_seconds(F.lit(1000)).alias("ts"), F.pmod(F.col("id") * 7919, F.lit(n + 1)).cast("double").alias("value"))
+    values = sorted(r[0] for r in df.select("value").collect())
+    got = S.interval_rates(df, "ts", "1 day", F.col("value")).first()
+    assert got.n == n and list(got.p) == [values[n * k // 100 - 1] for k in (50, 95, 99)]
