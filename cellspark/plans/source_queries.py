@@ -11,7 +11,6 @@ from cellspark.plans.reconcile_queries import event_state
 from cellspark.plans.registry import EVENTS, ORDERS, query
 from cellspark.session import fresh_path
 from cellspark.sources import changes, csvio, tables
-from cellspark.sources.generator import ColumnProfile, Profile, generate
 from cellspark.spec import TableSpec
 from cellspark.streaming import mutations as stream
 
@@ -152,18 +151,6 @@ def change_stream(t):
     return t.spark.read.parquet(path)
 
 
-@query("src11_generate")
-def generated(t):
-    profile = Profile(
-        [ColumnProfile("name", "text", "uniform(1..1000)", "uniform(1..10)")],
-        [ColumnProfile("day", "timestamp", "uniform(1..1m)", cluster="uniform(5..10)"),
-         ColumnProfile("n", "bigint", "gaussian(1..1000)", cluster="uniform(1..4)")],
-        [ColumnProfile("v", "double", "exp(1..100k)"), ColumnProfile("w", "int", "extreme(1..1000,0.6)"),
-         ColumnProfile("q", "bigint", "~qextreme(1..1000,1,5)"), ColumnProfile("id", "uuid", "seq(1..100)")],
-        select_ratio="uniform(1..10)/10")
-    return generate(profile, t.customer, "c_custkey")
-
-
 @query("src12_validate", """
 SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 'missing' ELSE 'different' END AS status
 FROM orders WHERE o_orderkey % 97 = 0 OR (o_orderkey % 89 = 0 AND o_orderkey % 97 <> 0)""")

@@ -223,3 +223,9 @@ def test_null_policies(spark):
     assert spark.sql("select plus_one_cs(cast(null as int)) a, plus_one_cs(4) b").first() == (None, 5)
     with pytest.raises(ValueError):
         udf.register_function(spark, "plus_one_cs", lambda a: a, "int")
+
+
+def test_load_generator_is_no_query():
+    from cellspark.plans import QUERIES
+
+    assert "src11_generate" not in QUERIES and "src12_validate" in QUERIES
