@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellspark.llm import bpe, langid, merkle, minhash, neighbours, packing, passages, pii, quality, secrets, wordpiece
+from cellspark.llm import bpe, langid, merkle, minhash, neighbours, packing, passages, pii, quality, secrets, simhash, whitening, wordpiece
 from cellspark.llm.common import count_kind, spans_text, table, tokenizer_file, whole
 
 
@@ -68,6 +68,15 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         spans_text(F.col("secrets")).alias("spans"))
 
 
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(table(spark, folder, "documents"))
 
@@ -76,7 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_language_id, op3_token_counts, op4_pii, op5_neighbours, op6_suffix_dedup, op7_line_quality,
-        op8_bpe_round_trip, op9_minhash, op10_secret_scan, op13_merkle_manifest)
+        op8_bpe_round_trip, op9_minhash, op10_secret_scan, op11_simhash, op12_whitening, op13_merkle_manifest)
 }
 
 def _field(value: str) -> str:
