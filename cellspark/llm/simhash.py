@@ -219,7 +219,7 @@ def flips(width: int, most: int) -> np.ndarray:
 
 
 def spread(fps: DataFrame, costs: Costs, probe: bool) -> DataFrame:
-    """(part, value, fp): the places where a fingerprint lies, or those where it looks."""
+    """(bucket, fp): the buckets where a fingerprint lies, or those where it looks. A bucket is a part and its value in one number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,11 +231,10 @@ def spread(fps: DataFrame, costs: Costs, probe: bool) -> DataFrame:
                     values = packed(bits, own)
                     for t in np.unique(thresholds[thresholds[:, p] >= 0, p]):
                         asks, masks = np.flatnonzero(thresholds[:, p] == t), flips(len(own), int(t))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(asks) * len(masks), p, np.int32)), pa.array((values[asks, None] ^ masks).ravel()),
-                             pa.array(np.repeat(fp[asks], len(masks)))], names=["part", "value", "fp"])
+                        buckets = (values[asks, None] ^ masks).ravel() | (p << BITS // 2)
+                        yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(np.repeat(fp[asks], len(masks)))], names=["bucket", "fp"])
 
-    return fps.select("fp").mapInArrow(run, "part int, value long, fp long")
+    return fps.select("fp").mapInArrow(run, "bucket long, fp long")
 
 
 def points(fps: DataFrame, within: int) -> DataFrame:
@@ -261,30 +260,34 @@ def linked(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(fp, label) of distinct fingerprints ``fps``: those of one component have one label."""
     costs = plan(fps)
     places, asked = materialize(spread(fps, costs, False), "places"), materialize(spread(fps, costs, True), "probes")
-    crowded = materialize(places.groupBy("part", "value").count().filter(F.col("count") > crowd).select("part", "value"), "crowded")
-    at = ["part", "value"]
-    found = places.join(crowded, at, "left_anti").withColumnRenamed("fp", "a").join(asked.withColumnRenamed("fp", "b"), at)
+    crowded = materialize(places.groupBy("bucket").count().filter(F.col("count") > crowd).select("bucket"), "crowded")
+    found = places.join(crowded, "bucket", "left_anti").withColumnRenamed("fp", "a").join(asked.withColumnRenamed("fp", "b"), "bucket")
     found = found.filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= LIMIT))
     links = materialize(found.select("a", "b").distinct(), "links")
     if crowded.isEmpty():
         return labels_of(fps, links)
 
-    # Everything that lies in a crowded bucket or looks there.
-    met = materialize(places.join(crowded, at, "left_semi").union(asked.join(crowded, at, "left_semi")).distinct(), "met")
+    # Everything that lies in a crowded bucket or looks there. Points compress so well that they look small enough
+    # to be broadcast; they are not, hence the hints.
+    met = materialize(places.join(crowded, "bucket", "left_semi").union(asked.join(crowded, "bucket", "left_semi")).distinct(), "met")
     near = points(met.select("fp").distinct(), 1)
     hubs = near.groupBy("point").agg(F.min("fp").alias("a"), F.max("fp").alias("last")).filter("a <> last").select("point", "a")
-    by_point = near.join(hubs, "point").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    by_point = near.join(hubs.hint("merge"), "point").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
     links = materialize(links.union(by_point).distinct(), "links")
     named = materialize(labels_of(fps, links), "named")
-    held = materialize(met.join(named, "fp").groupBy(*at, "label").count(), "held")
-    largest = held.groupBy(*at).agg(F.max(F.struct("count", "label")).alias("most"), F.count("*").alias("kinds")).filter("kinds > 1")
-    open_ = materialize(met.join(named, "fp").join(largest.select(*at, F.col("most.label").alias("main")), at), "open")
-    few = open_.filter("label <> main").select("fp").distinct()
+    held = materialize(met.join(named, "fp").groupBy("bucket", "label").count(), "held")
+    largest = held.groupBy("bucket").agg(F.max(F.struct("count", "label")).alias("most"), F.count("*").alias("kinds")).filter("kinds > 1")
+    open_ = materialize(met.join(named, "fp").join(largest.select("bucket", F.col("most.label").alias("main")), "bucket"), "open")
     if open_.isEmpty():
         return named
+    few = open_.filter("label <> main").select("fp").distinct()
     near = points(open_.select("fp").distinct(), 1).groupBy("point").agg(F.min("fp").alias("a"))
-    far = points(few, 2).join(near, "point").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
-    return labels_of(fps, materialize(links.union(far).distinct(), "links"))
+    far = points(few, 2).join(near.hint("merge"), "point").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    # Only links between two components are new: components of components.
+    label = lambda c: named.select(F.col("fp").alias(c), F.col("label").alias(f"of_{c}"))
+    apart = far.join(label("a"), "a").join(label("b"), "b").filter("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    joined = components(materialize(apart.distinct(), "apart")).select(F.col("id").alias("label"), F.col("label").alias("root"))
+    return named.join(joined, "label", "left").select("fp", F.coalesce("root", "label").alias("label"))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
