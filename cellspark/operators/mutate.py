@@ -78,6 +78,42 @@ def delete_ranges(partitions: DataFrame, spec: TableSpec, lo, hi, ts, now,
         as_col(ts).cast("bigint").alias("_ts"), as_col(now).cast("bigint").alias("_now"))
 
 
+def delete_slices(partitions: DataFrame, spec: TableSpec, ts, now, equal: dict | None = None, lo=None, hi=None,
+                  lo_inclusive: bool = True, hi_inclusive: bool = True) -> DataFrame:
+    """Range tombstones on a prefix of the clustering key.
+
+    ``equal`` fixes the first clustering columns; ``lo`` and ``hi`` bound the next one, or, given as lists, the
+    next ones together: ``c1 = 5 AND (c2, c3) > (1, 2)``. Without a bound all rows of the prefix go.
+    """
+    as_col = lambda x: x if isinstance(x, Column) else F.lit(x)
+    equal = equal or {}
+    if list(equal) != spec.ck[: len(equal)]:
+        raise ValueError(f"only the first clustering columns can be fixed, in order: {spec.ck}")
+
+    def bound(value) -> Column:
+        values = [] if value is None else list(value) if isinstance(value, (list, tuple)) else [value]
+        if len(equal) + len(values) > len(spec.ck):
+            raise ValueError("a bound has more values than clustering columns")
+        fixed = [as_col(v).alias(c) for c, v in zip(spec.ck, [*equal.values(), *values])]
+        return F.struct(*fixed) if fixed else F.lit(None)
+
+    return partitions.select(
+        *spec.pk, bound(lo).alias("lo"), bound(hi).alias("hi"), F.lit(lo is None or lo_inclusive).alias("lo_incl"),
+        F.lit(hi is None or hi_inclusive).alias("hi_incl"), as_col(ts).cast("bigint").alias("_ts"), as_col(now).cast("bigint").alias("_now"))
+
+
+def ranges_of(spec: TableSpec, rows: DataFrame, *slices: DataFrame) -> DataFrame:
+    """One frame of range tombstones from several: bounds of any length as structs of the whole clustering key."""
+
+    def whole(df: DataFrame, name: str) -> Column:
+        dtype, bound = df.schema[name].dataType, F.col(name)
+        held = dtype.fieldNames() if isinstance(dtype, T.StructType) else spec.ck[:1] if not isinstance(dtype, T.NullType) else []
+        value = lambda c: F.lit(None) if c not in held else bound[c] if isinstance(dtype, T.StructType) else bound
+        return F.struct(*[value(c).cast(rows.schema[c].dataType).alias(c) for c in spec.ck])
+
+    return reduce(lambda a, b: a.unionByName(b), [s.withColumns({n: whole(s, n) for n in ("lo", "hi")}) for s in slices])
+
+
 def log_of(*mutations: DataFrame) -> DataFrame:
     """One mutation log from several."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), mutations)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellspark.operators.ranges import covering
 from cellspark.spec import MAX_EXPIRY, TableSpec
 
 NEVER = 2147483647  # fixed value: "no local deletion time"
@@ -144,110 +145,9 @@ def with_partition_deletions(state: DataFrame, deletions: DataFrame, spec: Table
     return joined.withColumn("_del", F.greatest("_del", "_pdel")).drop("_pdel")
 
 
-def position(value: Column, dtype: T.DataType) -> Column:
-    """A number that grows with the value; equal numbers are allowed for close values."""
-    if isinstance(dtype, T.StringType):
-        # the first six bytes as one number
-        return F.conv(F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0"), 16, 10).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(value).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.unix_micros(value.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return value.cast("int").cast("double")
-    return value.cast("double")
-
-
-def covering_deletions(rows: DataFrame, ranges: DataFrame, spec: TableSpec,
-                       bin_rows: int = 4096) -> DataFrame:
-    """For every row key that a range tombstone covers, the newest such deletion.
-
-    ``ranges`` holds the partition key, ``lo``/``hi`` bounds on the first clustering column
-    (null for open ends), ``lo_incl``/``hi_incl`` and ``_ts``, ``_now``.
-
-    The rows of each partition that has ranges are cut into bins along the clustering
-    column, as many as its row count asks for, so a hot partition is spread over many
-    tasks. A range is compared with rows only in the (at most two) bins where it begins and
-    ends; the bins in between take its time from a tree over the bins, where any run of
-    bins is at most two nodes per level.
-    """
-    first = spec.ck[0]
-    dtype = rows.schema[first].dataType
-    bounded = ranges.select(
-        *spec.pk, "lo", "hi", "lo_incl", "hi_incl",
-        F.struct(F.col("_ts").alias("ts"), F.col("_now").cast("bigint").alias("ldt")).alias("_rdel"),
-        position(F.col("lo"), dtype).alias("_plo"), position(F.col("hi"), dtype).alias("_phi"))
-    touched = bounded.groupBy(*spec.pk).agg(F.count(F.lit(1)).alias("_ranges"))
-    # only keys of partitions with ranges, each once
-    keys = rows.select(*spec.key).join(touched.select(*spec.pk), spec.pk, "left_semi").distinct().withColumn(
-        "_pos", position(F.col(first), dtype))
-    extent = keys.join(touched, spec.pk).groupBy(*spec.pk).agg(
-        F.min("_pos").alias("_min"), F.max("_pos").alias("_max"),
-        F.ceil((F.count(F.lit(1)) + F.max("_ranges")) / bin_rows).cast("bigint").alias("_bins"))
-
-    def bin_of(pos: Column) -> Column:
-        span = F.col("_max") - F.col("_min")
-        raw = F.when(span > 0, F.floor((pos - F.col("_min")) / span * F.col("_bins"))).otherwise(0)
-        # least and greatest skip nulls, an open end must stay null
-        return F.when(pos.isNotNull(), F.least(F.greatest(raw, F.lit(0)), F.col("_bins") - 1)).cast("bigint")
-
-    binned = keys.join(extent, spec.pk).select(*spec.key, bin_of(F.col("_pos")).alias("_bin"), "_bins")
-    placed = (
-        bounded.join(extent, spec.pk)
-        .filter((F.col("_plo").isNull() | (F.col("_plo") <= F.col("_max")))
-                & (F.col("_phi").isNull() | (F.col("_phi") >= F.col("_min"))))
-        .withColumn("_b0", F.coalesce(bin_of(F.col("_plo")), F.lit(0)))
-        .withColumn("_b1", F.coalesce(bin_of(F.col("_phi")), F.col("_bins") - 1))
-    )
-    edges = placed.withColumn("_bin", F.explode(F.array_distinct(F.array("_b0", "_b1"))))
-    whole = _whole_bins(placed, binned, spec)
-    c = F.col(first)
-    inside = (
-        (F.col("lo").isNull() | (c > F.col("lo")) | (F.col("lo_incl") & (c == F.col("lo"))))
-        & (F.col("hi").isNull() | (c < F.col("hi")) | (F.col("hi_incl") & (c == F.col("hi"))))
-    )
-    on = [*spec.pk, "_bin"]
-    hit = binned.join(edges.select(*on, "lo", "hi", "lo_incl", "hi_incl", "_rdel"), on).filter(inside)
-    covered = binned.join(whole, on)
-    return (hit.select(*spec.key, "_rdel").unionByName(covered.select(*spec.key, "_rdel"))
-            .groupBy(*spec.key).agg(F.max("_rdel").alias("_rdel")))
-
-
-def _whole_bins(placed: DataFrame, binned: DataFrame, spec: TableSpec) -> DataFrame:
-    """For each bin, the newest range that covers all of it.
-
-    A range's inner bins are written as nodes of a binary tree (level ``j`` nodes hold
-    ``2^j`` bins), so even a range over a whole hot partition is a few dozen rows; a bin
-    then looks up its own ancestors.
-    """
-    up = lambda x, j: F.call_function("shiftright", x, j)
-    width = lambda j: F.call_function("shiftleft", F.lit(1).cast("bigint"), j)
-    first, end = F.col("_b0") + 1, F.col("_b1")  # bins first … end - 1
-
-    def nodes_at(j: Column) -> Column:
-        lo, hi = up(first + width(j) - 1, j), up(end, j)
-        take = lambda node, odd: F.when((lo < hi) & (odd % 2 == 1), F.struct(j.alias("level"), node.alias("node")))
-        return F.array(take(lo, lo), take(hi - 1, hi))
-
-    tree_height = F.ceil(F.log2(F.col("_bins").cast("double"))).cast("int")
-    levels = F.sequence(F.lit(0), tree_height)
-    nodes = (
-        placed.filter(F.col("_b1") - F.col("_b0") > 1)
-        .select(*spec.pk, "_rdel", F.explode(F.array_compact(F.flatten(F.transform(levels, nodes_at)))).alias("_n"))
-        .groupBy(*spec.pk, F.col("_n.level").alias("level"), F.col("_n.node").alias("node"))
-        .agg(F.max("_rdel").alias("_rdel"))
-    )
-    ancestors = binned.select(*spec.pk, "_bin", "_bins").distinct().select(
-        *spec.pk, "_bin", F.explode(levels).alias("level")).withColumn("node", up(F.col("_bin"), F.col("level")))
-    return ancestors.join(nodes, [*spec.pk, "level", "node"]).groupBy(*spec.pk, "_bin").agg(
-        F.max("_rdel").alias("_rdel"))
-
-
 def with_range_deletions(state: DataFrame, ranges: DataFrame, spec: TableSpec,
-                         bin_rows: int = 4096, rows: DataFrame | None = None) -> DataFrame:
-    """Apply range tombstones to merged state.
+                         bin_rows: int | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Apply range tombstones (see ``ranges.covering``) to merged state, in pieces of ``bin_rows`` events.
 
     ``rows`` may give the keys from elsewhere (the log the state was merged from): only the
     key columns are read then, instead of merging the state a second time.
@@ -255,7 +155,7 @@ def with_range_deletions(state: DataFrame, ranges: DataFrame, spec: TableSpec,
     Working on merged rows is exact: each cell's winner has the largest timestamp, so if the
     winner is covered every older version is too.
     """
-    found = covering_deletions(state if rows is None else rows, ranges, spec, bin_rows)
+    found = covering(state if rows is None else rows, ranges, spec, bin_rows)
     joined = state.join(found, spec.key, "left")
     return joined.withColumn("_del", F.greatest("_del", "_rdel")).drop("_rdel")
 
@@ -295,7 +195,9 @@ def is_live_row(spec: TableSpec) -> Column:
 
 
 def live_rows(state: DataFrame, spec: TableSpec, meta: bool = False) -> DataFrame:
-    """Rows a reader sees: live cells of live rows.
+    """Rows a reader sees at the time of the state: live cells of live rows.
+
+    Expiry is that of the time the state was reconciled for; ``lasting`` holds state that is read at any time.
 
     With ``meta`` each cell also shows ``<c>__writetime`` (µs) and ``<c>__expires`` (s).
     """
@@ -400,8 +302,8 @@ def _anything(spec: TableSpec) -> Column:
 
 
 def compact(state: DataFrame, spec: TableSpec, now: int, gc_grace: int | None = None,
-            min_other_ts: int | None = None) -> DataFrame:
-    """Purge tombstones past their grace period; expired cells become tombstones first.
+            min_other_ts: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Purge tombstones past their grace period; cells expired by ``now`` become tombstones first.
 
     A tombstone stays while data outside this compaction may be as old as it
     (``min_other_ts`` is the smallest write time there).
@@ -414,19 +316,22 @@ def compact(state: DataFrame, spec: TableSpec, now: int, gc_grace: int | None =
 
     def cell(c: str) -> Column:
         x = F.col(c)
-        expired = x["dead"] & x["ttl"].isNotNull()
+        expired = x["ttl"].isNotNull() & (x["dead"] | (x["ldt"] <= now))
+        dead = x["dead"] | expired
         ldt = F.when(expired, x["ldt"] - x["ttl"]).otherwise(x["ldt"])
-        drop = x["dead"] & purgeable(x["ts"], ldt)
+        drop = dead & purgeable(x["ts"], ldt)
         names = state.schema[c].dataType.fieldNames()
         null = lambda n: F.lit(None).cast(state.schema[c].dataType[n].dataType)
         stone = F.struct(*[
             {"ts": x["ts"], "dead": F.lit(True), "ldt": ldt}.get(n, null(n)).alias(n) for n in names])
-        return F.when(x.isNull() | drop, None).when(x["dead"], stone).otherwise(x).alias(c)
+        return F.when(x.isNull() | drop, None).when(dead, stone).otherwise(x).alias(c)
 
     live = F.col("_live")
-    liveness = F.when(~(live["expired"] & purgeable(live["ts"], live["exp"])), live).alias("_live")
+    expired = live["expired"] | F.coalesce(live["expiring"] & (live["exp"] <= now), F.lit(False))
+    shown = F.struct(*[(expired if n == "expired" else live[n]).alias(n) for n in state.schema["_live"].dataType.fieldNames()])
+    liveness = F.when(~(expired & purgeable(live["ts"], live["exp"])), shown).alias("_live")
     deletion = F.when(~purgeable(F.col("_del.ts"), F.col("_del.ldt")), F.col("_del")).alias("_del")
-    out = state.select(*spec.key, liveness, deletion, *[cell(c) for c in spec.regular])
+    out = state.select(*spec.key, liveness, deletion, *[cell(c) for c in spec.regular], *carry)
     return out.filter(_anything(spec))
 
 

@@ -1,14 +1,17 @@
 """Reconciliation, compaction and upkeep queries."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from cellspark.functions import aggregates as A
-from cellspark.operators import grouping, maintenance, select
+
+from cellspark.operators import grouping, lasting, maintenance, mutate, select
 from cellspark.operators import reconcile as rec
 from cellspark.plans.logs import (EVENT_LOG, EVENT_LOG_SQL, LINE_LOG, LINE_NOW, NOW, event_log, line_cells_sql,
                                   line_log, micros, split_copies)
-from cellspark.plans.registry import LINES, ORDERS, query
-from cellspark.session import fresh_path
+from cellspark.plans.registry import LINES, ORACLE, ORDERS, query
+from cellspark.session import fresh_path, materialize
 from cellspark.sources import tables
 from cellspark.spec import TableSpec
 
@@ -104,6 +107,74 @@ def range_deletes(t):
     return rec.live_rows(rec.reconcile(log, spec, LINE_NOW, ranges=ranges), spec)
 
 
+# a late line of a supplier deletes lines with the same flag shipped up to 40 days before it; an early one deletes
+# what comes after it in the order of flag, date and order, up to the end of the flag
+_SLICES_SQL = """
+slices AS (SELECT l_suppkey, l_returnflag, l_shipdate, l_orderkey, l_linenumber, epoch_us(l_shipdate) AS ts FROM lineitem),
+near AS (SELECT * FROM slices WHERE l_linenumber = 6), rest AS (SELECT * FROM slices WHERE l_linenumber = 7 AND l_orderkey % 5 = 0)"""
+SUPPLIED = TableSpec(["l_suppkey"], ["l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber"], (), ["l_quantity"])
+
+
+@query("m4_prefix_ranges", f"""
+WITH {_SLICES_SQL}
+SELECT l_suppkey, l_returnflag, l_shipdate, l_orderkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem l
+WHERE NOT EXISTS (SELECT 1 FROM near n WHERE n.l_suppkey = l.l_suppkey AND n.l_returnflag = l.l_returnflag
+                  AND l.l_shipdate > n.l_shipdate - INTERVAL 40 DAY AND l.l_shipdate < n.l_shipdate AND n.ts - 5 * 86400000000 >= epoch_us(l.l_shipdate))
+  AND NOT EXISTS (SELECT 1 FROM rest r WHERE r.l_suppkey = l.l_suppkey AND r.l_returnflag = l.l_returnflag
+                  AND (l.l_shipdate, l.l_orderkey) > (r.l_shipdate, r.l_orderkey) AND r.ts + 9 * 86400000000 >= epoch_us(l.l_shipdate))
+GROUP BY ALL""")
+def prefix_ranges(t):
+    log = t.lineitem.select(*SUPPLIED.key, "l_quantity", micros("l_shipdate").alias("_ts"))
+    flag = {"l_returnflag": F.col("l_returnflag")}
+    near = mutate.delete_slices(
+        t.lineitem.filter("l_linenumber = 6"), SUPPLIED, micros("l_shipdate") - 5 * 86400000000, LINE_NOW, flag,
+        F.col("l_shipdate") - F.expr("INTERVAL 40 DAYS"), F.col("l_shipdate"), lo_inclusive=False, hi_inclusive=False)
+    rest = mutate.delete_slices(
+        t.lineitem.filter("l_linenumber = 7 AND l_orderkey % 5 = 0"), SUPPLIED, micros("l_shipdate") + 9 * 86400000000, LINE_NOW, flag,
+        [F.col("l_shipdate"), F.col("l_orderkey")], lo_inclusive=False)
+    return rec.live_rows(rec.reconcile(log, SUPPLIED, LINE_NOW, ranges=mutate.ranges_of(SUPPLIED, t.lineitem, near, rest)), SUPPLIED)
+
+
+def at_any_time(now) -> str:
+    """The SQL of the event state with another reading time."""
+    return EVENT_LOG_SQL.replace(str(NOW), str(now))
+
+
+READ_AT = (NOW - 12 * 86400, NOW, NOW + 12 * 86400)
+
+
+def _at_each_time(select: str) -> str:
+    return " UNION ALL ".join(f"SELECT * FROM (WITH {at_any_time(now)} SELECT {now}::BIGINT AS at, {select})" for now in READ_AT)
+
+
+def stored_events(t):
+    return materialize(lasting.stored(event_log(t), EVENT_LOG), "stored")
+
+
+def _read_each_time(state):
+    return reduce(lambda a, b: a.unionByName(b), [
+        lasting.live_rows(state, EVENT_LOG, now).select(F.lit(now).cast("bigint").alias("at"), *EVENT_LOG.key, "value", "kind") for now in READ_AT])
+
+
+@query("m3_read_times", _at_each_time("user_id, slot, value, kind FROM state"))
+def read_times(t):
+    # one stored state, read before, at and after the usual time
+    return _read_each_time(stored_events(t))
+
+
+@query("m7_merge_times", _at_each_time("user_id, slot, value, kind FROM state"))
+def merge_times(t):
+    # three states, the second compacted early and the third late, both within grace
+    log = event_log(t)
+    parts = [lasting.merge(lasting.versions(p, EVENT_LOG), EVENT_LOG) for p in split_copies(log, "event_id", 3)]
+    # cells that a compaction finds expired are tombstones from then on, so it may not be later than the first reading
+    early = lasting.compact(parts[1], EVENT_LOG, READ_AT[0] - 86400, gc_grace=10**9)
+    late = lasting.compact(parts[2], EVENT_LOG, READ_AT[0], gc_grace=10**9)
+    merged = lasting.merge(parts[0].unionByName(early).unionByName(late), EVENT_LOG)
+    deleted = rec.with_partition_deletions(merged, rec.partition_deletions(log, EVENT_LOG), EVENT_LOG)
+    return _read_each_time(materialize(lasting.shadow(deleted, EVENT_LOG), "merged"))
+
+
 @query("m5_collection", f"""
 WITH e AS (SELECT user_id, props, value, epoch_us(ts) AS ts, event_type, epoch_us(ts) // 1000000 + 864000 AS exp FROM events),
 el AS (SELECT user_id, props, arg_max(value, (ts, event_type <> 'purchase' AND event_type <> 'click' OR (event_type = 'purchase' AND exp <= {NOW}), value)) AS value,
@@ -163,6 +234,27 @@ def compact(t):
                        state("kind").alias("kind_is"), F.col("_del.ts").alias("deleted_at"))
 
 
+def compact_sql(now, grace: int) -> str:
+    """What a compaction of the event state at ``now`` keeps."""
+    return ORACLE["m8_compact"].replace(str(_GC), f"({now} - {grace})").replace(str(NOW), str(now))
+
+
+def shown_state(kept):
+    """What is left of each row: liveness, cells as live or tombstone, deletion."""
+    state = lambda c: F.when(F.col(f"{c}.dead"), "tombstone").when(~F.col(f"{c}.dead"), "live")
+    return kept.select(*EVENT_LOG.key, F.col("_live").isNotNull().alias("has_live"), state("value").alias("value_is"),
+                       state("kind").alias("kind_is"), F.col("_del.ts").alias("deleted_at"))
+
+
+@query("m8_compact_later", " UNION ALL ".join(
+    f"SELECT {now}::BIGINT AS at, * FROM ({compact_sql(now, 15 * 86400)})" for now in READ_AT))
+def compact_later(t):
+    # one stored state, compacted at three times
+    state = stored_events(t)
+    return reduce(lambda a, b: a.unionByName(b), [
+        shown_state(lasting.compact(state, EVENT_LOG, now, gc_grace=15 * 86400)).withColumn("at", F.lit(now).cast("bigint")) for now in READ_AT])
+
+
 @query("m9_skip_garbage", """
 WITH d AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS ts FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY l_orderkey, l_linenumber),
 o AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS ots FROM lineitem WHERE l_suppkey % 2 = 1 GROUP BY l_orderkey, l_linenumber)

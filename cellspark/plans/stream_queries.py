@@ -1,15 +1,20 @@
 """Streaming queries: each runs to the end of the given table and shows the result."""
 
+from functools import reduce
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from cellspark.operators import lasting, views
 from cellspark.operators import reconcile as rec
 from cellspark.plans.logs import (EVENT_LOG, EVENT_LOG_SQL, LINE_LOG, LINE_NOW, NOW, event_log, line_cells_sql, line_log,
                                   micros)
-from cellspark.plans.reconcile_queries import _GC
+from cellspark.plans.reconcile_queries import _GC, READ_AT, at_any_time
 from cellspark.plans.registry import ORACLE, Tables, query
 from cellspark.plans.view_queries import BY_KIND, filtered_view
 from cellspark.session import fresh_path
 from cellspark.streaming import mutations as S
+from cellspark.streaming import partitions as P
 
 
 class Streams(Tables):
@@ -143,3 +148,109 @@ def decaying_rate(t):
     seconds = F.call_function("div", micros("ts"), F.lit(1000000))
     w = S.decaying_count(t.events, seconds, NOW, 864000.0, [F.col("event_type")])
     return w.select("event_type", F.round("weight", 4).alias("weight"))
+
+
+SPANS, FILES = 5, 4
+
+
+def staged(t, log, ticks=None):
+    """The log as a stream of five batches in order of time, and a last one that only advances the clock."""
+    path = fresh_path(t.spark, "log")
+    low, high = log.agg(F.min("_now"), F.max("_now")).first()
+    width = (high - low) // SPANS + 1 if low is not None else 1
+    for i in range(SPANS):
+        span = F.call_function("div", F.col("_now") - F.lit(low), F.lit(width)) == i
+        log.filter(span).repartition(FILES).write.mode("append").parquet(path)
+    if ticks is not None:
+        log.filter(F.lit(False)).unionByName(ticks, allowMissingColumns=True).write.mode("append").parquet(path)
+    return S.source(t.spark, path, log.schema, FILES)
+
+
+def _clock(t):
+    return P.ticks(t.spark.range(1).select(F.lit(NOW).cast("bigint").alias("s")), "s")
+
+
+def _kept_rows(t, spread=4):
+    """Runs the event log through partition state; gives the folder of changed rows and the state's checkpoint."""
+    path, checkpoint = fresh_path(t.spark, "changed"), fresh_path(t.spark, "ck")
+    changed = P.changed_rows(staged(t, event_log(t), _clock(t)), EVENT_LOG, gc_grace=NOW - _GC, spread=spread)
+    P.run(changed, path, checkpoint)
+    return path, checkpoint
+
+
+# a row deletion that the partition's deletion covers is not kept beside it
+@query("t4_bounded_state", f"""
+WITH {EVENT_LOG_SQL},
+kept AS ({ORACLE["m8_compact"].split("x AS (", 1)[1].rsplit(")", 1)[0]}),
+own AS (SELECT k.user_id, k.slot, has_live, value_is, kind_is, CASE WHEN r.ts > coalesce(p.ts, 0) THEN deleted_at END AS deleted_at
+        FROM kept k LEFT JOIN row_dels r USING (user_id, slot) LEFT JOIN part_dels p USING (user_id))
+SELECT * FROM own WHERE has_live OR value_is IS NOT NULL OR kind_is IS NOT NULL OR deleted_at IS NOT NULL""")
+def bounded_state(t):
+    # what the state itself holds at the end, not what was read from it
+    _, checkpoint = _kept_rows(t)
+    state = lambda c: F.when(F.col(f"{c}.dead"), "tombstone").when(~F.col(f"{c}.dead"), "live")
+    return P.state_rows(t.spark, checkpoint).select(
+        *EVENT_LOG.key, F.col("_live").isNotNull().alias("has_live"), state("value").alias("value_is"), state("kind").alias("kind_is"),
+        F.col("_del.ts").alias("deleted_at"))
+
+
+@query("t2_state_read_later", " UNION ALL ".join(
+    f"SELECT * FROM (WITH {at_any_time(now)} SELECT {now}::BIGINT AS at, user_id, slot, value, kind FROM state)" for now in READ_AT))
+def state_read_later(t):
+    # lasting state kept by a stream of five batches, with a base after every two, read at three times
+    path, checkpoint, deleted = fresh_path(t.spark, "state"), fresh_path(t.spark, "ck"), fresh_path(t.spark, "deleted")
+    stream = staged(t, event_log(t))
+    _finish(S.upsert_sink(S.latest_state(stream, EVENT_LOG), path, checkpoint, key=EVENT_LOG.key, fold_every=2))
+    _finish(S.upsert_sink(rec.partition_deletions(stream, EVENT_LOG), deleted, fresh_path(t.spark, "ck"), key=EVENT_LOG.pk, fold_every=2))
+    state = S.current(t.spark, path, EVENT_LOG.key)
+    state = lasting.shadow(rec.with_partition_deletions(state, S.current(t.spark, deleted, EVENT_LOG.pk), EVENT_LOG), EVENT_LOG)
+    return reduce(lambda a, b: a.unionByName(b), [
+        lasting.live_rows(state, EVENT_LOG, now).select(F.lit(now).cast("bigint").alias("at"), *EVENT_LOG.key, "value", "kind") for now in READ_AT])
+
+
+def _view_of_stream(t, view, fold_every=None):
+    path = fresh_path(t.spark, "view")
+    changed = P.changed_rows(staged(t, event_log(t), _clock(t)), EVENT_LOG, gc_grace=NOW - _GC, spread=4)
+    P.run(P.view_entries(changed, view), path, fresh_path(t.spark, "ck"), EVENT_LOG.key, fold_every)
+    return S.view_rows(t.spark, path, view)
+
+
+@query("t8_view_of_partitions", f"WITH {EVENT_LOG_SQL} SELECT kind, user_id, slot, value FROM state WHERE kind IS NOT NULL")
+def view_of_partitions(t):
+    # the full log: partition deletions and expiry reach the view through the stream
+    return _view_of_stream(t, BY_KIND)
+
+
+@query("v5_view_with_base", f"WITH {EVENT_LOG_SQL} SELECT kind, user_id, slot, value FROM state WHERE kind IS NOT NULL AND value > 40")
+def view_with_base(t):
+    return _view_of_stream(t, filtered_view(), fold_every=2)
+
+
+@query("t9_counter_replay", "SELECT user_id, event_type, sum(event_id % 10)::BIGINT AS value FROM events GROUP BY user_id, event_type")
+def counter_replay(t):
+    # the stream is stopped between the write and the commit of its third batch and started again
+    key, path, checkpoint = ["user_id", "event_type"], fresh_path(t.spark, "counts"), fresh_path(t.spark, "ck")
+    events = t.events.withColumn("_now", F.call_function("div", micros("ts"), F.lit(1000000)))
+    deltas = staged(t, events)
+
+    def stop(batch_id):
+        if batch_id == 2:
+            raise RuntimeError("stopped before the commit")
+
+    options = dict(key=key, delta=F.col("event_id") % 10, path=path, checkpoint=checkpoint, fold_every=3)
+    try:
+        _finish(S.counter_sink(deltas, written=stop, **options))
+    except StreamingQueryException:
+        pass
+    _finish(S.counter_sink(deltas, **options))
+    return S.counter_values(t.spark, path, key)
+
+
+@query("t9_stream_replay", f"WITH {EVENT_LOG_SQL} SELECT user_id, slot, value, kind FROM state")
+def stream_replay(t):
+    # every mutation is delivered twice, by two streams over the same batches
+    log = staged(t, event_log(t))
+    changed = P.changed_rows(log.unionByName(log), EVENT_LOG, gc_grace=10**9, spread=4)
+    path = fresh_path(t.spark, "changed")
+    P.run(changed, path, fresh_path(t.spark, "ck"))
+    return lasting.live_rows(S.current(t.spark, path, EVENT_LOG.key), EVENT_LOG, NOW)

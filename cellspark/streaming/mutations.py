@@ -7,15 +7,17 @@ after a failure harmless.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from cellspark.functions.aggregates import sum_of
-from cellspark.operators import mutate, views
+from cellspark.operators import lasting, mutate, views
 from cellspark.operators import reconcile as rec
 from cellspark.spec import TableSpec, ViewSpec
 
@@ -28,9 +30,12 @@ def source(spark: SparkSession, path: str, schema: StructType, files_per_batch:
     return reader.parquet(path)
 
 
-def latest_state(log: DataFrame, spec: TableSpec, now: int) -> DataFrame:
-    """Merged state per key as a streaming aggregate (update or complete mode)."""
-    return rec.merge_log(log, spec, now)
+def latest_state(log: DataFrame, spec: TableSpec, now: int | None = None) -> DataFrame:
+    """Merged state per key as a streaming aggregate (update or complete mode).
+
+    Without ``now`` it is lasting state, which is read at any time: see ``lasting.as_of``.
+    """
+    return lasting.merge(lasting.versions(log, spec), spec) if now is None else rec.merge_log(log, spec, now)
 
 
 def live_latest(spark: SparkSession, state_path: str, spec: TableSpec) -> DataFrame:
@@ -77,13 +82,19 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool =
 
 
 def upsert_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-                mode: str = "update") -> StreamingQuery:
-    """Write each batch's changed rows to its own folder; see :func:`current`."""
+                mode: str = "update", key: list[str] | None = None, fold_every: int | None = None) -> StreamingQuery:
+    """Write each batch's changed rows to its own folder; see :func:`current`.
+
+    With ``fold_every`` the newest version of every ``key`` is written as a new base after so many batches, so
+    that readers go through one base and fewer than ``fold_every`` batches.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # a batch that is run again overwrites its own folder
         batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
             f"{path}/b={batch_id}")
+        if fold_every and (batch_id + 1) % fold_every == 0:
+            fold(batch.sparkSession, path, lambda rows: newest(rows, key), batch_id)
 
     return each_batch(df, write, checkpoint, available_now, mode)
 
@@ -94,12 +105,81 @@ def each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint:
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+MANIFEST = "version bigint, base string, upto bigint"
+
+
+def manifest(spark: SparkSession, path: str) -> tuple[str | None, int]:
+    """The base that readers of ``path`` start from, and the last batch in it."""
+    try:
+        entries = spark.read.schema(MANIFEST).parquet(f"{path}/_manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None, -1
+    newest = entries.orderBy(F.desc("version")).first()
+    return (newest.base, newest.upto) if newest else (None, -1)
+
+
+def batches(spark: SparkSession, path: str) -> DataFrame:
+    """What readers go through: the base of the manifest and the batches after it."""
+    base, upto = manifest(spark, path)
+    rows = spark.read.parquet(path).filter(F.col("b") > upto).drop("b")
+    return rows if base is None else rows.unionByName(spark.read.parquet(base))
+
+
+def fold(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame], upto: int) -> None:
+    """Make a new base of the old one and the batches up to ``upto``, and let the manifest name it.
+
+    The base gets a folder of its own and the manifest one more row in one file, so readers see the old base or the
+    new one. A fold that is run again after a failure finds its batches in the base and does nothing.
+    """
+    base, done = manifest(spark, path)
+    if done >= upto:
+        return
+    rows = spark.read.parquet(path).filter((F.col("b") > done) & (F.col("b") <= upto)).drop("b")
+    if base is not None:
+        rows = rows.unionByName(spark.read.parquet(base))
+    place = f"{path}/_bases/{uuid.uuid4().hex}"
+    merge(rows).withColumn("_batch", F.lit(upto).cast("bigint")).write.parquet(place)
+    entry = spark.range(1).select(F.lit(upto).cast("bigint").alias("version"), F.lit(place).alias("base"), F.lit(upto).cast("bigint").alias("upto"))
+    entry.coalesce(1).write.mode("append").parquet(f"{path}/_manifest")
+
+
+def newest(rows: DataFrame, key: list[str]) -> DataFrame:
+    rest = [c for c in rows.columns if c not in key and c != "_batch"]
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "_batch").alias("_r")).select(*key, "_r.*")
+
+
 def current(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
     """The newest version of each key in a folder written by :func:`upsert_sink`."""
-    rows = spark.read.parquet(path).drop("b")
-    rest = [c for c in rows.columns if c not in key and c != "_batch"]
-    newest = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "_batch").alias("_r"))
-    return newest.select(*key, "_r.*")
+    return newest(batches(spark, path), key)
+
+
+def counter_sink(deltas: DataFrame, key: list[str], delta: Column, path: str, checkpoint: str, name: str = "value",
+                 fold_every: int = 16, written: Callable[[int], None] = lambda batch_id: None) -> StreamingQuery:
+    """Keep counters outside of the stream's own state, each batch adding once however often it runs.
+
+    A batch writes its sums under its own id, replacing what an earlier run of it left, and the manifest says up to
+    which id sums are in the base: a batch that is delivered again after that is not read again. ``written`` is
+    called between the write of a batch and its commit.
+    """
+    def total(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*key).agg(sum_of(F.col(name), "counter").alias(name))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        sums = batch.groupBy(*key).agg(sum_of(delta, "counter").alias(name))
+        sums.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{path}/b={batch_id}")
+        if (batch_id + 1) % fold_every == 0:
+            fold(spark, path, total, batch_id)
+        written(batch_id)
+
+    return each_batch(deltas, write, checkpoint)
+
+
+def counter_values(spark: SparkSession, path: str, key: list[str], name: str = "value") -> DataFrame:
+    """The counters kept by :func:`counter_sink`."""
+    return batches(spark, path).groupBy(*key).agg(sum_of(F.col(name), "counter").alias(name))
 
 
 def with_audit(log: DataFrame, spec: TableSpec, table: str, data_path: str, audit_path: str,
@@ -108,7 +188,9 @@ def with_audit(log: DataFrame, spec: TableSpec, table: str, data_path: str, audi
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{data_path}/b={batch_id}")
-        mutate.audit(batch, spec, table).write.mode("overwrite").parquet(f"{audit_path}/b={batch_id}")
+        # the trail is derived from what was written, so that the source runs once
+        kept = batch.sparkSession.read.schema(batch.schema).parquet(f"{data_path}/b={batch_id}")
+        mutate.audit(kept, spec, table).write.mode("overwrite").parquet(f"{audit_path}/b={batch_id}")
 
     return each_batch(log, write, checkpoint)
 
