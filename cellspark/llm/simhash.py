@@ -13,10 +13,12 @@ its price. m is the one of ``PARTITIONS`` that makes the cost over all fingerpri
 table grows. Correlations, histograms and costs come from all distinct fingerprints.
 
 Buckets with over ``CROWD`` fingerprints, such as a large group of near copies has, are not expanded into
-pairs. Their fingerprints meet in points of the space instead: two link if and only if some point lies within
-one bit of the one and two bits of the other. First all of them meet in the points within one bit of
-each, which joins most of a group. Where a crowded bucket still holds several components, the points within
-two bits are made for those that aren't in its largest one. That is linear in the fingerprints and misses none.
+pairs. Their fingerprints get finer keys: of ``FINER`` = 6 partitions, two that link have three alike, so each three
+of them make a key. Fingerprints of keys that are crowded again meet in points of the space instead: two
+link if and only if some point lies within one bit of the one and two bits of the other. First all of them meet in the
+points within one bit of each, which joins most of a group. Where a crowded key still holds several components, the
+points within two bits are made for those that aren't in its largest one. That is linear in the fingerprints and
+misses none.
 
 Null texts and texts without a word have the fingerprint zero and link like any other. A null ``doc_id`` counts as
 larger than any other. Rows that repeat an id are documents of their own: each has its fingerprint's component.
@@ -46,6 +48,7 @@ SHINGLE = 3
 SEED = 42
 PARTITIONS = (2, 3, 4)
 CROWD = 64
+FINER = 6
 PROBE_COST = 4.0  # of a probe row, in candidates
 BLOCK = 8
 LAST = (1 << 63) - 1
@@ -144,8 +147,8 @@ def blocks(own: list[int]) -> list[list[int]]:
 class Costs:
     """Estimated cost of each threshold in each partition, and the best thresholds of a fingerprint."""
 
-    def __init__(self, parts: list[list[int]], histograms: np.ndarray, n: float):
-        self.parts, self.n = parts, n
+    def __init__(self, parts: list[list[int]], histograms: np.ndarray, n: float, finer: list[list[int]] = ()):
+        self.parts, self.n, self.finer = parts, n, finer
         self.most = LIMIT - len(parts) + 1
         # share of the fingerprints at distance 0 … most from each value of each block
         self.near, at = [], 0
@@ -203,7 +206,7 @@ def plan(fps: DataFrame) -> Costs:
     n, costs, at = found[0].sum(), [], 0
     for parts in choices:
         size = sum(len(blocks(own)) for own in parts)
-        costs.append(Costs(parts, found[at : at + size], n))
+        costs.append(Costs(parts, found[at : at + size], n, dealt(related, FINER)))
         at += size
 
     def total(bits):
@@ -237,6 +240,20 @@ def spread(fps: DataFrame, costs: Costs, probe: bool) -> DataFrame:
     return fps.select("fp").mapInArrow(run, "bucket long, fp long")
 
 
+def finer_keys(fps: DataFrame, costs: Costs) -> DataFrame:
+    """(bucket, fp): a key for each three of the finer partitions."""
+    chosen = [sum(picked, []) for picked in combinations(costs.finer, FINER - LIMIT)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = batch.column(0).to_numpy()
+            bits = bits_of(fp.view(np.uint64))
+            for k, own in enumerate(chosen):
+                yield pa.RecordBatch.from_arrays([pa.array(packed(bits, own) | (k << 40)), pa.array(fp)], names=["bucket", "fp"])
+
+    return fps.select("fp").mapInArrow(run, "bucket long, fp long")
+
+
 def points(fps: DataFrame, within: int) -> DataFrame:
     """(fp, point) of the points within so many bits of each ``fp``."""
     masks = flips(BITS, within)
@@ -256,20 +273,30 @@ def labels_of(fps: DataFrame, links: DataFrame) -> DataFrame:
     return fps.select("fp").join(found, "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"))
 
 
-def linked(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
-    """(fp, label) of distinct fingerprints ``fps``: those of one component have one label."""
-    costs = plan(fps)
-    places, asked = materialize(spread(fps, costs, False), "places"), materialize(spread(fps, costs, True), "probes")
+def met_in(places: DataFrame, asked: DataFrame, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) that link and meet in a bucket that isn't crowded, and what lies in the crowded ones or looks there."""
     crowded = materialize(places.groupBy("bucket").count().filter(F.col("count") > crowd).select("bucket"), "crowded")
     found = places.join(crowded, "bucket", "left_anti").withColumnRenamed("fp", "a").join(asked.withColumnRenamed("fp", "b"), "bucket")
     found = found.filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= LIMIT))
     links = materialize(found.select("a", "b").distinct(), "links")
-    if crowded.isEmpty():
+    left = places.join(crowded, "bucket", "left_semi").union(asked.join(crowded, "bucket", "left_semi")).distinct()
+    return links, materialize(left, "met")
+
+
+def linked(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """(fp, label) of distinct fingerprints ``fps``: those of one component have one label."""
+    costs = plan(fps)
+    places, asked = materialize(spread(fps, costs, False), "places"), materialize(spread(fps, costs, True), "probes")
+    links, met = met_in(places, asked, crowd)
+    if met.isEmpty():
+        return labels_of(fps, links)
+    finer = materialize(finer_keys(met.select("fp").distinct(), costs), "finer")
+    more, met = met_in(finer, finer, crowd)
+    links = links.union(more)
+    if met.isEmpty():
         return labels_of(fps, links)
 
-    # Everything that lies in a crowded bucket or looks there. Points compress so well that they look small enough
-    # to be broadcast; they are not, hence the hints.
-    met = materialize(places.join(crowded, "bucket", "left_semi").union(asked.join(crowded, "bucket", "left_semi")).distinct(), "met")
+    # Points compress so well that they look small enough to be broadcast; they are not, hence the hints.
     near = points(met.select("fp").distinct(), 1)
     hubs = near.groupBy("point").agg(F.min("fp").alias("a"), F.max("fp").alias("last")).filter("a <> last").select("point", "a")
     by_point = near.join(hubs.hint("merge"), "point").filter("fp <> a").select("a", F.col("fp").alias("b")).distinct()
