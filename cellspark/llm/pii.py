@@ -19,8 +19,9 @@ Chernoff bound exp(n_both - m) * (m / n_both) ** n_both on seeing n_both or more
 stays: nothing is left there or elsewhere that ties it to the entity. Without ``WHOLE``, only words
 within ``reach`` characters of a mention count, with ``least_texts`` distinct texts at least.
 
-Word counts cover the whole corpus, each distinct text once: each task counts the words of its texts and
-sends one row per distinct word. For ``WHOLE``, texts with a mention send their distinct words once; as
+Word counts cover the whole corpus, each distinct text once: each task counts the words of its texts where
+they lie and sends one row per distinct word. What copies count too much is taken off again: only texts that may have
+copies, by a bitmap of ``BITS`` bits of the repeated texts' hashes, are sent to be told apart. For ``WHOLE``, texts with a mention send their distinct words once; as
 n_both <= n_entity, a word in over n_entity ** threshold * N ** (1 - threshold) texts can't reach the
 threshold, so frequent words go before any pair is made. What is left are pairs of a text's entities with
 its rare words. Null text counts as empty and has no spans; repeated rows give the same spans and count
@@ -35,6 +36,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +57,11 @@ _NOT_DIGIT = re.compile("[^0-9]")
 
 #: Punctuation that isn't part of a term.
 EDGES = ".,;:!?*#$%&|<>()[]{}\"'«»¿¡"
-LEAST_LETTERS = 3
+#: A term: letters, marks and digits of any script, with apostrophes and hyphens inside.
+_TERM = regex.compile(r"[\p{L}\p{M}\p{N}]+(?:['\u2019\u2010\u2011-][\p{L}\p{M}\p{N}]+)*")
+#: Size of the bitmap of repeated texts, 8 MB at most. Texts beyond what it tells apart are sent, which changes no count.
+BITS = 1 << 26
+BUCKET = 1 << 15  # bits of a row that Spark's bitmap functions make
 
 #: Options of ``find`` and ``sanitise`` that take terms from whole texts and let rare entities have them.
 WHOLE = {"reach": None, "least_texts": 1, "chance": 0.05}
@@ -111,7 +117,7 @@ def base_spans(text: str) -> list[tuple[int, int, str, int]]:
 def term_of(word: str) -> str:
     """The word as it is counted: case and punctuation at its ends don't matter. Empty: not a term."""
     plain = word.strip(EDGES).lower()
-    return plain if len(plain) >= LEAST_LETTERS and plain.isalpha() else ""
+    return plain if plain.isalnum() or _TERM.fullmatch(plain) else ""
 
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -184,8 +190,8 @@ def mentions(df: DataFrame, text: str = "text", reach: int | None = 80) -> DataF
     return append_columns(df, [text], fields, make)
 
 
-def term_counts(df: DataFrame, text: str = "text", held: int = 200_000) -> DataFrame:
-    """(term, n_term) over all rows, which should be distinct texts: a task counts in a table of ``held`` terms, then sends it on."""
+def term_counts(df: DataFrame, text: str = "text", weight: str | None = None, held: int = 200_000) -> DataFrame:
+    """(term, n) over all rows, each with its ``weight`` or 1: a task counts in a table of ``held`` terms, then sends it on."""
 
     def run(batches):
         counts: Counter[str] = Counter()
@@ -198,13 +204,48 @@ def term_counts(df: DataFrame, text: str = "text", held: int = 200_000) -> DataF
             return out
 
         for batch in batches:
-            for t in texts(batch.column(0)):
-                counts.update(set(map(term_of, set(words(t)))))
+            weights = batch.column(1).to_pylist() if weight else [1] * batch.num_rows
+            for t, w in zip(texts(batch.column(0)), weights):
+                own = set(map(term_of, set(words(t))))
+                if w == 1:
+                    counts.update(own)
+                else:
+                    for term in own:
+                        counts[term] += w
                 if len(counts) > held:
                     yield flush()
         yield flush()
 
-    return df.select(text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
+    return df.select(text, *([weight] if weight else [])).mapInArrow(run, "term long, n long")
+
+
+def repeated(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(text, n) of the texts of more than one row. ``keys`` are the hashes of those texts."""
+    place = F.pmod(F.col("text_key"), F.lit(BITS)) + 1  # the bitmap functions count from 1
+    rows = keys.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
+    if not rows:
+        return docs.select("text").limit(0).groupBy("text").agg(F.count("*").alias("n"))
+    packed = {r.bucket - 1: bytes(r.bits) for r in rows}
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for t in texts(batch.column(0)):
+                bucket, bit = divmod(digest(t) % BITS, BUCKET)
+                own = packed.get(bucket)
+                keep.append(own is not None and bool(own[bit >> 3] >> (bit & 7) & 1))
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    some = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "text string")
+    return some.groupBy("text").agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def distinct_counts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(term, n_term) over the distinct texts."""
+    surplus = repeated(docs, keys).select("text", (1 - F.col("n")).alias("surplus"))
+    every = term_counts(docs).union(term_counts(surplus, weight="surplus"))
+    return every.groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
 def find(
@@ -218,8 +259,9 @@ def find(
     """
     docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = materialize(mentions(docs, reach=reach).drop("text"), "mentions")
-    n, log = F.lit(float(rows.select("text_key").distinct().count())), F.log
-    counts = term_counts(docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct())
+    copies = materialize(rows.groupBy("text_key").agg(F.count("*").alias("copies")), "copies")
+    n, log = F.lit(float(copies.count())), F.log
+    counts = distinct_counts(docs, copies.filter("copies > 1"))
     span = F.struct(F.col("start"), F.lit(len(KINDS)).alias("place"), F.lit("term").alias("kind"), F.col("end"))
     if reach is None:
         owners = rows.select("text_key", F.explode("entities").alias("entity")).distinct()
