@@ -28,6 +28,20 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+#: What tasks of this worker keep for later ones, by the operator's module, and how to let it go.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep(owner: str, release: Callable[[], None]) -> None:
+    """Something is kept in this worker for the next tasks of ``owner``; the first task of another operator releases it."""
+    _kept[owner] = release
+
+
+def release_others(owner: str) -> None:
+    for other in [o for o in _kept if o != owner]:
+        _kept.pop(other)()
+
+
 def append_columns(
     df: DataFrame,
     inputs: list[str],
@@ -46,6 +60,7 @@ def append_columns(
     places = {c: i for i, c in enumerate(df.columns)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others(make.__module__)
         compute = make()
         for batch in batches:
             for start in range(0, batch.num_rows, rows):

@@ -3,7 +3,8 @@
 A document's set is its distinct three-word shingles. Two small collections of ``parts`` sub-hashes
 each are drawn from it, every sub-hash of ``width`` minhashes; table (i, j) is keyed by the pair of
 sub-hash i of the first and j of the second collection. ``parts`` squared tables thus need only
-``2 * parts * width`` minhashes, about a square root of what as many independent tables would.
+``2 * parts * width`` minhashes, about a square root of what as many independent tables would. Only sub-hashes
+that two classes share make table keys: the key of a sub-hash of one class is in a bucket of its own.
 
 At the limit of 0.85 a link is missed with a probability under 1e-4 (``(1 - 0.85**width)**parts`` for
 each collection); every reported link is confirmed on the full sets.
@@ -34,7 +35,7 @@ from cellspark.llm.components import components
 from cellspark.session import materialize
 
 SHINGLE = 3
-REMEMBERED = 1_000_000
+REMEMBERED = 100_000  # words, some 20 MB
 LAST = (1 << 63) - 1
 
 
@@ -254,9 +255,14 @@ def groups(
     # Sorted, so that the numbers follow the documents' ids.
     classes = materialize(first.select("set_key", "one.*").orderBy("doc_id").withColumn("class", F.monotonically_increasing_id()), "classes")
 
-    first_half, second_half = F.slice("hashes", 1, parts), F.slice("hashes", parts + 1, parts)
-    keys = F.flatten(F.transform(first_half, lambda x, i: F.transform(second_half, lambda y, j: F.xxhash64(x, y, i * parts + j))))
-    members = classes.filter("n_shingles > 0").select("class", F.explode(keys).alias("key"))
+    # A table's bucket can only hold two classes if both of its sub-hashes do, so the others make no keys.
+    parted = classes.filter("n_shingles > 0").select("class", F.posexplode("hashes").alias("at", "h"))
+    shared = parted.groupBy("at", "h").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("at", "h")
+    held = parted.join(shared, ["at", "h"], "left_semi").groupBy("class").agg(F.collect_list(F.struct("at", "h")).alias("subs"))
+    half = lambda first: F.filter("subs", lambda s: (s["at"] < parts) == F.lit(first))
+    table = lambda x, y: F.xxhash64(x["h"], y["h"], x["at"] * parts + y["at"] - parts)
+    keys = F.flatten(F.transform(half(True), lambda x: F.transform(half(False), lambda y: table(x, y))))
+    members = materialize(held.select("class", F.explode(keys).alias("key")), "keys")
     buckets = members.groupBy("key").agg(F.min("class").alias("hub"), F.max("class").alias("last")).filter("hub <> last")
     crowded = materialize(members.join(buckets.select("key", "hub"), "key"), "buckets")
     earliest = crowded.groupBy("class").agg(F.min("hub").alias("earliest"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
-from cellspark.llm.common import append_columns, texts, whole
+from cellspark.llm.common import append_columns, keep, texts, whole
 from cellspark.session import materialize
 
 SALTS = 256
@@ -105,6 +105,7 @@ def tokenise(df: DataFrame, path: str, size: int, end: int, text: str = "text")
 
     def make():
         encoder, last = Words.read(path), struct.pack("<I", end)
+        keep(__name__, encoder.known.clear)
 
         def compute(column):
             ids = [x + last for x in encoder.encode(texts(column))]
