@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellspark.operators.replica import row_hash
 from cellspark.spec import TableSpec
 
 # Seconds of a window unit.
@@ -58,13 +59,13 @@ def split_write(df: DataFrame, spec: TableSpec, path: str, rows_per_file: int) -
 
 
 def verify(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row: rows, duplicate keys, null keys and an order-free checksum."""
+    """One row: rows, duplicate keys, null keys and an order-free checksum that tells nulls and their places apart."""
     null_key = F.lit(False)
     for c in spec.key:
         null_key = null_key | F.col(c).isNull()
     per_key = df.groupBy(*spec.key).agg(
         F.count(F.lit(1)).alias("n"), F.max(null_key).alias("no_key"),
-        F.bit_xor(F.xxhash64(*df.columns)).alias("h"))
+        F.bit_xor(row_hash(df)).alias("h"))
     return per_key.agg(
         F.sum("n").alias("n_rows"), F.sum(F.col("n") - 1).alias("duplicates"),
         F.sum(F.when(F.col("no_key"), F.col("n")).otherwise(0)).alias("null_keys"),

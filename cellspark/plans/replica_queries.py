@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from cellspark.operators import mutate, replica
+from cellspark.operators import digest_tree, mutate, replica
 from cellspark.operators import reconcile as rec
 from cellspark.plans.mutation_queries import NOW, ORDER, T0, base_orders
 from cellspark.plans.registry import query
@@ -87,6 +87,33 @@ def repaired_copy(t):
     return rec.live_rows(rec.merge_copies([c["b"], fixes], ORDER), ORDER)
 
 
+_TREE_LEAF = "('0x' || substr(md5(o_custkey::VARCHAR), 1, 15))::BIGINT >> (60 - depth)"
+
+
+@query("d3_tree_descent", f"""
+WITH d AS (SELECT least(24, ceil(ceil(log2(greatest(count(*) / 64.0, 1))) / 4) * 4)::BIGINT AS depth FROM orders),
+a AS (SELECT {_TREE_LEAF} AS leaf, bit_xor({_HASH}) AS d, count(*) AS n FROM orders, d GROUP BY 1),
+b AS (SELECT {_TREE_LEAF} AS leaf, bit_xor({_HASH}) AS d, count(*) AS n FROM {_B_ROWS}, d GROUP BY 1)
+SELECT coalesce(a.leaf, b.leaf) AS leaf FROM a FULL JOIN b ON a.leaf = b.leaf WHERE (a.d, a.n) IS DISTINCT FROM (b.d, b.n)""")
+def tree_descent(t):
+    # the depth follows the rows; only children of nodes that differ are looked at
+    rows = _plain(t)
+    depth = digest_tree.depth_for(rows[0].count())
+    a, b = [digest_tree.store(x, ORDER, depth, "md5") for x in rows]
+    return digest_tree.descend(a.tree, b.tree, depth)
+
+
+@query("d4_tree_repair", """
+SELECT 'b' AS target, o_custkey, o_orderkey, o_orderstatus AS status, o_totalprice AS price FROM orders
+WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0""")
+def tree_repair(t):
+    # each copy is merged once, when it is written by leaf
+    depth = digest_tree.depth_for(t.orders.count())
+    stored = {name: digest_tree.store(state, ORDER, depth) for name, state in copies(t).items()}
+    return digest_tree.repair(stored["a"], stored["b"], ORDER).select(
+        "target", *ORDER.key, F.col("status.v").alias("status"), F.col("price.v").alias("price"))
+
+
 @query("d5_resolve", "SELECT o_custkey, o_orderkey, o_orderstatus AS status, o_totalprice AS price FROM orders WHERE o_orderstatus = 'F'")
 def resolve(t):
     return replica.resolve(list(copies(t).values()), ORDER, F.col("status") == "F")

@@ -139,7 +139,7 @@ class PartitionState(StatefulProcessor):
     def wake(self, at: int, key: tuple) -> None:
         """Look at the row again at the second ``at``."""
         waiting = self.due.getValue((at,))
-        self.due.updateValue((at,), ([*(waiting[0] if waiting else []), key],))
+        self.due.updateValue((at,), ([*plain(waiting[0] if waiting else []), key],))
         if waiting is None:
             self.handle.registerTimer((at - self.late_by) * 1000)
 
