@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from cellspark.operators import select
+from cellspark.session import materialize
 from cellspark.spec import TableSpec
 
 
@@ -56,3 +61,33 @@ def order_groups(df: DataFrame, spec: TableSpec, group: list[str]) -> DataFrame:
     directions = dict(spec.clustering)
     rest = [F.col(c).desc() if directions.get(c) == "desc" else F.col(c) for c in group]
     return df.orderBy(lead, *rest)
+
+
+@dataclass(frozen=True)
+class GroupState:
+    """Where paging over groups goes on: the last row read, and what is known of the group it belongs to."""
+
+    after: tuple | None = None
+    open: Row | None = None
+
+
+def page_groups(df: DataFrame, spec: TableSpec, group: list[str], partial: dict[str, tuple[Column, Callable]], size: int,
+                state: GroupState = GroupState(), limit: int | None = None) -> tuple[DataFrame, GroupState | None]:
+    """The groups that the next ``size`` rows in token order finish, and the state to go on from (None at the end).
+
+    A page ends wherever its rows do, so its last group stays open: its partial aggregate is in the state and is
+    merged with what the next page reads. ``partial`` gives each aggregate over rows and the function that merges two of
+    them. With ``limit`` only so many rows of each partition count, wherever pages are cut.
+    """
+    check_prefix(spec, group)
+    rows = materialize(select.page(df, spec, size, state.after, limit), "page")
+    known = rows.groupBy(*group).agg(*[c.alias(name) for name, (c, _) in partial.items()])
+    if state.open is not None:
+        # one row: the group left open by the page before
+        known = known.unionByName(df.sparkSession.createDataFrame([state.open], known.schema))
+    merged = known.groupBy(*group).agg(*[merge(name).alias(name) for name, (_, merge) in partial.items()])
+    if rows.count() < size:
+        return merged, None
+    last = rows.select("_token", *spec.key).orderBy(F.desc("_token"), *[F.desc(c) for c in spec.pk], *spec.clustering_order(reverse=True)).first()
+    mine = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(last[c])) for c in group])
+    return merged.filter(~mine), GroupState(tuple(last), merged.filter(mine).first())

@@ -25,6 +25,40 @@ def term_index(df: DataFrame, column: str, analyzer: Analyzer, spec: TableSpec,
         F.col("_s.suffix").alias("suffix"), F.col("_s.whole").alias("whole"), "term", *spec.key)
 
 
+START, END = "\x02", "\x03"  # around a term, so that its ends have grams of their own
+GRAM = 3
+
+
+def gram_index(terms: DataFrame, n: int = GRAM) -> DataFrame:
+    """Postings (``gram``, ``term``) of the distinct terms: as many as they have characters, for searches inside them."""
+    marked = F.concat(F.lit(START), F.col("term"), F.lit(END))
+    places = F.sequence(F.lit(1), F.greatest(F.length(marked) - (n - 1), F.lit(1)))
+    grams = F.array_distinct(F.transform(places, lambda i: F.substring(marked, i, F.lit(n))))
+    return terms.select("term").distinct().select(F.explode(grams).alias("gram"), "term")
+
+
+def grams_of(kind: str, text: str, n: int = GRAM) -> list[str]:
+    """The grams that every matching term has; none if the text is too short."""
+    whole = (START if kind in ("prefix", "equals") else "") + text + (END if kind in ("suffix", "equals") else "")
+    return sorted({whole[i : i + n] for i in range(len(whole) - n + 1)})
+
+
+def gram_lookup(grams: DataFrame, terms: DataFrame, pattern: str, spec: TableSpec, n: int = GRAM) -> DataFrame:
+    """Distinct keys of ``terms`` (``term``, key) with a term that is LIKE ``pattern``.
+
+    The postings of the pattern's grams are intersected and what is left is checked. A pattern without a whole gram
+    goes through the distinct terms.
+    """
+    kind, text = like_kind(pattern)
+    wanted = grams_of(kind, text, n)
+    if wanted:
+        found = grams.filter(F.col("gram").isin(wanted)).groupBy("term").agg(F.count("*").alias("n")).filter(F.col("n") == len(wanted))
+    else:
+        found = grams.select("term").distinct()
+    found = found.select("term").filter(term_matches(kind, text)(F.col("term")))
+    return terms.join(found, "term", "left_semi").select(*spec.key).distinct()
+
+
 def value_index(df: DataFrame, target: str, spec: TableSpec, kind: str = "value") -> DataFrame:
     """Secondary index rows (``value``, key) on a cell, a key column or inside a collection.
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellspark.functions import snowball
 from cellspark.functions.stemming import stem_english
 from cellspark.operators.predicates import like_kind
 
@@ -55,12 +56,17 @@ class Analyzer:
     delimiter: str = ","
     min_length: int = 0
     max_length: int = MAX_TOKEN
+    stem: str | None = None  # language: en | de | es | fr
 
     def fold(self, x: Column) -> Column:
         return {"lower": F.lower, "upper": F.upper, None: lambda v: v}[self.case](x)
 
     def terms(self, text: Column) -> Column:
         """All terms of a text in order, duplicates kept."""
+        found = self.unstemmed(text)
+        return stems_in(self.stem)(found) if self.stem else found
+
+    def unstemmed(self, text: Column) -> Column:
         if self.kind == "none":
             return F.array(text)
         if self.kind == "whole":
@@ -105,7 +111,8 @@ def term_rows(df: DataFrame, column: str, analyzer: Analyzer, key: list[str], di
         return df.select(*key, F.explode(F.array_distinct(terms) if distinct else terms).alias("term"))
     rows = df.select(*key, F.explode(tokens(F.col(column))).alias("term")).filter(analyzer.fits(F.col("term")))
     rows = rows.withColumn("term", analyzer.fold(F.col("term")))
-    return rows.filter(analyzer.no_stop_word(F.col("term"))) if analyzer.stop_words else rows
+    rows = rows.filter(analyzer.no_stop_word(F.col("term"))) if analyzer.stop_words else rows
+    return with_stems(rows, language=analyzer.stem) if analyzer.stem else rows
 
 
 def terms_table(df: DataFrame, column: str, analyzer: Analyzer, key: list[str]) -> DataFrame:
@@ -113,17 +120,33 @@ def terms_table(df: DataFrame, column: str, analyzer: Analyzer, key: list[str])
     return term_rows(df, column, analyzer, key, distinct=True)
 
 
-@F.pandas_udf(T.StringType())
-def stem(terms: pd.Series) -> pd.Series:
-    """Stems of a batch of terms; each distinct term of the batch is worked out once."""
-    codes, distinct = pd.factorize(terms)
-    stemmed = pd.Series([stem_english(x) for x in distinct] + [None], dtype=object)
-    return stemmed.take(codes).reset_index(drop=True)
+def stems_in(language: str):
+    """A function of arrays of terms that gives arrays of their stems."""
+    if language not in snowball.STEMMERS:
+        raise ValueError(f"no stems for {language}: {sorted(snowball.STEMMERS)}")
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def stems(arrays: pd.Series) -> pd.Series:
+        return arrays.map(lambda terms: None if terms is None else [snowball.stem(x, language) if x is not None else None for x in terms])
+
+    return stems
+
+
+def _stem_rows(make):
+    @F.pandas_udf(T.StringType())
+    def stems(terms: pd.Series) -> pd.Series:
+        # each distinct term of a batch is worked out once
+        codes, distinct = pd.factorize(terms)
+        stemmed = pd.Series([make(x) for x in distinct] + [None], dtype=object)
+        return stemmed.take(codes).reset_index(drop=True)
+
+    return stems
 
 
-def with_stems(terms: DataFrame, term: str = "term") -> DataFrame:
-    """Replace terms by their stems, batch by batch and without a shuffle."""
-    return terms.withColumn(term, stem(F.col(term)))
+def with_stems(terms: DataFrame, term: str = "term", language: str | None = None) -> DataFrame:
+    """Replace terms by their stems, batch by batch and without a shuffle; without a language by the older English rules."""
+    make = stem_english if language is None else snowball.STEMMERS[language]
+    return terms.withColumn(term, _stem_rows(make)(F.col(term)))
 
 
 def term_matches(kind: str, text: str):
@@ -157,7 +180,7 @@ def matches_all(column: str, patterns: list[tuple[str, bool]], analyzer: Analyze
             return ~found if negate else found
 
         tests.append(test)
-        if not negate and wanted and analyzer.case != "upper" and all(w.isascii() for w in wanted):
+        if not negate and wanted and not analyzer.stem and analyzer.case != "upper" and all(w.isascii() for w in wanted):
             # a matching term lies inside the (folded) text: a cheap test before the analysis
             folded = analyzer.fold(value)
             hints.append(reduce(lambda a, b: a | b, [folded.contains(w) for w in wanted]))

@@ -1,10 +1,12 @@
 """Projection, ordering and limit queries."""
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cellspark.functions.token import token
-from cellspark.operators import select
+from cellspark.operators import grouping, select
 from cellspark.plans import hash_sql
 from cellspark.plans.registry import EVENTS, ORDERS, TURNS, query
 from cellspark.spec import TableSpec
@@ -166,6 +168,21 @@ def page_by_token(t):
     return select.page(rows, ORDERS, 500, (0, 0, F.lit("1990-01-01").cast("timestamp_ntz"), 0), per_partition=2)
 
 
+@query("l7_group_pages", """
+SELECT o_custkey, o_orderdate, count(*) AS n, sum(o_totalprice::DECIMAL(18, 2))::DECIMAL(28, 2) AS total, min(o_orderkey) AS first_key
+FROM orders GROUP BY o_custkey, o_orderdate""")
+def group_pages(t):
+    # seven pages cut the rows anywhere; put together they are the whole grouping
+    rows = t.orders.select(*ORDERS.key, F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    size = rows.count() // 7 + 1
+    partial = {"n": (F.count(F.lit(1)), F.sum), "total": (F.sum("price"), F.sum), "first_key": (F.min("o_orderkey"), F.min)}
+    pages, state = [], grouping.GroupState()
+    while state is not None:
+        page, state = grouping.page_groups(rows, ORDERS, ["o_custkey", "o_orderdate"], partial, size, state)
+        pages.append(page)
+    return reduce(lambda a, b: a.unionByName(b), pages).withColumn("total", F.col("total").cast("decimal(28,2)"))
+
+
 @query("l8_top_partitions", """
 SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey ORDER BY n DESC, o_custkey LIMIT 20""")
 def top_partitions(t):

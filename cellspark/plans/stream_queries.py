@@ -254,3 +254,14 @@ def stream_replay(t):
     path = fresh_path(t.spark, "changed")
     P.run(changed, path, fresh_path(t.spark, "ck"))
     return lasting.live_rows(S.current(t.spark, path, EVENT_LOG.key), EVENT_LOG, NOW)
+
+
+@query("t10_decaying_stream", ORACLE["t10_decaying_rate"])
+def decaying_stream(t):
+    # the state knows no reading time; five batches, folded as they come
+    seconds = F.call_function("div", micros("ts"), F.lit(1000000))
+    stream = staged(t, t.events.withColumn("_now", seconds))
+    path, key = fresh_path(t.spark, "weights"), ["event_type", "span"]
+    _finish(S.upsert_sink(S.decayed_weights(stream, F.col("_now"), 864000, [F.col("event_type")]), path, fresh_path(t.spark, "ck"), key=key, fold_every=2))
+    w = S.decayed_at(S.current(t.spark, path, key), NOW, 864000, ["event_type"])
+    return w.select("event_type", F.round("weight", 4).alias("weight"))

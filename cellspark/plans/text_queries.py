@@ -120,6 +120,28 @@ def suffix_index(t):
     return index.fetch(t.part.select("p_partkey", "p_name"), keys, spec)
 
 
+def _gram_search(t, table, column, spec, pattern, analyzer):
+    terms, grams = (fresh_path(t.spark, x) for x in ("terms", "grams"))
+    index.write_index(index.term_index(table, column, analyzer, spec), terms, "term")
+    terms = t.spark.read.parquet(terms)
+    index.write_index(index.gram_index(terms), grams, "gram")
+    return index.gram_lookup(t.spark.read.parquet(grams), terms, pattern, spec)
+
+
+@query("x8_gram_index", """
+SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'dge')""")
+def gram_index(t):
+    spec = TableSpec(["p_partkey"])
+    return index.fetch(t.part.select("p_partkey", "p_name"), _gram_search(t, t.part, "p_name", spec, "%dge%", Analyzer("standard")), spec)
+
+
+@query("x8_gram_documents", f"""
+SELECT doc_id, lang FROM documents WHERE len(list_filter({_TERMS}, lambda x: contains(x, 'ent'))) > 0""")
+def gram_documents(t):
+    # terms of four languages; postings grow with the distinct terms' characters
+    return index.fetch(t.documents.select("doc_id", "lang"), _gram_search(t, t.documents, "text", DOCS, "%ent%", STANDARD), DOCS)
+
+
 @query("x9_value_index", """
 SELECT o_custkey, o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'""")
 def value_index(t):

@@ -75,6 +75,25 @@ def delta(t):
     return changes.select("kind", "user_id", "slot", "action", F.col("_op").alias("op"), "value")
 
 
+def _every_sql(name: str) -> str:
+    return f"""SELECT user_id, slot, has_kind, CASE WHEN has_kind THEN kind END AS kind, kind_ts, CASE WHEN has_value THEN value END AS value, del_ts,
+  (CASE WHEN live_ts > del_ts THEN live_ts END, del_ts, CASE WHEN value_ts > del_ts THEN (value, value_ts, value_dead, value_ttl, value_ldt) END,
+   CASE WHEN kind_ts > del_ts THEN (kind, kind_ts, kind_dead, kind_ttl, kind_ldt) END) AS every FROM {name}_visible"""
+
+
+@query("v3_delta_full", _DELTA_SQL + f"""
+, oe AS ({_every_sql('o')}), ne AS ({_every_sql('n')}),
+c AS (SELECT user_id, slot, coalesce(oe.has_kind, false) AS had, coalesce(ne.has_kind, false) AS has, oe.kind AS ok, ne.kind AS nk, ne.value AS nv,
+   ne.kind_ts AS nts, nullif(greatest(ne.del_ts, oe.kind_ts), 0) AS gone FROM oe FULL JOIN ne USING (user_id, slot) WHERE oe.every IS DISTINCT FROM ne.every),
+a AS (SELECT *, CASE WHEN had AND has AND ok = nk THEN 'UPDATE_EXISTING' WHEN had AND has THEN 'SWITCH_ENTRY' WHEN has THEN 'NEW_ENTRY' ELSE 'DELETE_OLD' END AS action
+   FROM c WHERE had OR has)
+SELECT nk AS kind, user_id, slot, action, 'insert' AS op, nts AS ts, nv AS value FROM a WHERE has
+UNION ALL SELECT ok, user_id, slot, action, 'delete_row', gone, NULL FROM a WHERE action IN ('DELETE_OLD', 'SWITCH_ENTRY')""")
+def delta_full(t):
+    old, new = _old_new(t)
+    return views.delta(old, new, BY_KIND).select("kind", "user_id", "slot", "action", F.col("_op").alias("op"), F.col("_ts").alias("ts"), "value")
+
+
 @query("v3_apply_delta", f"WITH {EVENT_LOG_SQL} SELECT kind, user_id, slot, value FROM state WHERE kind IS NOT NULL AND value > 40")
 def apply_delta(t):
     view = filtered_view()

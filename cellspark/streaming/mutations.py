@@ -75,6 +75,23 @@ def decaying_count(df: DataFrame, seconds: Column, at: int, tau: float, by: list
     return df.filter(seconds <= at).groupBy(*by).agg(F.sum(weight).alias("weight"))
 
 
+def decayed_weights(df: DataFrame, seconds: Column, tau: int, by: list[Column]) -> DataFrame:
+    """State of exponentially decaying weights, as a streaming (or batch) aggregate: read by :func:`decayed_at`.
+
+    An event counts relative to the begin of its span of ``tau`` seconds, between 1 and e, so sums neither overflow nor
+    depend on when they are read, and merge by adding. A key holds one number a span.
+    """
+    span = F.call_function("div", seconds, F.lit(tau)).alias("span")
+    weight = F.exp((seconds % tau) / F.lit(float(tau)))
+    return df.groupBy(*by, span).agg(F.sum(weight).alias("weight"))
+
+
+def decayed_at(state: DataFrame, at: int, tau: int, by: list[str]) -> DataFrame:
+    """The weights at the time ``at``, which is not before any event."""
+    shown = F.col("weight") * F.exp((F.col("span") * tau - at) / F.lit(float(tau)))
+    return state.groupBy(*by).agg(F.sum(shown).alias("weight"))
+
+
 def append_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     writer = df.writeStream.format("parquet").option("path", path).option(
         "checkpointLocation", checkpoint).outputMode("append")
