@@ -123,6 +123,7 @@ def each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint:
 
 
 MANIFEST = "version bigint, base string, upto bigint"
+NO_BATCH = -2  # below the batch that ``consolidate`` writes
 
 
 def manifest(spark: SparkSession, path: str) -> tuple[str | None, int]:
@@ -132,9 +133,9 @@ def manifest(spark: SparkSession, path: str) -> tuple[str | None, int]:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None, -1
-    newest = entries.orderBy(F.desc("version")).first()
-    return (newest.base, newest.upto) if newest else (None, -1)
+        return None, NO_BATCH
+    last = entries.orderBy(F.desc("version")).first()
+    return (last.base, last.upto) if last else (None, NO_BATCH)
 
 
 def batches(spark: SparkSession, path: str) -> DataFrame:
