@@ -18,8 +18,9 @@ WITH {_OFFSETS.format(n=90)},
 b AS (SELECT (SELECT min(i) FROM offs WHERE upto >= v) AS bucket FROM (SELECT l_extendedprice::BIGINT AS v FROM lineitem))
 SELECT bucket, count(*) AS n, any_value(upto) AS upto FROM b JOIN offs ON i = bucket GROUP BY bucket""")
 def histogram(t):
+    # whole prices; a half goes to the even one, as rounding halves up would shift prices on a bound upwards
     offsets = stats.bucket_offsets()
-    return stats.histogram(t.lineitem, F.round("l_extendedprice").cast("bigint"), offsets)
+    return stats.histogram(t.lineitem, F.rint("l_extendedprice").cast("bigint"), offsets)
 
 
 def _summary_sql(source: str, n: int, metric: str) -> str:
