@@ -31,6 +31,7 @@ from cellspark.llm.suffix import sort_windows
 
 LENGTH, GRAM = 50, 16
 CHUNK, HOT = 6 << 20, 2000
+BLOCK = 1 << 17  # windows whose markers are worked out at a time
 LAST = (1 << 63) - 1
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -44,8 +45,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def window_markers(raw: np.ndarray) -> np.ndarray:
+    """The marker of every window of these bytes."""
+    n = len(raw) - LENGTH + 1
+    view = np.lib.stride_tricks.as_strided(raw[:8].view("<u8"), (len(raw) - 7,), (1,))
+    low = mixed(view[: len(raw) - GRAM + 1] ^ _MIX[1])
+    low ^= view[8:]
+    low = mixed(low)
+    for step in (1, 2, 4, 8, 16):
+        low = np.minimum(low[:-step], low[step:])
+    return np.minimum(low[:n], low[LENGTH - GRAM + 1 - 32 :][:n])
+
+
 class Runs:
-    """Runs of windows with one marker in the texts of a chunk: ``first`` and ``last`` window, ``marker``, ``doc``."""
+    """Runs of windows with one marker in the texts of a chunk: ``first`` and ``last`` window, ``marker``, ``doc``.
+
+    Markers are made block by block, with the window before and the one after, and only those of runs are kept.
+    """
 
     def __init__(self, block: list[bytes], ids: np.ndarray):
         self.data = b"".join(block)
@@ -58,23 +74,22 @@ class Runs:
             self.marker = np.zeros(0, np.uint64)
             return
         raw = np.frombuffer(self.data, np.uint8)
-        view = np.lib.stride_tricks.as_strided(raw[:8].view("<u8"), (len(raw) - 7,), (1,))
-        low = mixed(view[: len(raw) - GRAM + 1] ^ _MIX[1])
-        low ^= view[8:]
-        low = mixed(low)
-        for step in (1, 2, 4, 8, 16):
-            low = np.minimum(low[:-step], low[step:])
-        low = np.minimum(low[:n], low[LENGTH - GRAM + 1 - 32 :][:n])
         valid = np.ones(n, np.bool_)
         for e in self.ends[:-1].tolist():
             valid[max(0, e - LENGTH + 1) : e] = False
-        change = low[1:] != low[:-1]
-        begins = valid.copy()
-        begins[1:] &= change | ~valid[:-1]
-        stops = valid
-        stops[:-1] &= change | ~valid[1:]
-        self.first, self.last = np.flatnonzero(begins), np.flatnonzero(stops)
-        self.marker = low[self.first]
+        first, last, marker = [], [], []
+        for at in range(0, n, BLOCK):
+            end = min(at + BLOCK, n)
+            lo, hi = max(at - 1, 0), min(end + 1, n)
+            low, ok = window_markers(raw[lo : hi + LENGTH - 1]), valid[lo:hi]
+            change = low[1:] != low[:-1]
+            begins, stops = ok.copy(), ok.copy()
+            begins[1:] &= change | ~ok[:-1]
+            stops[:-1] &= change | ~ok[1:]
+            first.append(np.flatnonzero(begins[at - lo : end - lo]) + at)
+            last.append(np.flatnonzero(stops[at - lo : end - lo]) + at)
+            marker.append(low[first[-1] - lo])
+        self.first, self.last, self.marker = np.concatenate(first), np.concatenate(last), np.concatenate(marker)
         self.doc = np.searchsorted(self.ends, self.first, side="right")
         self.ids = ids[self.doc]
 
@@ -268,7 +283,7 @@ def cut_out(names: list[str]):
             own, entry = own[keep], entry[keep]
             np.add.at(edge, first[own] + begin[entry], 1)
             np.add.at(edge, first[own] + stop[entry] + LENGTH - 1, -1)
-        gone = np.cumsum(edge[:-1]) > 0
+        gone = np.cumsum(edge, out=edge)[:-1] > 0
         raw = np.frombuffer(runs.data, np.uint8)
         out = {c: [] for c in ("n_bytes", "n_removed", "n_spans", "kept")}
         for text, a, b in zip(block, runs.starts.tolist(), runs.ends.tolist()):
