@@ -1,6 +1,6 @@
 """Stream state that ends: one stateful processor per partition, with timers for expiry and grace.
 
-The state of a partition is a map from clustering key to lasting row state, and the partition's newest deletion. A batch
+The state of a partition is its rows' lasting state by clustering key, and the partition's newest deletion. A batch
 merges its mutations into the rows that they touch; a partition deletion is applied to all rows of its partition at once
 and stays, so that a write that arrives later but is older is covered as well. The clock is the watermark over
 the mutations' wall-clock times, together with ``tick`` rows that only advance it. Timers fire
@@ -13,13 +13,17 @@ timers only. As with any compaction, a write that arrives after its deletion's g
 
 Every changed row is given out with its new state, in update mode, which is what a view or a copy needs.
 
-A partition is split into ``spread`` parts by a hash of the clustering key, each with its own map and timers;
+A partition is split into ``spread`` parts by a hash of the clustering key, each with its own rows and timers;
 deletions are sent to all of them. With it a hot partition lies in many tasks.
+
+Every call of the state store is a round trip out of Python, so rows lie together in buckets of some ``HELD`` rows, by a hash of
+the key, that are read, written and waited for as one. A small part is one bucket; buckets of a growing part split in two.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -35,6 +39,8 @@ from cellspark.streaming import mutations as S
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 PART = "_part"
+HELD = 64  # rows of a bucket, on average at most
+NO_BUCKET = -1  # what the timer of a partition's deletion waits for
 
 
 def order(x):
@@ -48,6 +54,90 @@ def order(x):
     return (1, x)
 
 
+class Part:
+    """What one call sees of a part: its deletion and the buckets that it has read, written back by ``close``."""
+
+    def __init__(self, state: PartitionState, timers):
+        self.state = state
+        self.now = timers.getCurrentWatermarkInMs() // 1000 + state.late_by
+        self.before = plain(state.meta.get())
+        ts, ldt, self.level, self.n = self.before or (None, None, 0, 0)
+        self.deletion = None if ts is None else (ts, ldt)
+        self.read: dict[int, dict] = {}
+        self.waits: dict[int, int | None] = {}
+        self.touched: set[int] = set()
+
+    def bucket_of(self, key: tuple) -> int:
+        return zlib.crc32(repr(key).encode("utf-8", "surrogatepass")) & ((1 << self.level) - 1)
+
+    def buckets(self) -> list[int]:
+        if not self.n:
+            return []
+        return sorted(plain(b)[0] for b in self.state.rows.keys()) if self.level else [0]
+
+    def rows(self, bucket: int) -> dict[tuple, tuple[tuple, int | None]]:
+        """Rows of a bucket, with the second that each waits for."""
+        if bucket not in self.read:
+            held, self.waits[bucket] = plain(self.state.rows.getValue((bucket,)) if self.n else None) or ([], None)
+            self.read[bucket] = {key: (tuple(row), due) for key, *row, due in held}
+        return self.read[bucket]
+
+    def put(self, key: tuple, row: tuple | None, due: int | None = None) -> None:
+        bucket = self.bucket_of(key)
+        rows = self.rows(bucket)
+        if row is None and key not in rows:
+            return
+        self.n += (row is not None) - (key in rows)
+        self.touched.add(bucket)
+        if row is None:
+            del rows[key]
+        else:
+            rows[key] = (row, due)
+
+    def wake(self, at: int, bucket: int) -> None:
+        """Look at the bucket again at the second ``at``."""
+        state = self.state
+        waiting = state.due.getValue((at,))
+        state.due.updateValue((at,), ([*(plain(waiting)[0] if waiting else []), bucket],))
+        if waiting is None:
+            state.handle.registerTimer((at - state.late_by) * 1000)
+
+    def split(self) -> None:
+        """Twice as many buckets, until they are small enough."""
+        stored = self.before[3] if self.before else 0
+        old = (sorted(plain(b)[0] for b in self.state.rows.keys()) if self.level else [0]) if stored else []
+        every = {k: v for b in {*old, *self.read} for k, v in self.rows(b).items()}
+        while self.n > HELD << self.level:
+            self.level += 1
+        self.read = {b: {} for b in {*old, *map(self.bucket_of, every)}}
+        self.waits = dict.fromkeys(self.read)
+        self.touched = set(self.read)
+        for key, held in every.items():
+            self.read[self.bucket_of(key)][key] = held
+
+    def close(self) -> None:
+        state = self.state
+        if self.n > HELD << self.level:
+            self.split()
+        for bucket in sorted(self.touched):
+            rows, waits = self.read[bucket], self.waits[bucket]
+            if not rows:
+                if self.before and self.before[3]:
+                    state.rows.removeKey((bucket,))
+                continue
+            at = min((due for _, due in rows.values() if due is not None), default=None)
+            if at is not None and (waits is None or waits <= self.now or at < waits):
+                self.wake(at, bucket)
+                waits = at
+            state.rows.updateValue((bucket,), ([(key, *row, due) for key, (row, due) in rows.items()], waits))
+        meta = (*(self.deletion or (None, None)), self.level, self.n)
+        if self.deletion is None and not self.n:
+            if self.before is not None:
+                state.meta.clear()
+        elif meta != self.before:
+            state.meta.update(meta)
+
+
 class PartitionState(StatefulProcessor):
     """Rows of one partition (or part of it), its deletion, and when they are due."""
 
@@ -59,10 +149,11 @@ class PartitionState(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        # ``_due``: the one second that the row waits for
-        self.rows = handle.getMapState("rows", self.key_type, T.StructType([*self.row_type.fields, T.StructField("_due", T.LongType())]))
-        self.deletion = handle.getValueState("deletion", "ts bigint, ldt bigint")
-        self.due = handle.getMapState("due", T.StructType().add("at", T.LongType()), T.StructType().add("keys", T.ArrayType(self.key_type)))
+        # ``_due``: the one second that the row, or the bucket, waits for
+        row = T.StructType([T.StructField("_key", self.key_type), *self.row_type.fields, T.StructField("_due", T.LongType())])
+        self.meta = handle.getValueState("meta", "ts bigint, ldt bigint, level int, n bigint")
+        self.rows = handle.getMapState("rows", T.StructType().add("bucket", T.LongType()), T.StructType().add("held", T.ArrayType(row)).add("_due", T.LongType()))
+        self.due = handle.getMapState("due", T.StructType().add("at", T.LongType()), T.StructType().add("buckets", T.ArrayType(T.LongType())))
 
     # -- one row ------------------------------------------------------------------------------------------------
 
@@ -133,45 +224,20 @@ class PartitionState(StatefulProcessor):
 
     # -- the partition ------------------------------------------------------------------------------------------
 
-    def now(self, timers) -> int:
-        return timers.getCurrentWatermarkInMs() // 1000 + self.late_by
-
-    def wake(self, at: int, key: tuple) -> None:
-        """Look at the row again at the second ``at``."""
-        waiting = self.due.getValue((at,))
-        self.due.updateValue((at,), ([*plain(waiting[0] if waiting else []), key],))
-        if waiting is None:
-            self.handle.registerTimer((at - self.late_by) * 1000)
-
-    def stored(self, key: tuple) -> tuple[tuple | None, int | None]:
-        found = self.rows.getValue(key)
-        if found is None:
-            return None, None
-        *row, due = map(plain, found)
-        return tuple(row), due
-
-    def settle(self, pk: tuple, key: tuple, row: tuple, due: int | None, now: int) -> Iterator[Row]:
-        """Store what is to be kept of a row that waits for ``due``, and give it out."""
-        row = self.expired(row, now)
-        self.keep(key, row, due, now)
+    def settle(self, pk: tuple, part: Part, key: tuple, row: tuple) -> Iterator[Row]:
+        """Store what is to be kept of a row, and give it out."""
+        row = self.expired(row, part.now)
+        self.keep(part, key, row)
         shown = {f.name: dict(zip(f.dataType.fieldNames(), x)) if x is not None else None for f, x in zip(self.row_type, row)}
         yield Row(**dict(zip(self.spec.pk, pk)), **dict(zip(self.spec.ck, key)), **shown)
 
-    def keep(self, key: tuple, row: tuple, due: int | None, now: int) -> None:
-        kept = self.purged(row, now)
-        if kept is None:
-            self.rows.removeKey(key)
-            return
-        at = self.next_due(kept, now)
-        if at is not None and (due is None or due <= now or at < due):
-            self.wake(at, key)
-            due = at
-        self.rows.updateValue(key, (*kept, due))
+    def keep(self, part: Part, key: tuple, row: tuple) -> None:
+        kept = self.purged(row, part.now)
+        part.put(key, kept, None if kept is None else self.next_due(kept, part.now))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        now, pk = self.now(timerValues), tuple(key)
-        before = plain(self.deletion.get()) if self.deletion.exists() else None
-        newest, changed = before, {}
+        part, pk = Part(self, timerValues), tuple(key)
+        newest, changed = part.deletion, {}
         for row in rows:
             what, deletion, own, *pieces = tuple(row)[len(pk) :]
             if what == "delete_partition":
@@ -179,34 +245,39 @@ class PartitionState(StatefulProcessor):
             elif what == "row":
                 own = plain(own)
                 changed[own] = self.merged(changed.get(own), tuple(map(plain, pieces)))
-        if newest != before:
-            if newest[1] >= now - self.gc_grace:
-                self.deletion.update(newest)
-                self.wake(newest[1] + self.gc_grace + 1, (None,) * len(self.key_type))
-            for k in [k for k in map(plain, self.rows.keys()) if k not in changed]:
-                row, due = self.stored(k)
-                left = self.shadowed(row, newest)
-                if left != row:
-                    yield from self.settle(pk, k, left, due, now)
+        if newest != part.deletion:
+            if newest[1] >= part.now - self.gc_grace:
+                part.deletion = newest
+                part.wake(newest[1] + self.gc_grace + 1, NO_BUCKET)
+            for bucket in part.buckets():
+                for k, (row, _) in list(part.rows(bucket).items()):
+                    if k not in changed and (left := self.shadowed(row, newest)) != row:
+                        yield from self.settle(pk, part, k, left)
         for k, row in changed.items():
-            old, due = self.stored(k)
-            yield from self.settle(pk, k, self.shadowed(self.merged(old, row), newest), due, now)
+            old, _ = part.rows(part.bucket_of(k)).get(k, (None, None))
+            yield from self.settle(pk, part, k, self.shadowed(self.merged(old, row), newest))
+        part.close()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now, at = self.now(timerValues), expiredTimerInfo.getExpiryTimeInMs() // 1000 + self.late_by
-        waiting = self.due.getValue((at,))
+        part, at = Part(self, timerValues), expiredTimerInfo.getExpiryTimeInMs() // 1000 + self.late_by
+        waiting = plain(self.due.getValue((at,)))
         self.due.removeKey((at,))
-        if self.deletion.exists() and self.deletion.get()[1] < now - self.gc_grace:
-            self.deletion.clear()
-        for k in dict.fromkeys(plain(k) for k in (waiting[0] if waiting else [])):
-            row, due = self.stored(k)
-            if row is None or due != at:
+        if part.deletion is not None and part.deletion[1] < part.now - self.gc_grace:
+            part.deletion = None
+        for bucket in dict.fromkeys(waiting[0] if waiting else []):
+            if bucket == NO_BUCKET:
                 continue
-            left = self.expired(row, now)
-            if left == row:
-                self.keep(k, row, None, now)
-            else:
-                yield from self.settle(tuple(key), k, left, None, now)
+            for k, (row, due) in list(part.rows(bucket).items()):
+                if due is None or due > part.now:
+                    continue
+                left = self.expired(row, part.now)
+                if left == row:
+                    self.keep(part, k, row)
+                else:
+                    yield from self.settle(tuple(key), part, k, left)
+            # what it waited for may have been overwritten: wait for the next
+            part.touched.add(bucket)
+        part.close()
 
 
 def plain(x):
@@ -274,4 +345,5 @@ def run(stream: DataFrame, path: str, checkpoint: str, key: list[str] | None = N
 def state_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The rows that the state holds, as the columns of the key, clustering key and pieces."""
     found = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "rows").load()
-    return found.select("key.*", "user_map_key.*", "user_map_value.*").drop(PART, "_due")
+    held = found.select("key.*", F.explode("user_map_value.held").alias("_held")).drop(PART)
+    return held.select("*", "_held._key.*", "_held.*").drop("_held", "_key", "_due")
