@@ -40,10 +40,22 @@ def _upserted(t, df, key):
     return S.current(t.spark, path, key)
 
 
+def _merged(t, log, make, merge, fold_every=None):
+    path = fresh_path(t.spark, "state")
+    _finish(S.merge_sink(log, make, merge, path, fresh_path(t.spark, "ck"), fold_every=fold_every))
+    return S.merged(t.spark, path, merge)
+
+
+def _merged_deletions(t, log, fold_every=None):
+    newest = lambda rows: rows.groupBy(*EVENT_LOG.pk).agg(F.max("_pdel").alias("_pdel"))
+    return _merged(t, log, lambda batch: rec.partition_deletions(batch, EVENT_LOG), newest, fold_every)
+
+
 def streamed_event_state(t):
     """Event state from two streams over the log: row state, and the newest partition deletions."""
-    state = _upserted(t, S.latest_state(event_log(streams(t)), EVENT_LOG, NOW), EVENT_LOG.key)
-    deletions = _upserted(t, rec.partition_deletions(event_log(streams(t)), EVENT_LOG), EVENT_LOG.pk)
+    log = event_log(streams(t))
+    state = _merged(t, log, lambda batch: S.latest_state(batch, EVENT_LOG, NOW), lambda rows: rec.merge_states(rows, EVENT_LOG))
+    deletions = _merged_deletions(t, log)
     return rec.shadow(rec.with_partition_deletions(state, deletions, EVENT_LOG), EVENT_LOG)
 
 
@@ -63,9 +75,8 @@ def latest_state(t):
 @query("t3_late_writes", f"WITH {line_cells_sql()} SELECT * FROM lines")
 def late_writes(t):
     # ship dates come in no order, so most writes arrive late
-    path, checkpoint = fresh_path(t.spark, "state"), fresh_path(t.spark, "ck")
-    _finish(S.upsert_sink(S.latest_state(line_log(streams(t)), LINE_LOG, LINE_NOW), path, checkpoint))
-    return S.live_latest(t.spark, path, LINE_LOG)
+    state = _merged(t, line_log(streams(t)), lambda batch: S.latest_state(batch, LINE_LOG, LINE_NOW), lambda rows: rec.merge_states(rows, LINE_LOG))
+    return rec.live_rows(rec.shadow(state, LINE_LOG), LINE_LOG)
 
 
 @query("t4_retention", ORACLE["m8_compact"])
@@ -198,12 +209,9 @@ def bounded_state(t):
     f"SELECT * FROM (WITH {at_any_time(now)} SELECT {now}::BIGINT AS at, user_id, slot, value, kind FROM state)" for now in READ_AT))
 def state_read_later(t):
     # lasting state kept by a stream of five batches, with a base after every two, read at three times
-    path, checkpoint, deleted = fresh_path(t.spark, "state"), fresh_path(t.spark, "ck"), fresh_path(t.spark, "deleted")
     stream = staged(t, event_log(t))
-    _finish(S.upsert_sink(S.latest_state(stream, EVENT_LOG), path, checkpoint, key=EVENT_LOG.key, fold_every=2))
-    _finish(S.upsert_sink(rec.partition_deletions(stream, EVENT_LOG), deleted, fresh_path(t.spark, "ck"), key=EVENT_LOG.pk, fold_every=2))
-    state = S.current(t.spark, path, EVENT_LOG.key)
-    state = lasting.shadow(rec.with_partition_deletions(state, S.current(t.spark, deleted, EVENT_LOG.pk), EVENT_LOG), EVENT_LOG)
+    state = _merged(t, stream, lambda batch: S.latest_state(batch, EVENT_LOG), lambda rows: lasting.merge(rows, EVENT_LOG), fold_every=2)
+    state = lasting.shadow(rec.with_partition_deletions(state, _merged_deletions(t, stream, fold_every=2), EVENT_LOG), EVENT_LOG)
     return reduce(lambda a, b: a.unionByName(b), [
         lasting.live_rows(state, EVENT_LOG, now).select(F.lit(now).cast("bigint").alias("at"), *EVENT_LOG.key, "value", "kind") for now in READ_AT])
 

@@ -116,6 +116,27 @@ def upsert_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool =
     return each_batch(df, write, checkpoint, available_now, mode)
 
 
+def merge_sink(log: DataFrame, make: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
+               available_now: bool = True, fold_every: int | None = None) -> StreamingQuery:
+    """Write the state that ``make`` builds of each batch to the batch's own folder; see :func:`merged`.
+
+    States merge in any order, so the stream itself keeps none and no batch reads an earlier one. With
+    ``fold_every`` so many batches are merged into a new base.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        make(batch).withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{path}/b={batch_id}")
+        if fold_every and (batch_id + 1) % fold_every == 0:
+            fold(batch.sparkSession, path, merge, batch_id)
+
+    return each_batch(log, write, checkpoint, available_now)
+
+
+def merged(spark: SparkSession, path: str, merge: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The state in a folder written by :func:`merge_sink`."""
+    return merge(batches(spark, path))
+
+
 def each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
                available_now: bool = True, mode: str = "append") -> StreamingQuery:
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(fn)
