@@ -126,6 +126,16 @@ def merge_log(log: DataFrame, spec: TableSpec, now: int, tie: str = "value") ->
     return _row_mutations(log).groupBy(*spec.key).agg(*[F.max(v).alias(n) for n, v in zip(names, versions)])
 
 
+def by_key(log: DataFrame, spec: TableSpec, tasks: int) -> DataFrame:
+    """The log (or states) dealt to ``tasks`` tasks by key, for merges of few versions of many keys.
+
+    What follows needs no other shuffle: merges of it, and merges of several that are dealt alike. The rows of a task
+    are bounded whatever the number of shuffle partitions. There is no map-side combine, so a log with hot keys
+    is better left as it is.
+    """
+    return log.repartition(tasks, *spec.key)
+
+
 def merge_states(states: DataFrame, spec: TableSpec) -> DataFrame:
     """One state row per key from any number of them: a single aggregate with map-side combine."""
     return states.groupBy(*spec.key).agg(

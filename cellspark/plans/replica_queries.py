@@ -6,11 +6,16 @@ from cellspark.operators import digest_tree, mutate, replica
 from cellspark.operators import reconcile as rec
 from cellspark.plans.mutation_queries import NOW, ORDER, T0, base_orders
 from cellspark.plans.registry import query
+from cellspark.session import tasks_for
 
 
 def copies(t):
-    """Copy ``b`` lacks every 97th order and holds an older status of every 89th."""
+    """Copy ``b`` lacks every 97th order and holds an older status of every 89th.
+
+    Both are dealt alike by key, to tasks that follow the rows, so they meet without another shuffle.
+    """
     base = base_orders(t)
+    tasks = tasks_for(t.spark, base.count())
     a = mutate.insert(base, ORDER, T0)
     here = base.filter("o_orderkey % 97 <> 0")
     old = here.filter("o_orderkey % 89 = 0")
@@ -18,7 +23,7 @@ def copies(t):
         mutate.insert(here.filter("o_orderkey % 89 <> 0"), ORDER, T0),
         mutate.insert(old.withColumn("_set", F.array(F.lit("price"))), ORDER, T0),
         mutate.update(old.select(*ORDER.key, F.lit("Q").alias("status")), ORDER, T0 - 100))
-    return {"a": rec.reconcile(a, ORDER, NOW), "b": rec.reconcile(b, ORDER, NOW)}
+    return {name: rec.reconcile(rec.by_key(log, ORDER, tasks), ORDER, NOW) for name, log in (("a", a), ("b", b))}
 
 
 @query("d1_diff", """

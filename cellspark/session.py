@@ -52,3 +52,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows that one task sorts or holds; some 650 bytes each where several states of a row meet.
+TASK_ROWS = 100_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """So many tasks that none has much over ``TASK_ROWS`` of ``rows``, and every core has one."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
