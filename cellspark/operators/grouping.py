@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from cellspark.operators import select
-from cellspark.session import materialize
+from cellspark.session import tasks_for
 from cellspark.spec import TableSpec
 
 
@@ -80,13 +80,15 @@ def page_groups(df: DataFrame, spec: TableSpec, group: list[str], partial: dict[
     them. With ``limit`` only so many rows of each partition count, wherever pages are cut.
     """
     check_prefix(spec, group)
-    rows = materialize(select.page(df, spec, size, state.after, limit), "page")
+    rows, read = select.large_page(df, spec, size, state.after, limit)
     known = rows.groupBy(*group).agg(*[c.alias(name) for name, (c, _) in partial.items()])
     if state.open is not None:
         # one row: the group left open by the page before
         known = known.unionByName(df.sparkSession.createDataFrame([state.open], known.schema))
-    merged = known.groupBy(*group).agg(*[merge(name).alias(name) for name, (_, merge) in partial.items()])
-    if rows.count() < size:
+    # dealt by number, so that the groups of a large page are not put together in few tasks
+    dealt = known.repartition(tasks_for(df.sparkSession, read), *group)
+    merged = dealt.groupBy(*group).agg(*[merge(name).alias(name) for name, (_, merge) in partial.items()])
+    if read < size:
         return merged, None
     last = rows.select("_token", *spec.key).orderBy(F.desc("_token"), *[F.desc(c) for c in spec.pk], *spec.clustering_order(reverse=True)).first()
     mine = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(last[c])) for c in group])

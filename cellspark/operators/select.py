@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellspark.functions import jsonfn
 from cellspark.functions.token import token as token_of
+from cellspark.session import materialize, tasks_for
 from cellspark.spec import TableSpec
 
 
@@ -146,6 +147,46 @@ def page(df: DataFrame, spec: TableSpec, size: int, after: tuple | None = None,
     return rows.orderBy(*order).limit(size)
 
 
+def large_page(df: DataFrame, spec: TableSpec, size: int, after: tuple | None = None,
+               per_partition: int | None = None) -> tuple[DataFrame, int]:
+    """The rows of ``page`` in no order, and their number, for pages that are too large for one task.
+
+    Ranges of the token are counted, and rows beyond the one that the page ends in are left out. The others are dealt to
+    range partitions by token, key and clustering columns, so that a hot partition spreads. All before the
+    last are whole; only the last is cut in one task.
+    """
+    rows = df if "_token" in df.columns else df.withColumn("_token", token_of(spec.pk))
+    if per_partition is not None:
+        rows = per_partition_limit(rows, spec, per_partition)
+    if after is not None:
+        rows = rows.filter(after_key(["_token", *spec.key], after, spec))
+    top = F.shiftright("_token", 54)
+
+    def until(counts: list[tuple[int, int]], size: int) -> tuple[int, int, int]:
+        """(the place where the page ends, rows before it, rows with it)."""
+        before = 0
+        for at, n in sorted(counts):
+            if before + n >= size:
+                return at, before, before + n
+            before += n
+        return sorted(counts)[-1][0], before, before
+
+    ranges = [(r["at"], r["n"]) for r in rows.groupBy(top.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()]  # <= 1024 rows
+    if not ranges:
+        return rows, 0
+    end, _, total = until(ranges, size)
+    tasks = tasks_for(df.sparkSession, total)
+    order = [F.col("_token"), *[F.col(c) for c in spec.pk], *spec.clustering_order()]
+    laid = rows.filter(top <= end).repartitionByRange(tasks, *order).withColumn("_piece", F.spark_partition_id())
+    laid = materialize(laid, "page")
+    if total <= size:
+        return laid.drop("_piece"), total
+    pieces = [(r["_piece"], r["count"]) for r in laid.groupBy("_piece").count().collect()]  # <= tasks rows
+    cut, before, _ = until(pieces, size)
+    last = laid.filter(F.col("_piece") == cut).orderBy(*order).limit(size - before)
+    return laid.filter(F.col("_piece") < cut).unionByName(materialize(last, "page")).drop("_piece"), size
+
+
 def after_key(names: list[str], last: tuple, spec: TableSpec) -> Column:
     down = {c for c, d in spec.clustering if d == "desc"}
     result = F.lit(False)
