@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from cellspark.llm.common import append_columns, texts, whole
+from cellspark.llm.common import append_columns, give_back, texts, whole
 from cellspark.llm.components import components
 from cellspark.session import materialize
 
@@ -134,6 +134,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 common = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * common >= percent * (len(p) + len(q) - common))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -159,6 +160,7 @@ def compared(members: DataFrame, sets: DataFrame, elements: bool) -> DataFrame:
             columns = [pa.array([s[k] for s in sizes], pa.int64()) for k in range(3)]
             columns += [pa.array(e, pa.list_(pa.int64())) for e in (lost, added) if elements]
             yield pa.RecordBatch.from_arrays(batch.columns[:2] + columns, names=names)
+        give_back()
 
     names = ["class", "ref", "n", "n_ref", "d"] + ["lost", "added"] * elements
     return both.mapInArrow(run, "class long, ref long, n long, n_ref long, d long" + ", lost array<long>, added array<long>" * elements)

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellspark.llm.common import give_back, release_others
 from cellspark.llm.suffix import sort_windows
 
 LENGTH, GRAM = 50, 16
@@ -300,6 +301,22 @@ def cut_out(names: list[str]):
     return run
 
 
+def _tidied(run, *tables: pa.Table) -> pa.Table:
+    """A group's result; what its arrays took goes back to the system before the next one."""
+    release_others(__name__)
+    out = run(*tables)
+    give_back()
+    return out
+
+
+def of_one(run):
+    return lambda table: _tidied(run, table)
+
+
+def of_two(run):
+    return lambda table, told: _tidied(run, table, told)
+
+
 def remove_repeats(
     df: DataFrame, key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), chunk_bytes: int = CHUNK,
     hot: int = HOT,
@@ -317,10 +334,10 @@ def remove_repeats(
         F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"),
         F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(n)).cast("int").alias("chunk"))
     chunks = docs.groupBy("chunk")
-    told = chunks.applyInArrow(markers(n), SENT).groupBy("bucket").applyInArrow(shared_markers(hot), TOLD)
-    units = chunks.cogroup(told.groupBy("chunk")).applyInArrow(send_units(n), SENT)
-    low = units.groupBy("bucket").applyInArrow(order_units, TOLD)
+    told = chunks.applyInArrow(of_one(markers(n)), SENT).groupBy("bucket").applyInArrow(of_one(shared_markers(hot)), TOLD)
+    units = chunks.cogroup(told.groupBy("chunk")).applyInArrow(of_two(send_units(n)), SENT)
+    low = units.groupBy("bucket").applyInArrow(of_one(order_units), TOLD)
     fields = ", ".join(f"{name} {docs.schema[name].dataType.simpleString()}" for name in names)
     out = chunks.cogroup(told.unionByName(low).groupBy("chunk")).applyInArrow(
-        cut_out(names), fields + ", n_bytes long, n_removed long, n_spans long, kept binary")
+        of_two(cut_out(names)), fields + ", n_bytes long, n_removed long, n_spans long, kept binary")
     return out.withColumnsRenamed(dict(zip(names, (key, *carry))))

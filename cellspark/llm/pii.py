@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from cellspark.llm.common import SPAN, append_columns, replace_spans, texts, words
+from cellspark.llm.common import SPAN, append_columns, give_back, replace_spans, texts, words
 from cellspark.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -215,6 +215,7 @@ def term_counts(df: DataFrame, text: str = "text", weight: str | None = None, he
                 if len(counts) > held:
                     yield flush()
         yield flush()
+        give_back()
 
     return df.select(text, *([weight] if weight else [])).mapInArrow(run, "term long, n long")
 
