@@ -1,11 +1,12 @@
 """Range deletions on any prefix of the clustering key, by a sweep over sorted rows and bounds.
 
 A range begins and ends at a prefix of the clustering key: ``c1 = 5 AND c2 > 3`` begins after (5, 3) and ends
-after (5). Rows and bounds get one position, a struct that sorts as they lie in the partition, and are sorted together
-by a range shuffle, so that a hot partition, or values that lie close together but for one, spread over pieces of
-equal size. Going through a piece in order, a row is covered by the newest of the ranges that are open.
+after (5). Rows and bounds get one position, a struct that sorts as they lie in the partition, and are sorted together.
+Going through them in order, a row is covered by the newest of the ranges that are open.
 
-What is open where a piece begins: a range that ends in a later piece than it begins in is sent to the piece where it
+Partitions are dealt to tasks by their key, each to one of them. Only those with more events than a task should sort
+are sorted by a range shuffle instead, so that a hot partition, or values that lie close together but for one, spread
+over pieces of equal size. What is open where a piece begins: a range that ends in a later piece than it begins in is sent to the piece where it
 ends, once; pieces that it covers from end to end take its time from a tree over the pieces, in which
 any run of pieces is at most two nodes a level. So neither rows times ranges nor pieces times ranges are made.
 A task holds the ranges that are open at a time, not the piece.
@@ -16,12 +17,13 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellspark.session import materialize
+from cellspark.session import TASK_ROWS, materialize, tasks_for
 from cellspark.spec import TableSpec
 
 BEFORE, AT, AFTER = -1, 0, 1
@@ -59,17 +61,23 @@ def bounds(ranges: DataFrame, rows: DataFrame, spec: TableSpec) -> DataFrame:
     return placed.filter(F.col("start") < F.col("end")).withColumn("rid", F.monotonically_increasing_id())
 
 
-def _sweep(key: list[str], pk: list[str]):
+def _sweep(key: list[str]):
     """Goes through sorted events and gives out the rows that are covered, with the newest open range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, heap, closed = None, [], set()
         for batch in batches:
-            at = {n: i for i, n in enumerate(batch.schema.names)}
-            where = zip(*[batch.column(at[c]).to_pylist() for c in ("piece", *pk)])
-            events = zip(where, *[batch.column(at[c]).to_pylist() for c in ("kind", "rid", "ts", "ldt")])
-            keep, times, stamps = [], [], []
-            for here, kind, rid, ts, ldt in events:
+            if not batch.num_rows:
+                continue
+            column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            piece, kinds = (column[n].to_numpy(zero_copy_only=False) for n in ("piece", "kind"))
+            # only bounds, and where a piece begins, change what is open; rows take it over from there
+            begins = np.diff(piece, prepend=piece[0] - 1) != 0
+            turns = (kinds != ROW) | begins
+            at = np.flatnonzero(turns)
+            bound = [column[n].take(pa.array(at)).fill_null(0).to_numpy().tolist() for n in ("rid", "ts", "ldt")]
+            newest = [heap[0] if heap else None]
+            for here, kind, rid, ts, ldt in zip(piece[at].tolist(), kinds[at].tolist(), *bound):
                 if here != place:
                     place, heap, closed = here, [], set()
                 if kind == OPEN:
@@ -78,13 +86,13 @@ def _sweep(key: list[str], pk: list[str]):
                     closed.add(rid)
                 while heap and heap[0][2] in closed:
                     closed.discard(heapq.heappop(heap)[2])
-                covered = kind == ROW and bool(heap)
-                keep.append(covered)
-                if covered:
-                    times.append(-heap[0][0])
-                    stamps.append(-heap[0][1])
-            rows = batch.select(key).filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(times, pa.int64()), pa.array(stamps, pa.int64())], names=[*key, "ts", "ldt"])
+                newest.append(heap[0] if heap else None)
+            found = np.array([x is not None for x in newest])
+            times, stamps = (np.array([0 if x is None else -x[i] for x in newest], dtype=np.int64) for i in (0, 1))
+            since = np.cumsum(turns)
+            keep = (kinds == ROW) & found[since]
+            rows = batch.select(key).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(times[since[keep]]), pa.array(stamps[since[keep]])], names=[*key, "ts", "ldt"])
 
     return run
 
@@ -95,32 +103,43 @@ def covering(rows: DataFrame, ranges: DataFrame, spec: TableSpec, piece_rows: in
     ``ranges`` holds the partition key, ``lo`` and ``hi``, ``lo_incl`` and ``hi_incl``, ``_ts`` and ``_now``. A bound is a value of
     the first clustering column or a struct of the first ones, fields named as they are; null is an open
     end, and null fields end the prefix. Rows with a null in the clustering key are never covered.
+    Partitions of more than ``piece_rows`` events are cut into pieces of about so many.
     """
     spark, pk, ck = rows.sparkSession, spec.pk, spec.ck
+    piece_rows = piece_rows or TASK_ROWS
     types = [rows.schema[c].dataType for c in ck]
     spans = materialize(bounds(ranges, rows, spec), "ranges")
-    touched = rows.select(*spec.key).dropna(subset=ck).join(spans.select(*pk).distinct(), pk, "left_semi")
+    sizes = materialize(rows.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n")).join(
+        spans.groupBy(*pk).agg((2 * F.count(F.lit(1))).alias("_b")), pk).select(*pk, (F.col("_n") + F.col("_b")).alias("_n")), "sizes")
+    touched = rows.select(*spec.key).dropna(subset=ck).join(sizes, pk, "left_semi")
     none = lambda n: F.lit(None).cast("bigint").alias(n)
-    row_events = touched.select(*spec.key, _position([F.col(c) for c in ck], types).alias("pos"), F.lit(ROW).alias("kind"), none("rid"), none("ts"), none("ldt"))
+    row_events = touched.select(*pk, _position([F.col(c) for c in ck], types).alias("pos"), F.lit(ROW).alias("kind"), none("rid"), none("ts"), none("ldt"))
 
     def bound(kind: int, pos: str) -> DataFrame:
-        blank = [F.lit(None).cast(t).alias(c) for c, t in zip(ck, types)]
-        return spans.select(*pk, *blank, F.col(pos).alias("pos"), F.lit(kind).alias("kind"), "rid", "ts", "ldt")
+        return spans.select(*pk, F.col(pos).alias("pos"), F.lit(kind).alias("kind"), "rid", "ts", "ldt")
 
     events = row_events.unionByName(bound(OPEN, "start")).unionByName(bound(CLOSE, "end"))
-    pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if piece_rows:
-        pieces = max(1, -(-events.count() // piece_rows))
     order = [*pk, "pos"]
-    if pieces > 1:
-        laid = events.repartitionByRange(pieces, *order).withColumn("piece", F.spark_partition_id())
-        laid = _with_open(materialize(laid, "events"), pieces, spec).repartition(pieces, "piece")
-    else:
-        laid = events.withColumn("piece", F.lit(0)).coalesce(1)
-    swept = laid.sortWithinPartitions("piece", *order).drop("pos")
     schema = T.StructType([*[rows.schema[c] for c in spec.key], T.StructField("ts", T.LongType()), T.StructField("ldt", T.LongType())])
-    found = swept.mapInArrow(_sweep(spec.key, pk), schema)
-    return found.groupBy(*spec.key).agg(F.max(F.struct("ts", "ldt")).alias("_rdel"))
+
+    def sweep(laid: DataFrame) -> DataFrame:
+        # a row's position holds its clustering key
+        values = [F.col(f"pos.v{i}").alias(c) for i, c in enumerate(ck)]
+        return laid.select(*pk, *values, "piece", "kind", "rid", "ts", "ldt").mapInArrow(_sweep(spec.key), schema)
+
+    total, most = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    hot = sizes.filter(F.col("_n") > piece_rows).select(*pk)
+    cut = (most or 0) > piece_rows
+    whole = events.join(hot, pk, "left_anti") if cut else events
+    found = sweep(whole.withColumn("piece", F.lit(0)).repartition(tasks_for(spark, total or 0), *pk).sortWithinPartitions(*order))
+    if cut:
+        large = events.join(hot, pk, "left_semi")
+        pieces = -(-sizes.filter(F.col("_n") > piece_rows).agg(F.sum("_n")).first()[0] // piece_rows)
+        laid = materialize(large.repartitionByRange(pieces, *order).withColumn("piece", F.spark_partition_id()), "events")
+        found = found.unionByName(sweep(_with_open(laid, pieces, spec).repartition(pieces, "piece").sortWithinPartitions("piece", *order)))
+    # rows of one key lie at one position, so all of them found the same deletion
+    return found.groupBy(*spec.key).agg(F.max("ts").alias("_t"), F.max("ldt").alias("_l")).select(
+        *spec.key, F.struct(F.col("_t").alias("ts"), F.col("_l").alias("ldt")).alias("_rdel"))
 
 
 def _with_open(laid: DataFrame, pieces: int, spec: TableSpec) -> DataFrame:
@@ -130,15 +149,14 @@ def _with_open(laid: DataFrame, pieces: int, spec: TableSpec) -> DataFrame:
     ends = laid.filter(F.col("kind") != ROW).groupBy(*pk, "rid", "ts", "ldt").agg(
         F.min("piece").cast("bigint").alias("_b0"), F.max("piece").cast("bigint").alias("_b1"))
     across = materialize(ends.filter("_b0 < _b1"), "across")
-    blank = [F.lit(None).cast(laid.schema[c].dataType).alias(c) for c in spec.ck]
     nowhere = F.lit(None).cast(laid.schema["pos"].dataType).alias("pos")
     opening = [nowhere, F.lit(OPEN).alias("kind"), "rid", "ts", "ldt"]
-    inner = across.select(*pk, *blank, *opening, F.col("_b1").cast("int").alias("piece"))
+    inner = across.select(*pk, *opening, F.col("_b1").cast("int").alias("piece"))
     held = laid.filter(F.col("kind") == ROW).select(*pk, F.col("piece").cast("bigint").alias("_bin")).distinct().join(
         across.select(*pk).distinct(), pk, "left_semi").withColumn("_bins", F.lit(pieces).cast("bigint"))
     covered = whole_pieces(across.withColumn("_bins", F.lit(pieces).cast("bigint")).withColumn("_rdel", F.struct("ts", "ldt")), held, pk)
     covered = covered.select(*pk, F.lit(-1).cast("bigint").alias("rid"), "_rdel.ts", "_rdel.ldt", F.col("_bin").cast("int").alias("piece"))
-    return laid.unionByName(inner).unionByName(covered.select(*pk, *blank, *opening, "piece"))
+    return laid.unionByName(inner).unionByName(covered.select(*pk, *opening, "piece"))
 
 
 def whole_pieces(placed: DataFrame, held: DataFrame, pk: list[str]) -> DataFrame:

@@ -136,3 +136,21 @@ def test_an_outlier_does_not_fill_one_piece(spark, monkeypatch):
     assert {r.c: r._rdel.ts for r in found.collect()} == {c: min(399, c // 10) for c in range(1, 7991)}
     sizes = [r["count"] for r in written["events"].groupBy("piece").count().collect()]
     assert len(sizes) == 9 and max(sizes) < 2000
+
+
+def test_only_large_partitions_are_cut(spark, monkeypatch):
+    # one partition of 3000 rows among 100 of 30: the small ones are not laid out by a range shuffle
+    log = spark.range(6000).select(F.when(F.col("id") < 3000, -1).otherwise(F.col("id") % 100).alias("k"), F.col("id").alias("c"),
+                                   F.lit(1).alias("v"), F.lit(1).cast("bigint").alias("_ts"))
+    log = log.unionByName(log.filter("c % 7 = 0"))  # rows written twice find the same deletion
+    spec = TableSpec(["k"], ["c"], (), ["v"])
+    cuts = spark.range(101).select((F.col("id") - 1).alias("k"), F.lit(1000).cast("bigint").alias("lo"), F.lit(4000).cast("bigint").alias("hi"),
+                                   F.lit(True).alias("lo_incl"), F.lit(False).alias("hi_incl"), F.lit(9).cast("bigint").alias("_ts"), F.lit(0).alias("_now"))
+    from cellspark.operators import ranges
+    written, write = {}, ranges.materialize
+    monkeypatch.setattr(ranges, "materialize", lambda df, label: written.setdefault(label, write(df, label)))
+    found = ranges.covering(log, cuts, spec, 1000).collect()
+    assert sorted(r.c for r in found) == list(range(1000, 4000)) and {r._rdel.ts for r in found} == {9}
+    assert {r.k for r in written["events"].select("k").distinct().collect()} == {-1}
+    written.clear()
+    assert len(ranges.covering(log, cuts, spec).collect()) == 3000 and "events" not in written
