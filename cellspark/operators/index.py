@@ -77,12 +77,13 @@ def value_index(df: DataFrame, target: str, spec: TableSpec, kind: str = "value"
 
 
 def write_index(index: DataFrame, path: str, by: str, mode: str = "overwrite") -> None:
-    """Store an index sorted by its value, so that a lookup reads few row groups.
+    """Store an index as files that are each sorted by its value, so that a lookup reads few pages of a file.
 
-    The range also covers the key columns: a value shared by many rows is split over tasks.
+    Every task writes the rows it makes. One order over all files would need a sample of the rows first, which
+    makes them twice, and a shuffle of them all. A value shared by many rows lies in the files of its rows.
     """
     order = [by] + [c for c in index.columns if c != by]
-    index.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).parquet(path)
+    index.sortWithinPartitions(*order).write.mode(mode).parquet(path)
 
 
 def lookup(index: DataFrame, predicate: Column, spec: TableSpec) -> DataFrame:

@@ -1,5 +1,8 @@
 """Snowball stems, alone and in the analyzer, and searches through n-grams."""
 
+import glob
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,3 +57,37 @@ def test_grams_find_what_a_search_finds(spark, pattern):
     assert found == {r.doc_id for r in text.search(df, "text", pattern, Analyzer()).collect()}
     # linear: no more postings than characters
     assert grams.count() <= terms.select("term").distinct().agg(F.sum(F.length("term"))).first()[0] + 0
+
+
+def _counted(df, spark):
+    """``df`` and a counter of its rows that were made."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+def _sorted_files(path, columns):
+    files = sorted(glob.glob(f"{path}/*.parquet"))
+    for file in files:
+        held = [tuple(r.values()) for r in pq.read_table(file, columns=columns).to_pylist()]
+        assert held == sorted(held, key=lambda r: [x.encode() if isinstance(x, str) else x for x in r])
+    return len(files)
+
+
+def test_a_stored_index_is_made_once(spark, tmp_path):
+    # "w" is in every text: its rows lie in several files
+    df = spark.range(400).repartition(4).select(F.col("id").alias("doc_id"), F.concat(F.lit("W é"), F.col("id") % 50, F.lit(" ontic"), F.col("id") % 7).alias("text"))
+    spec, path = TableSpec(["doc_id"]), str(tmp_path / "terms")
+    made, seen = _counted(df, spark)
+    index.write_index(index.term_index(made, "text", Analyzer(case="lower"), spec), path, "term")
+    assert seen.value == 400
+    assert _sorted_files(path, ["term", "doc_id"]) > 1
+    stored = spark.read.parquet(path)
+    assert stored.count() == 1200 and stored.filter("term = 'w'").count() == 400
+    keys = lambda pattern: sorted(r.doc_id for r in index.lookup(stored, index.like_predicate(pattern), spec).collect())
+    assert keys("ontic3%") == [i for i in range(400) if i % 7 == 3] and keys("é49") == list(range(49, 400, 50))
