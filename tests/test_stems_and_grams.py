@@ -91,3 +91,19 @@ def test_a_stored_index_is_made_once(spark, tmp_path):
     assert stored.count() == 1200 and stored.filter("term = 'w'").count() == 400
     keys = lambda pattern: sorted(r.doc_id for r in index.lookup(stored, index.like_predicate(pattern), spec).collect())
     assert keys("ontic3%") == [i for i in range(400) if i % 7 == 3] and keys("é49") == list(range(49, 400, 50))
+
+
+def test_stored_grams_are_made_once(spark, tmp_path):
+    words = "banana bandana ananas nana cabana banan émeraude süße süßer ban".split()
+    df = spark.createDataFrame([(i, words[i % 10], f"{words[i % 10]}{i}") for i in range(300)], "doc_id long, w string, term string")
+    spec, path = TableSpec(["doc_id"]), str(tmp_path / "grams")
+    terms = df.select("doc_id", "term")
+    # the postings pass through the counter on their way to the files
+    made, seen = _counted(index.gram_index(terms), spark)
+    index.write_index(made, path, "gram")
+    stored = spark.read.parquet(path)
+    assert seen.value == stored.count() == index.gram_index(terms).count()
+    assert _sorted_files(path, ["gram", "term"])
+    for pattern, inside in (("%ana%", "ana"), ("%üße%", "üße"), ("%a2%", "a2")):
+        found = {r.doc_id for r in index.gram_lookup(stored, terms, pattern, spec).collect()}
+        assert found == {i for i in range(300) if inside in f"{words[i % 10]}{i}"}
