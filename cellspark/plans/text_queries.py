@@ -124,7 +124,7 @@ def _gram_search(t, table, column, spec, pattern, analyzer):
     terms, grams = (fresh_path(t.spark, x) for x in ("terms", "grams"))
     index.write_index(index.term_index(table, column, analyzer, spec), terms, "term")
     terms = t.spark.read.parquet(terms)
-    index.write_index(index.gram_index(terms), grams, "gram")
+    index.write_index(index.gram_index(terms), grams, "gram", only_leading=True)
     return index.gram_lookup(t.spark.read.parquet(grams), terms, pattern, spec)
 
 

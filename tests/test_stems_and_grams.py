@@ -107,3 +107,20 @@ def test_stored_grams_are_made_once(spark, tmp_path):
     for pattern, inside in (("%ana%", "ana"), ("%üße%", "üße"), ("%a2%", "a2")):
         found = {r.doc_id for r in index.gram_lookup(stored, terms, pattern, spec).collect()}
         assert found == {i for i in range(300) if inside in f"{words[i % 10]}{i}"}
+
+
+def test_stored_grams_are_sorted_by_one_number(spark, tmp_path):
+    words = "banana ana é süße süßer x 中 中文字 😀😀 𝐀b ﬀx ban a1 zz_9 ￮￮".split()
+    terms = spark.createDataFrame([(i, words[i % 15]) for i in range(60)], "doc_id long, term string").repartition(3)
+    spec, path = TableSpec(["doc_id"]), str(tmp_path / "grams")
+    grams = index.gram_index(terms)
+    index.write_index(grams, path, "gram", only_leading=True)
+    stored = spark.read.parquet(path)
+    assert _sorted_files(path, ["gram"]) and sorted(map(tuple, stored.collect())) == sorted(map(tuple, grams.collect()))
+    for pattern, inside in (("%ana%", "ana"), ("%üße%", "üße"), ("%文字%", "文字"), ("%a%", "a")):
+        found = {r.doc_id for r in index.gram_lookup(stored, terms, pattern, spec).collect()}
+        assert found == {i for i in range(60) if inside in words[i % 15]}
+    # the number has the order of the first three characters, also beyond 16 bits, and of missing ones
+    texts = words + ["", "a", "ab", "abc", "abd", "abcz"]
+    rows = spark.createDataFrame([(w,) for w in texts], "w string").select("w", index.leading(F.col("w")).alias("n")).collect()
+    assert all((a.n < b.n) == (a.w[:3] < b.w[:3]) and (a.n == b.n) == (a.w[:3] == b.w[:3]) for a in rows for b in rows)
