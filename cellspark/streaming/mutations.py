@@ -107,15 +107,19 @@ def upsert_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool =
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # a batch that is run again overwrites its own folder
-        batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{path}/b={batch_id}")
-        if fold_every and (batch_id + 1) % fold_every == 0:
-            fold(batch.sparkSession, path, lambda rows: newest(rows, key), batch_id)
+        put_batch(batch, path, batch_id, key, bool(fold_every) and (batch_id + 1) % fold_every == 0)
 
     return each_batch(df, write, checkpoint, available_now, mode)
 
 
+def put_batch(rows: DataFrame, path: str, batch_id: int, key: list[str] | None = None, folded: bool = False) -> None:
+    """Write a batch's changed rows to its folder, and if ``folded`` a new base of the newest rows up to it."""
+    # a batch that is run again overwrites its own folder
+    rows.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{path}/b={batch_id}")
+    if folded:
+        fold(rows.sparkSession, path, lambda r: newest(r, key), batch_id)
+
+
 def merge_sink(log: DataFrame, make: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame], path: str, checkpoint: str,
                available_now: bool = True, fold_every: int | None = None) -> StreamingQuery:
     """Write the state that ``make`` builds of each batch to the batch's own folder; see :func:`merged`.

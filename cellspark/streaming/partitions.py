@@ -1,22 +1,28 @@
-"""Stream state that ends: one stateful processor per partition, with timers for expiry and grace.
+"""Stream state that ends: partitions with their rows and newest deletion, and times for expiry and grace.
 
 The state of a partition is its rows' lasting state by clustering key, and the partition's newest deletion. A batch
 merges its mutations into the rows that they touch; a partition deletion is applied to all rows of its partition at once
-and stays, so that a write that arrives later but is older is covered as well. The clock is the watermark over
-the mutations' wall-clock times, together with ``tick`` rows that only advance it. Timers fire
+and stays, so that a write that arrives later but is older is covered as well. The clock is the newest of
+the mutations' wall-clock times before the batch, together with ``tick`` rows that only advance it. As it goes on,
 
-* when a cell or a row expires: it becomes a tombstone, and the row is given out as changed;
-* when a tombstone or a deletion has outlived the grace period: it is removed, and a row without anything left too.
+* a cell or a row that expires becomes a tombstone, and the row is given out as changed;
+* a tombstone or a deletion that has outlived the grace period is removed, and a row without anything left too.
 
-So the state holds what a compaction at the watermark would keep. Late mutations are never dropped: the watermark drives
-timers only. As with any compaction, a write that arrives after its deletion's grace period is seen again.
+So the state holds what a compaction at the clock would keep. Late mutations are never dropped: the clock decides expiry
+and grace only. As with any compaction, a write that arrives after its deletion's grace period is seen again.
 
 Every changed row is given out with its new state, in update mode, which is what a view or a copy needs.
 
-A partition is split into ``spread`` parts by a hash of the clustering key, each with its own rows and timers;
-deletions are sent to all of them. With it a hot partition lies in many tasks.
+A partition is split into ``spread`` parts by a hash of the clustering key; deletions are sent to all of them. With it a
+hot partition lies in many tasks.
 
-Every call of the state store is a round trip out of Python, so rows lie together in buckets of some ``HELD`` rows, by a hash of
+:func:`changed_rows` keeps the state in folders of the checkpoint. A batch is one aggregate over the stored rows and its
+mutations, dealt to tasks by part, so all rules are Catalyst expressions. A batch that is large against what is stored
+writes all rows anew, a small one only those that it changes, over which the newest of a row counts.
+
+:func:`processed_rows` is the same as a stateful processor in Python with Spark's state store, for sinks that need a
+streaming DataFrame. It touches the rows of a batch only, but each costs far more. Every call
+of the state store is a round trip out of Python, so rows lie together in buckets of some ``HELD`` rows, by a hash of
 the key, that are read, written and waited for as one. A small part is one bucket; buckets of a growing part split in two.
 """
 
@@ -24,15 +30,19 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from cellspark.operators import lasting, views
 from cellspark.operators import reconcile as rec
+from cellspark.session import tasks_for
 from cellspark.spec import TableSpec, ViewSpec
 from cellspark.streaming import mutations as S
 
@@ -292,45 +302,282 @@ def ticks(times: DataFrame, seconds: str) -> DataFrame:
     return times.select(F.lit("tick").alias("_op"), F.col(seconds).cast("bigint").alias("_now"), (F.col(seconds) * 1000000).alias("_ts"))
 
 
-def changed_rows(log: DataFrame, spec: TableSpec, gc_grace: int | None = None, late_by: int = 0, spread: int = 1) -> DataFrame:
-    """A stream of the rows that a stream of mutations changes, with their new lasting state.
-
-    ``late_by`` seconds pass before the watermark believes in a time. The state store must be RocksDB (:func:`run`).
-    """
+def _timed(log: DataFrame) -> DataFrame:
+    """The log's mutations and ticks, with their wall-clock seconds and operations filled in."""
     written_at = rec._meta(log, "_now", F.call_function("div", F.col("_ts"), F.lit(1000000))).cast("bigint")
     op = rec._meta(log, "_op", F.lit("insert"))
-    timed = log.withColumn("_at", F.timestamp_seconds(written_at)).withWatermark("_at", f"{late_by} seconds")
-    timed = timed.withColumn("_now", written_at).withColumn("_op", op)
-    one_row = lasting.versions(timed.filter(F.col("_op").isin(*rec.ROW_OPS)), spec)
-    cells = {f.name: f.dataType for f in one_row.schema}
-    row_type = T.StructType([T.StructField(p, cells[p]) for p in lasting.pieces(spec)])
-    key_type = T.StructType([T.StructField(c, cells[c]) for c in spec.ck]) if spec.ck else T.StructType().add("_only", T.IntegerType())
-    key = F.struct(*spec.ck) if spec.ck else F.struct(F.lit(0).alias("_only"))
+    return log.withColumns({"_now": written_at, "_op": op}).filter(F.col("_op").isin(*rec.ROW_OPS, "delete_partition", "tick"))
 
-    # One pass over the log: a row mutation goes to the part of its clustering key, a deletion or a tick to every part.
+
+def _parts(timed: DataFrame, spec: TableSpec, spread: int) -> DataFrame:
+    """One pass over the log: a row mutation goes to the part of its clustering key, a deletion or a tick to every part."""
     is_row = F.col("_op").isin(*rec.ROW_OPS)
     parts = F.when(is_row, F.array(F.pmod(F.xxhash64(*spec.ck), F.lit(spread)) if spec.ck else F.lit(0).cast("bigint"))).otherwise(
         F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint")))
-    sent = timed.filter(is_row | F.col("_op").isin("delete_partition", "tick")).withColumns({
-        "_parts": parts, "_what": F.when(is_row, "row").otherwise(F.col("_op")), "_key": F.when(is_row, key),
+    sent = timed.withColumns({
+        PART: F.explode(parts), "_row": is_row, **{c: F.when(is_row, F.col(c)) for c in spec.ck},
         "_pdel": F.when(F.col("_op") == "delete_partition", F.struct(F.col("_ts").cast("bigint").alias("ts"), F.col("_now").alias("ldt")))})
-    sent = lasting.version_rows(sent, spec, [*spec.pk, "_parts", "_what", "_pdel", "_key"])
-    sent = sent.select(*spec.pk, F.explode("_parts").alias(PART), "_what", "_pdel", "_key", *lasting.pieces(spec))
+    meta = [c for c in ("_op", "_ts", "_ttl", "_now", "_set") if c in timed.columns]
+    return sent.select(*spec.pk, PART, "_row", *spec.ck, "_pdel", *meta, *spec.regular)
+
+
+def processed_rows(log: DataFrame, spec: TableSpec, gc_grace: int | None = None, late_by: int = 0, spread: int = 1) -> DataFrame:
+    """:func:`changed_rows` as a streaming DataFrame, by a processor in Python. The state store must be RocksDB (:func:`run`).
+
+    ``late_by`` seconds pass before the watermark believes in a time.
+    """
+    timed = _timed(log).withColumn("_at", F.timestamp_seconds("_now")).withWatermark("_at", f"{late_by} seconds")
+    one_row = lasting.versions(timed.filter(F.col("_op").isin(*rec.ROW_OPS)), spec)
+    cells = {f.name: f.dataType for f in one_row.schema}
+    row_type = T.StructType([T.StructField(p, cells[p]) for p in lasting.pieces(spec)])
+    key_type = T.StructType([T.StructField(c, cells[c]) for c in spec.ck]) if spec.ck else T.StructType().add("_only", T.IntegerType())
     out = T.StructType([T.StructField(c, cells[c]) for c in spec.key] + row_type.fields)
     processor = PartitionState(spec, key_type, row_type, spec.gc_grace if gc_grace is None else gc_grace, late_by)
+    key = F.struct(*spec.ck) if spec.ck else F.struct(F.lit(0).alias("_only"))
+    sent = _parts(timed, spec, spread).withColumns({"_what": F.when(F.col("_row"), "row").otherwise(F.col("_op")), "_key": F.when(F.col("_row"), key)})
+    sent = lasting.version_rows(sent, spec, [*spec.pk, PART, "_what", "_pdel", "_key"])
     return sent.groupBy(*spec.pk, PART).transformWithState(processor, out, "Update", "EventTime")
 
 
-def view_entries(changed: DataFrame, view: ViewSpec) -> DataFrame:
+# -- state in folders -------------------------------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Changes:
+    """The rows that each batch of ``log`` changes, for :func:`run`; ``transform`` works as that of a DataFrame."""
+
+    log: DataFrame
+    spec: TableSpec
+    gc_grace: int
+    late_by: int
+    spread: int
+    shown: tuple[Callable[[DataFrame], DataFrame], ...] = ()
+
+    def transform(self, fn: Callable[[DataFrame], DataFrame]) -> Changes:
+        return replace(self, shown=(*self.shown, fn))
+
+
+def changed_rows(log: DataFrame, spec: TableSpec, gc_grace: int | None = None, late_by: int = 0, spread: int = 1) -> Changes:
+    """The rows that a stream of mutations changes, with their new lasting state.
+
+    The clock of a batch is ``late_by`` or the newest time of the batches before it, if that is larger.
+    """
+    return Changes(log, spec, spec.gc_grace if gc_grace is None else gc_grace, late_by, spread)
+
+
+def _true(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
+
+
+def _true(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
+
+
+def _any(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def _settled(rows: DataFrame, spec: TableSpec, now: int, grace: int) -> DataFrame:
+    """What a step makes of merged rows, with what was stored of them as ``_old``, whether they have mutations as ``_hit`` and
+    the newest deletion of their partition as ``_pdel``.
+
+    As :class:`PartitionState` does row by row: what a deletion covers goes, what is dead by ``now`` becomes a tombstone
+    (that row is given out), and tombstones past their grace go. What is to be done is worked out first, as
+    booleans, so that each piece is made once. ``_given`` is what to give out where that is not what is kept.
+    """
+    pieces, cells, before = lasting.pieces(spec), ("_live", *spec.regular), now - grace
+    rows = rows.withColumn("_dts", F.greatest("_del", "_pdel")["ts"])
+    above = lambda x: _true(F.col("_dts").isNull() | (x["ts"] > F.col("_dts")))
+    flags, changed = {}, [F.col("_hit")]
+    for c in cells:
+        best, early, end = F.col(c), F.col(c + lasting.EARLY), "exp" if c == "_live" else "ldt"
+        has = best.isNotNull() & above(best)
+        tied = has & _true(early["ts"] == best["ts"])
+        gone = has & _true(best["ttl"].isNotNull() & (best[end] <= now))
+        dead = gone | (tied & _true(early[end] <= now))
+        second = early.isNotNull() & above(early) & (~has | (tied & ~dead))
+        of = lambda n: F.when(gone, best[n]).otherwise(early[n])
+        died, was_dead = (of("exp"), best["expired"]) if c == "_live" else (of("ldt") - of("ttl"), best["dead"])
+        purged = has & _true(F.when(dead, died < before).otherwise(was_dead & (best[end] < before)))
+        flags |= {f"_has_{c}": has, f"_gone_{c}": gone, f"_dead_{c}": dead, f"_second_{c}": second, f"_purged_{c}": purged}
+        changed += [(best.isNotNull() & ~F.col(f"_has_{c}")), (early.isNotNull() & ~F.col(f"_second_{c}")),
+                    F.col(f"_gone_{c}") & ~_true(best["expired"]) if c == "_live" else F.col(f"_gone_{c}")]
+    has = F.col("_del").isNotNull() & ~_true(F.col("_del.ts") <= F.col("_pdel.ts"))
+    flags |= {"_has__del": has, "_purged__del": has & _true(F.col("_del.ldt") < before)}
+    changed.append(F.col("_del").isNotNull() & ~F.col("_has__del"))
+
+    young = lambda d: _true(d["ldt"] >= before)
+    old = F.col("_old._pdel")
+    deletion = F.when(~F.col("_row"), F.when(young(F.col("_pdel")), F.col("_pdel")).when(young(old), old))
+    rows = rows.withColumns(flags | {"_kdel": deletion})
+    purges = _any([F.col(f"_purged_{c}") for c in (*cells, "_del")])
+    rows = rows.withColumns({"_changed": F.col("_row") & _any(changed), "_purges": purges})
+
+    shown, kept = {"_del": F.when(F.col("_has__del"), F.col("_del"))}, {}
+    for c in cells:
+        best, early = F.col(c), F.col(c + lasting.EARLY)
+        of = lambda n: F.when(F.col(f"_gone_{c}"), best[n]).otherwise(early[n])
+        if c == "_live":
+            stone = {"ts": best["ts"], "expired": F.lit(True), "expiring": F.lit(True), "exp": of("exp"), "ttl": of("ttl")}
+        else:
+            stone = {"ts": best["ts"], "dead": F.lit(True), "ldt": of("ldt") - of("ttl")}
+        fields = rows.schema[c].dataType.fields
+        tombstone = F.struct(*[stone.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+        shown[c] = F.when(F.col(f"_dead_{c}"), tombstone).when(F.col(f"_has_{c}"), best)
+        shown[c + lasting.EARLY] = F.when(F.col(f"_second_{c}"), early)
+    for p, x in shown.items():
+        kept[p] = x if p.endswith(lasting.EARLY) else F.when(~F.col(f"_purged_{p}"), x)
+    given = F.when(F.col("_changed") & F.col("_purges"), F.struct(*[shown[p].alias(p) for p in pieces]))
+    other = F.col("_changed") | F.col("_purges") | ~F.col("_kdel").eqNullSafe(F.when(~F.col("_row"), old))
+    rows = rows.select(*spec.pk, PART, "_row", *spec.ck, *[kept[p].alias(p) for p in pieces], F.col("_kdel").alias("_pdel"),
+                       "_changed", given.alias("_given"), other.alias("_other"))
+
+    # the next second at which the row, or the partition's deletion, changes by itself
+    live, times = F.col("_live"), [F.col(f"{d}.ldt") + grace + 1 for d in ("_del", "_pdel")]
+    for c in spec.regular:
+        times.append(F.when(F.col(f"{c}.dead"), F.col(f"{c}.ldt") + grace + 1).when(F.col(f"{c}.ttl").isNotNull(), F.col(f"{c}.ldt")))
+        times.append(F.col(f"{c}{lasting.EARLY}.ldt"))
+    times.append(F.when(live["expiring"], live["exp"] + F.when(live["expired"], grace + 1).otherwise(0)))
+    times.append(F.col(f"_live{lasting.EARLY}.exp"))
+    return rows.withColumn("_due", F.least(*[F.when(t > now, t) for t in times]))
+
+
+#: A step of the state: batch n is step 2 n, and 2 n + 1 the going on of the clock after it. ``clock`` is the newest time
+#: up to it and ``now`` what it took for the time; the state is the newest of each row in the steps ``base`` and ``parts``.
+STEP = "step bigint, clock bigint, now bigint, base bigint, parts array<bigint>, held bigint, since bigint"
+FULL = 4  # a step writes all rows if what was written since the last that did is over a FULLth of them
+
+
+def _step(spark: SparkSession, checkpoint: str, step: int | None = None) -> Row | None:
+    """What is known of a step, or of the last one."""
+    path = f"{checkpoint}/kept/steps"
+    try:
+        return spark.read.schema(STEP).parquet(path if step is None else f"{path}/s={step}").orderBy(F.desc("step")).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _stored(spark: SparkSession, checkpoint: str, of: Row) -> DataFrame:
+    """What the steps that make up a state have written, with the step as ``s``. Where nothing is left of a row, its pieces are null."""
+    at = f"{checkpoint}/kept/rows"
+    stored = spark.read.option("basePath", at).parquet(*[f"{at}/s={s}" for s in (of.base, *of.parts)])
+    return stored if of.parts else stored.filter(_left(_pieces_of(stored)))
+
+
+def _left(pieces: list[str]) -> Column:
+    return _any([F.col(p).isNotNull() for p in (*pieces, "_pdel")])
+
+
+def _newest(stored: DataFrame, of: Row) -> DataFrame:
+    """The newest of each row of a state."""
+    if not of.parts:
+        return stored
+    pieces = _pieces_of(stored)
+    rest = [*pieces, "_pdel", "_due"]
+    key = [c for c in stored.columns if c not in (*rest, "_changed", "_given", "s")]
+    return stored.groupBy(*key).agg(F.max(F.struct("s", *rest)).alias("_r")).select(*key, "_r.*").filter(_left(pieces))
+
+
+def _pieces_of(stored: DataFrame) -> list[str]:
+    names = stored.columns
+    return [c for c in names if c == "_del" or c.endswith(lasting.EARLY) or c + lasting.EARLY in names]
+
+
+def _write_step(changes: Changes, settled: DataFrame, whole: bool, checkpoint: str, path: str, before: Row | None, step: int,
+                clock: int, now: int, key: list[str] | None = None, fold: bool = False) -> None:
+    """Write the state and the changed rows of a step, and then that it is done. A step that is run again overwrites itself."""
+    spec, spark, pieces = changes.spec, settled.sparkSession, lasting.pieces(changes.spec)
+    at = f"{checkpoint}/kept/rows/s={step}"
+    columns = [*spec.pk, PART, "_row", *spec.ck, *pieces, "_pdel", "_due", "_changed", "_given"]
+    if whole:
+        rows = settled.select(*columns)
+    else:
+        # as a generator, since a filter would be moved down and have all that it needs worked out twice
+        rows = settled.select(F.inline(F.when(F.col("_other"), F.array(F.struct(*columns)))))
+    rows.write.mode("overwrite").parquet(at)
+    wrote = spark.read.parquet(at)
+    given = wrote.filter("_row AND _changed").select(
+        *spec.key, *[F.when(F.col("_given").isNull(), F.col(p)).otherwise(F.col(f"_given.{p}")).alias(p) for p in pieces])
+    for fn in changes.shown:
+        given = given.transform(fn)
+    S.put_batch(given, path, step, key, fold)
+    n = wrote.count()
+    base, parts, held, since = (step, [], n, 0) if whole else (before.base, [*before.parts, step], before.held, before.since + n)
+    of = {"step": step, "clock": clock, "now": now, "base": base, "parts": parts, "held": held, "since": since}
+    fields = [F.lit(v).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(STEP) for v in [of[f.name]]]
+    spark.range(1).coalesce(1).select(*fields).write.mode("overwrite").parquet(f"{checkpoint}/kept/steps/s={step}")
+
+
+def _batch_step(changes: Changes, batch: DataFrame, batch_id: int, checkpoint: str, path: str, key: list[str] | None, fold: bool) -> None:
+    """Merge a batch into the state, with the clock of the batches before it."""
+    spec, spark, pieces = changes.spec, batch.sparkSession, lasting.pieces(changes.spec)
+    before = None
+    if batch_id:
+        before = _step(spark, checkpoint, 2 * batch_id - 1) or _step(spark, checkpoint, 2 * batch_id - 2)
+        if before is None:
+            raise ValueError(f"{checkpoint} has no state of the batch before {batch_id}")
+    # Java compiles no method of more bytes; the session is the stream's own
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    timed = _timed(batch)
+    n, latest = timed.agg(F.count(F.lit(1)), F.max("_now")).first()
+    clock = before.clock if before else 0
+    now = max(changes.late_by, clock)
+
+    # mutations travel as they are, and are made into pieces where they are merged
+    group = [*spec.pk, PART]
+    merged = [*group, "_row", *spec.ck]
+    sent = _parts(timed.filter("_op <> 'tick'"), spec, changes.spread)
+    types = lasting.versions(sent, spec).schema
+    rest = [c for c in sent.columns if c not in merged]
+    mutation = F.struct(*rest)
+    stored = sent.limit(0).select(*merged, F.lit(0).alias("s"), F.lit(None).cast(sent.schema["_pdel"].dataType).alias("_pdel"), *[
+        F.lit(None).cast(types[p].dataType).alias(p) for p in pieces]) if before is None else _stored(spark, checkpoint, before)
+    stored = stored.select(*merged, F.struct(F.col("s").cast("int").alias("s"), *pieces, "_pdel").alias("_old"))
+    held = before.held + before.since if before else 0
+    cores = spark.sparkContext.defaultParallelism
+    tasks = -(-tasks_for(spark, held + n) // cores) * cores  # in full rounds, as they are alike
+    union = sent.select(*merged, mutation.alias("_m")).unionByName(stored, allowMissingColumns=True).repartition(tasks, *group)
+    rows = union.select(*merged, "_old", F.col("_m").isNotNull().alias("_hit"), "_m.*").withColumn("_op", F.coalesce("_op", F.lit("stored")))
+    rows = lasting.version_rows(rows, spec, [*merged, "_old", "_hit", "_pdel"])
+    rows = rows.groupBy(*merged).agg(*[F.max(c).alias(c) for c in ("_old", "_hit", "_pdel", *pieces)])
+    newest = F.max(F.greatest("_pdel", "_old._pdel")).over(Window.partitionBy(*group))
+    rows = rows.withColumns({"_pdel": newest, **{p: F.greatest(p, f"_old.{p}") for p in pieces}})
+    whole = before is None or before.held <= FULL * (before.since + n)
+    _write_step(changes, _settled(rows, spec, now, changes.gc_grace), whole, checkpoint, path, before, 2 * batch_id,
+                max(clock, latest or 0), now, key, fold)
+
+
+def _clock_step(changes: Changes, checkpoint: str, path: str) -> None:
+    """Let the clock go on to the newest time of the last batch, as no batch may follow."""
+    spec, spark, pieces = changes.spec, changes.log.sparkSession, lasting.pieces(changes.spec)
+    before = _step(spark, checkpoint)
+    if before is None or (now := max(changes.late_by, before.clock)) <= before.now:
+        return
+    due = _newest(_stored(spark, checkpoint, before), before).filter(F.col("_due") <= now)
+    rows = due.withColumns({"_old": F.struct(*pieces, "_pdel"), "_hit": F.lit(False), "_pdel": F.when(~F.col("_row"), F.col("_pdel"))})
+    _write_step(changes, _settled(rows, spec, now, changes.gc_grace), False, checkpoint, path, before, before.step + 1, before.clock, now)
+
+
+def view_entries(changed: DataFrame | Changes, view: ViewSpec) -> DataFrame | Changes:
     """The view entry, or its absence, of every changed row, for ``mutations.view_rows``.
 
     Rows come with what has expired already turned into tombstones, so no reading time is needed.
     """
-    return views.entries(lasting.as_of(changed, view.base, lasting.BEFORE_ALL), view)
+    return changed.transform(lambda rows: views.entries(lasting.as_of(rows, view.base, lasting.BEFORE_ALL), view))
 
 
-def run(stream: DataFrame, path: str, checkpoint: str, key: list[str] | None = None, fold_every: int | None = None) -> StreamingQuery:
+def run(stream: DataFrame | Changes, path: str, checkpoint: str, key: list[str] | None = None, fold_every: int | None = None) -> StreamingQuery:
     """Write the changed rows of each batch to ``path`` until the source is read; see ``mutations.upsert_sink``."""
+    if isinstance(stream, Changes):
+        def write(batch: DataFrame, batch_id: int) -> None:
+            fold = bool(fold_every) and (batch_id + 1) % fold_every == 0
+            _batch_step(stream, batch, batch_id, checkpoint, path, key, fold)
+
+        query = S.each_batch(stream.log, write, checkpoint)
+        query.awaitTermination()
+        _clock_step(stream, checkpoint, path)
+        return query
     spark = stream.sparkSession
     before = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKS)
@@ -344,6 +591,11 @@ def run(stream: DataFrame, path: str, checkpoint: str, key: list[str] | None = N
 
 def state_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The rows that the state holds, as the columns of the key, clustering key and pieces."""
+    last = _step(spark, checkpoint)
+    if last is not None:
+        stored = _stored(spark, checkpoint, last)
+        rest = (PART, "_row", "_pdel", "_due", "_changed", "_given", "s")
+        return _newest(stored, last).filter(F.col("_row")).select(*[c for c in stored.columns if c not in rest])
     found = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "rows").load()
     held = found.select("key.*", F.explode("user_map_value.held").alias("_held")).drop(PART)
     return held.select("*", "_held._key.*", "_held.*").drop("_held", "_key", "_due")
