@@ -99,3 +99,12 @@ def test_a_stopped_stream_goes_on(spark, rows, monkeypatch):
     want = lasting.live_rows(lasting.stored(spark.createDataFrame(log, SCHEMA), SPEC), SPEC, NOW)
     assert rows(lasting.live_rows(S.current(spark, out, SPEC.key), SPEC, NOW)) == rows(want)
     assert rows(lasting.live_rows(P.state_rows(spark, check), SPEC, NOW)) == rows(want)
+
+
+def test_the_processor_as_a_streaming_dataframe(spark, rows):
+    log = random_log(11, 60)
+    out, check = fresh_path(spark, "changed"), fresh_path(spark, "ck")
+    P.run(P.processed_rows(staged(spark, [log]), SPEC, gc_grace=10**6, spread=2), out, check, SPEC.key)
+    want = rows(lasting.live_rows(lasting.stored(spark.createDataFrame(log, SCHEMA), SPEC), SPEC, NOW))
+    assert rows(lasting.live_rows(S.current(spark, out, SPEC.key), SPEC, NOW)) == want
+    assert rows(lasting.live_rows(P.state_rows(spark, check), SPEC, NOW)) == want
